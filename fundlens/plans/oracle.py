@@ -213,3 +213,72 @@ FROM prep GROUP BY final_status"""),
     "one_campaign": _prep("SELECT * FROM prep WHERE project_id = 'kk1'"),
     "vote_tally": VOTE_TALLY_SQL,
 }
+
+# --- steps 4-5: text features, categories, evaluation ------------------------
+
+TOKENS_CTE = f"""
+tok AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\W+'), lambda x: length(x) >= 1) AS tokens
+  FROM documents),
+filt AS (
+  SELECT doc_id, tokens, list_filter(tokens, lambda x: NOT list_contains({STOP_WORDS_SQL}, x)) AS filtered
+  FROM tok),
+tc AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(filtered) AS term FROM filt) u
+  GROUP BY doc_id, term)"""
+
+INDEX_CTE = """
+cat_counts AS (
+  SELECT column_name, value, count(*) AS count FROM (
+    SELECT 'country2' AS column_name, country2 AS value FROM prep UNION ALL
+    SELECT 'currency2', currency2 FROM prep) u
+  WHERE value IS NOT NULL GROUP BY column_name, value),
+cat_index AS (
+  SELECT column_name, value, count,
+    CAST(row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value) - 1 AS INTEGER) AS idx
+  FROM cat_counts),
+cat_size AS (SELECT column_name, count(*) - 1 AS size FROM cat_index GROUP BY column_name)"""
+
+LABELLED_CTE = """
+lab AS (
+  SELECT d.doc_id, l.quality, CAST(d.n_chars >= 500 AS INTEGER) AS prediction
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+conf AS (SELECT quality, prediction, count(*) AS count FROM lab GROUP BY quality, prediction),
+pc AS (
+  SELECT a.cls, a.support, a.tp, coalesce(p.n_pred, 0) AS n_pred,
+    CASE WHEN coalesce(p.n_pred, 0) > 0 THEN a.tp / p.n_pred ELSE 0.0 END AS prec,
+    a.tp / a.support AS rec
+  FROM (SELECT quality AS cls, sum(count) AS support,
+               sum(CASE WHEN quality = prediction THEN count ELSE 0 END) AS tp
+        FROM conf GROUP BY quality) a
+  LEFT JOIN (SELECT prediction AS cls, sum(count) AS n_pred FROM conf GROUP BY prediction) p
+    ON a.cls = p.cls)"""
+
+ORACLE.update({
+    "tokens": with_ctes(TOKENS_CTE) + "\nSELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS token_text FROM filt",
+    "tokens_no_stop": with_ctes(TOKENS_CTE) + "\nSELECT doc_id, CAST(len(filtered) AS INTEGER) AS n_filtered, array_to_string(filtered, ' ') AS filtered_text FROM filt",
+    "term_counts": with_ctes(TOKENS_CTE) + "\nSELECT doc_id, term, tf FROM tc",
+    "tfidf": with_ctes(TOKENS_CTE) + """
+SELECT tc.doc_id, tc.term, tc.tf, d.df,
+  round(ln(((SELECT count(*) FROM documents) + 1.0) / (d.df + 1.0)), 9) AS idf,
+  round(tc.tf * ln(((SELECT count(*) FROM documents) + 1.0) / (d.df + 1.0)), 9) AS tfidf
+FROM tc JOIN (SELECT term, count(*) AS df FROM tc GROUP BY term) d ON tc.term = d.term""",
+    "category_index": _prep("SELECT 1") .replace("\nSELECT 1", "," + INDEX_CTE + "\nSELECT column_name, value, count, idx FROM cat_index"),
+    "one_hot": _prep("SELECT 1").replace("\nSELECT 1", "," + INDEX_CTE + """
+SELECT p.project_id, p.country2, p.currency2,
+  a.idx AS country2_idx, CASE WHEN a.idx < sa.size THEN a.idx END AS country2_hot, CAST(sa.size AS INTEGER) AS country2_size,
+  b.idx AS currency2_idx, CASE WHEN b.idx < sb.size THEN b.idx END AS currency2_hot, CAST(sb.size AS INTEGER) AS currency2_size
+FROM prep p
+JOIN cat_index a ON a.column_name = 'country2' AND a.value = p.country2
+JOIN cat_size sa ON sa.column_name = 'country2'
+JOIN cat_index b ON b.column_name = 'currency2' AND b.value = p.currency2
+JOIN cat_size sb ON sb.column_name = 'currency2'"""),
+    "split_counts": """
+SELECT CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10 < 1 THEN 'test' ELSE 'train' END AS split,
+  count(*) AS n, CAST(sum(quality) AS BIGINT) AS n_quality, CAST(sum(toxic) AS BIGINT) AS n_toxic
+FROM labels GROUP BY 1""",
+    "confusion": with_ctes(LABELLED_CTE) + "\nSELECT quality, prediction, count FROM conf",
+    "f1": with_ctes(LABELLED_CTE) + """
+SELECT round(sum(support * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(support), 9) AS f1 FROM pc""",
+    "accuracy": with_ctes(LABELLED_CTE) + "\nSELECT round(avg(CASE WHEN quality = prediction THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM lab",
+})

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlens.plans import campaign_queries as C
+from fundlens.plans import feature_queries as FQ
 from fundlens.plans import text_queries as T
 from fundlens.plans.oracle import ORACLE
 
@@ -45,6 +46,18 @@ QUERIES: dict[str, Query] = {
     "first_campaigns": C.first_campaigns,
     "one_campaign": C.one_campaign,
     "vote_tally": C.vote_tally_query,
+    # step 4
+    "tokens": FQ.tokens,
+    "tokens_no_stop": FQ.tokens_no_stop,
+    "term_counts": FQ.term_counts,
+    "tfidf": FQ.tfidf,
+    "category_index": FQ.category_index,
+    "one_hot": FQ.one_hot,
+    # step 5
+    "split_counts": FQ.split_counts,
+    "confusion": FQ.confusion,
+    "f1": FQ.f1,
+    "accuracy": FQ.accuracy,
 }
 
 
