@@ -282,3 +282,25 @@ FROM labels GROUP BY 1""",
 SELECT round(sum(support * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(support), 9) AS f1 FROM pc""",
     "accuracy": with_ctes(LABELLED_CTE) + "\nSELECT round(avg(CASE WHEN quality = prediction THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM lab",
 })
+
+# --- steps 7-8: streams and round trips --------------------------------------
+
+EVENT_SUMMARY_SQL = """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids, round(sum(value), 6) AS sum_value
+FROM events GROUP BY event_type"""
+
+ORACLE.update({
+    "stream_replay": EVENT_SUMMARY_SQL,
+    "stream_resume": EVENT_SUMMARY_SQL,
+    "stream_heartbeat": """
+SELECT event_id, 'message ecrit le ' || strftime(ts, '%H:%M:%S:') || strftime(ts, '%f') || '000' AS value
+FROM events""",
+    "csv_roundtrip": "SELECT * FROM customer",
+    "text_roundtrip": """
+SELECT word, count(*) AS count FROM (
+  SELECT unnest(string_split(line, ' ')) AS word FROM (
+    SELECT unnest(string_split(text, chr(10))) AS line FROM documents) l) w
+GROUP BY word""",
+    "single_file_export": "SELECT sponsor, count, choice_rank, 1 AS files_in_rank FROM (" + VOTE_TALLY_SQL + ") t",
+    "udf_clean": ORACLE["campaign_currency"],
+})

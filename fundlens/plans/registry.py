@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundlens.plans import campaign_queries as C
 from fundlens.plans import feature_queries as FQ
+from fundlens.plans import io_queries as IO
+from fundlens.plans import stream_queries as SQ
+from fundlens.plans import train_queries as TQ
 from fundlens.plans import text_queries as T
 from fundlens.plans.oracle import ORACLE
 
@@ -58,6 +61,19 @@ QUERIES: dict[str, Query] = {
     "confusion": FQ.confusion,
     "f1": FQ.f1,
     "accuracy": FQ.accuracy,
+    # step 6 (rows only)
+    "train_score": TQ.train_score,
+    "grid_search": TQ.grid_search,
+    "model_reload": TQ.model_reload,
+    # step 7
+    "stream_replay": SQ.stream_replay,
+    "stream_resume": SQ.stream_resume,
+    "stream_heartbeat": SQ.stream_heartbeat,
+    # step 8
+    "csv_roundtrip": IO.csv_roundtrip,
+    "text_roundtrip": IO.text_roundtrip,
+    "single_file_export": IO.single_file_export,
+    "udf_clean": IO.udf_clean,
 }
 
 
