@@ -44,12 +44,17 @@ def regex_tokens(text: Column | str, pattern: str = TOKEN_PATTERN,
     return F.filter(F.split(t, pattern), lambda x: F.length(x) >= min_length)
 
 
-def stop_words_array(words=ENGLISH_STOP_WORDS) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
-def remove_stop_words(tokens: Column | str, words=ENGLISH_STOP_WORDS) -> Column:
-    """Drop every occurrence of a stop word (case-insensitive, like the
-    ML stage); repeats of other words are kept, unlike ``array_except``."""
-    stop = stop_words_array(tuple(w.lower() for w in words))
-    return F.filter(_c(tokens), lambda x: ~F.array_contains(stop, F.lower(x)))
+def is_stop_word(token: Column, words=ENGLISH_STOP_WORDS, case_sensitive: bool = False) -> Column:
+    """True for a stop word.  ``isin`` over more than ten literals is
+    planned as ``InSet``, a hash-set probe, not a scan of the list."""
+    if case_sensitive:
+        return token.isin(*words)
+    return F.lower(token).isin(*sorted({w.lower() for w in words}))
+
+
+def remove_stop_words(tokens: Column | str, words=ENGLISH_STOP_WORDS,
+                      case_sensitive: bool = False) -> Column:
+    """Drop every occurrence of a stop word (case-insensitive by
+    default, like the ML stage); repeats of other words are kept, unlike
+    ``array_except``."""
+    return F.filter(_c(tokens), lambda x: ~is_stop_word(x, words, case_sensitive))

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fundlens.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, regex_tokens, remove_stop_words
+from fundlens.operators.words import explode_values
 
 
 # --- relational twins --------------------------------------------------------
@@ -43,7 +44,7 @@ def add_filtered(df: DataFrame, tokens_col: str = "tokens", out: str = "filtered
 
 def term_counts(df: DataFrame, id_col: str, tokens_col: str = "filtered") -> DataFrame:
     """``(id, term, tf)`` - term occurrences per document."""
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    return (explode_values(df, F.col(tokens_col), keep=[id_col], name="term")
               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

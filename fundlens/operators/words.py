@@ -12,9 +12,21 @@ from pyspark.sql import DataFrame, functions as F
 from fundlens.functions.text import split_blank
 
 
+def explode_values(df: DataFrame, array_col, keep=(), name: str = "value") -> DataFrame:
+    """Explode an array column into rows.
+
+    Written as ``explode_outer`` + a null filter (equal to ``explode`` for
+    arrays without null elements): a plain ``explode`` makes Catalyst infer
+    a ``size(array) > 0`` filter below the Generate, which evaluates the
+    array expression - a whole-text split - a second time.
+    """
+    return (df.select(*keep, F.explode_outer(array_col).alias(name))
+              .where(F.col(name).isNotNull()))
+
+
 def words(df: DataFrame, text_col: str = "value") -> DataFrame:
     """One row per blank-separated word (empty words kept)."""
-    return df.select(F.explode(split_blank(text_col)).alias("word"))
+    return explode_values(df, split_blank(text_col), name="word")
 
 
 def word_count(df: DataFrame, text_col: str = "value") -> DataFrame:
@@ -37,9 +49,11 @@ def text_totals(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows, lines, words and distinct words of a text column, in one
     aggregate over the exploded words (the distinct count is planned as a
     two-phase distinct aggregate, never a collect)."""
-    exploded = df.select(
-        F.size(F.split(text_col, "\n")).alias("row_lines"),
-        F.posexplode_outer(split_blank(text_col)).alias("pos", "word"))
+    # Per-row values are projected below the Generate; in the same select
+    # as the explode they would be evaluated once per word.
+    per_row = df.select(F.size(F.split(text_col, "\n")).alias("row_lines"),
+                        split_blank(text_col).alias("words"))
+    exploded = per_row.select("row_lines", F.posexplode_outer("words").alias("pos", "word"))
     first = (F.col("pos") == 0) | F.col("pos").isNull()
     return exploded.agg(
         F.count_if(first).alias("n_rows"),

@@ -8,12 +8,13 @@ from fundlens.operators import evaluate as EV
 from fundlens.operators import text_features as TF
 from fundlens.plans.campaign_queries import campaign_prepare
 from fundlens.sources import table
+from fundlens.sources.tables import spread
 
 CATEGORICAL = ("country2", "currency2")
 
 
 def _tokenized(spark, sf):
-    docs = table(spark, sf, "documents", ["doc_id", "text"])
+    docs = spread(table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
     return docs.transform(TF.add_tokens).transform(TF.add_filtered)
 
 

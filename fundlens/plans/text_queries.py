@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fundlens.operators import words as W
-from fundlens.sources import table
+from fundlens.sources.tables import spread, table
 
 
 def _docs(spark, sf, cols=("doc_id", "text")):
-    return table(spark, sf, "documents", list(cols))
+    """Documents, spread over the cores when the file is a single split."""
+    return spread(table(spark, sf, "documents", ["doc_id", *[c for c in cols if c != "doc_id"]]),
+                  "doc_id").select(*cols)
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:

@@ -23,3 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str,
     even before the optimizer prunes."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A single unsplittable file (one Parquet row group) is read by one task,
+    which then also runs all per-row CPU work (tokenising whole texts).
+    Only in that case the rows are hash-partitioned on ``keys`` (round-robin
+    without keys) over ``min_partitions`` (default: the default
+    parallelism).  A large input already has more splits than cores and is
+    returned unchanged, so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
