@@ -35,6 +35,19 @@ def run(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t0
 
 
+def cached_word_count(spark, sf_dir: str) -> float:
+    """The baseline's second word-count row: the same job over a persisted
+    input (C1).  The persist and its materialising count are not timed."""
+    from fundlens.operators.train import persisted
+    from fundlens.operators.words import word_count
+    from fundlens.sources.tables import spread, table
+    docs = spread(table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
+    with persisted(docs.select("text")) as cached:
+        t0 = time.perf_counter()
+        word_count(cached, "text").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -50,6 +63,11 @@ def main() -> None:
             if r == 0:
                 cold[name] = round(t, 3)
             best[name] = round(min(best.get(name, t), t), 3)
+        if not sys.argv[1:]:
+            t = cached_word_count(spark, sf_dir)
+            if r == 0:
+                cold["word_count_cached"] = round(t, 3)
+            best["word_count_cached"] = round(min(best.get("word_count_cached", t), t), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_total",

@@ -33,7 +33,9 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     Only in that case the rows are hash-partitioned on ``keys`` (round-robin
     without keys) over ``min_partitions`` (default: the default
     parallelism).  A large input already has more splits than cores and is
-    returned unchanged, so at scale this adds no shuffle.
+    returned unchanged, so at scale this adds no shuffle.  Meant for
+    scans: the partition count is read from the planned RDD, which for a
+    plan with exchanges would run them under AQE.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
