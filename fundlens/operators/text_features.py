@@ -49,8 +49,15 @@ def term_counts(df: DataFrame, id_col: str, tokens_col: str = "filtered") -> Dat
 
 
 def document_frequency(tc: DataFrame, id_col: str) -> DataFrame:
-    """``(term, df)``: documents containing each term (pairs are unique)."""
-    return tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """``(term, df)``: documents containing each term (pairs are unique).
+
+    Counted as ``count_if(tf > 0)`` (every pair has ``tf >= 1``) rather than
+    ``count(*)``: depending on the value of ``tf`` keeps the optimizer from
+    pruning the term-count aggregate in this branch, so its subtree stays
+    identical to the one it is joined back to, Spark reuses that exchange
+    and the corpus is tokenised once, not twice.
+    """
+    return tc.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",

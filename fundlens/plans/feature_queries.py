@@ -14,7 +14,7 @@ CATEGORICAL = ("country2", "currency2")
 
 
 def _tokenized(spark, sf):
-    docs = spread(table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
+    docs = spread(table(spark, sf, "documents", ["doc_id", "text"]))
     return docs.transform(TF.add_tokens).transform(TF.add_filtered)
 
 
