@@ -54,6 +54,34 @@ def null_audit(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns])
 
 
+def null_audit_before_after(df: DataFrame, columns: list[str], fill: dict) -> DataFrame:
+    """P6 + P9 check in one pass: null counts before and after a fill.
+
+    Each column is carried raw and filled in the same projection, counted by
+    one aggregate, and the single result row is unpivoted into the two
+    stages - the input is read once, not once per stage.
+    """
+    filled = {f"{c}__after": v for c, v in fill.items() if c in columns}
+    both = (df.select(*columns, *[F.col(c).alias(f"{c}__after") for c in columns])
+              .na.fill(filled))
+    wide = both.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in both.columns])
+    stage = lambda name, suffix: F.struct(
+        *[F.col(f"{c}{suffix}").alias(f"{c}_nulls") for c in columns],
+        F.lit(name).alias("stage"))
+    return wide.select(F.inline(F.array(stage("before_fill", ""), stage("after_fill", "__after"))))
+
+
+def flag_before_after(df: DataFrame, before: Column, after: Column, name: str) -> DataFrame:
+    """A3 before/after a repair, in one pass: rows per flag value at each
+    stage.  One aggregate on (before, after) over the input, then a second
+    over its at most nine rows."""
+    pairs = df.groupBy(before.alias("_b"), after.alias("_a")).count()
+    per_stage = pairs.select(F.inline(F.array(
+        F.struct(F.lit("before").alias("stage"), F.col("_b").alias(name), F.col("count").alias("n")),
+        F.struct(F.lit("after").alias("stage"), F.col("_a").alias(name), F.col("count").alias("n")))))
+    return per_stage.groupBy("stage", name).agg(F.sum("n").alias("count"))
+
+
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     """A10: duplicate removal on a column subset."""
     return df.select(*columns).dropDuplicates()

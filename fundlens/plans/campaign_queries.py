@@ -101,12 +101,10 @@ def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def negative_prep_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Before/after check of U4: rows with negative preparation time."""
-    before = _durations(spark, sf)
-    after = before.transform(P.repair_preparation)
-    return (profile.frequency(before, (F.col("hours_prepa") < 0).alias("negative_prep"))
-            .withColumn("stage", F.lit("before"))
-            .unionByName(profile.frequency(after, (F.col("hours_prepa") < 0).alias("negative_prep"))
-                         .withColumn("stage", F.lit("after"))))
+    df = _durations(spark, sf).withColumn("hours_before", F.col("hours_prepa"))
+    df = df.transform(P.repair_preparation)
+    return profile.flag_before_after(df, F.col("hours_before") < 0, F.col("hours_prepa") < 0,
+                                     "negative_prep")
 
 
 def false_country_currencies(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,10 +118,7 @@ def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
 
 def null_audit(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["days_campaign", "hours_prepa", "goal", "country2", "currency2"]
-    before = profile.null_audit(_before_fill(spark, sf), cols).withColumn("stage", F.lit("before_fill"))
-    after = profile.null_audit(_before_fill(spark, sf).transform(P.fill_nulls), cols) \
-        .withColumn("stage", F.lit("after_fill"))
-    return before.unionByName(after)
+    return profile.null_audit_before_after(_before_fill(spark, sf), cols, P.FILL_VALUES)
 
 
 def distinct_deadlines(spark: SparkSession, sf: str) -> DataFrame:

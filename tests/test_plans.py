@@ -1,5 +1,7 @@
 """Plan-shape checks: the physical plans are the ones we want at scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -49,3 +51,17 @@ def test_no_python_udf_outside_udf_query(spark):
     for name in sorted(set(E.queries()) - EAGER - {"udf_clean"}):
         p = plan(E.queries()[name](spark, SF_SMALL))
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
+
+
+def test_tfidf_tokenises_once(spark):
+    df = E.queries()["tfidf"](spark, SF_SMALL)
+    df.collect()  # the final adaptive plan shows the runtime exchange reuse
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["null_audit", "negative_prep_counts"])
+def test_before_after_profiles_scan_once(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    scans = re.findall(r"^\(\d+\) Scan parquet", p, flags=re.M)
+    assert len(scans) == 4  # orders, lineitem, customer, part: once each
