@@ -36,15 +36,16 @@ def run(spark, name: str, sf_dir: str) -> float:
 
 
 def cached_word_count(spark, sf_dir: str) -> float:
-    """The baseline's second word-count row: the same job over a persisted
-    input (C1).  The persist and its materialising count are not timed."""
+    """The baseline's second word-count row: the same job over persisted
+    input (C1).  As in the reference, the flattened words are what is
+    persisted; the persist and its materialising count are not timed."""
     from fundlens.operators.train import persisted
-    from fundlens.operators.words import word_count
+    from fundlens.operators.words import words
     from fundlens.sources.tables import spread, table
     docs = spread(table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
-    with persisted(docs.select("text")) as cached:
+    with persisted(words(docs, "text")) as cached:
         t0 = time.perf_counter()
-        word_count(cached, "text").write.format("noop").mode("overwrite").save()
+        cached.groupBy("word").count().write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
 

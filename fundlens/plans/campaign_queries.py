@@ -90,6 +90,22 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.frequency(_cast(spark, sf), "final_status")
 
 
+def _counts_of(column: str):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return profile.frequency(_cast(spark, sf), column)
+    query.__name__ = f"{column}_counts"
+    query.__doc__ = f"A1: rows per ``{column}`` value of the typed campaigns."
+    return query
+
+
+# The single-key frequency tables the reference looks at before cleaning.
+disable_communication_counts = _counts_of("disable_communication")
+country_counts = _counts_of("country")
+currency_counts = _counts_of("currency")
+backers_counts = _counts_of("backers_count")
+state_changed_counts = _counts_of("state_changed_at")
+
+
 def country_currency_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.frequency(_cast(spark, sf), "country", "currency")
 

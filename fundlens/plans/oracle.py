@@ -182,6 +182,10 @@ FROM documents""",
     # step 3: profiles
     "status_counts": _upto(3, "SELECT final_status, count(*) AS count FROM cast_ GROUP BY final_status"),
     "country_currency_counts": _upto(3, "SELECT country, currency, count(*) AS count FROM cast_ GROUP BY country, currency"),
+    **{f"{name}_counts": _upto(3, f"SELECT {col}, count(*) AS count FROM cast_ GROUP BY {col}")
+       for name, col in [("disable_communication", "disable_communication"), ("country", "country"),
+                         ("currency", "currency"), ("backers", "backers_count"),
+                         ("state_changed", "state_changed_at")]},
     "flag_counts": _upto(3, "SELECT final_status > 1 AS status_above_1, count(*) AS count FROM cast_ GROUP BY 1"),
     "negative_prep_counts": _upto(6, """
 SELECT hours_prepa < 0 AS negative_prep, count(*) AS count, 'before' AS stage FROM dur GROUP BY 1

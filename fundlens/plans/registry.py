@@ -38,6 +38,11 @@ QUERIES: dict[str, Query] = {
     # step 3
     "status_counts": C.status_counts,
     "country_currency_counts": C.country_currency_counts,
+    "disable_communication_counts": C.disable_communication_counts,
+    "country_counts": C.country_counts,
+    "currency_counts": C.currency_counts,
+    "backers_counts": C.backers_counts,
+    "state_changed_counts": C.state_changed_counts,
     "flag_counts": C.flag_counts,
     "negative_prep_counts": C.negative_prep_counts,
     "false_country_currencies": C.false_country_currencies,
