@@ -8,11 +8,17 @@ built-in expressions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# Ship this module's functions with the task (by value), so executors need
+# no copy of the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def null_safe_udf(fn: Callable[..., pd.Series], return_type: str):
     """Build a pandas UDF from ``fn(*series) -> series`` that yields null
