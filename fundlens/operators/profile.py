@@ -93,6 +93,12 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def preview(df: DataFrame, n: int = 20, *order: Column) -> list:
+    """The first ``n`` rows on the driver - the only collect the
+    library offers, always behind a limit."""
+    return (df.orderBy(*order) if order else df).limit(n).collect()
+
+
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per label and their share of all rows.
 
