@@ -32,9 +32,9 @@ def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     f1, plus the held-out f1 and accuracy of the refit best model."""
     train, test = _split(spark, sf)
     model, results = TR.tune(train, seed=TR.SPLIT_SEED)
-    scored = model.transform(test)
-    test_f1 = EV.weighted_f1(scored, "final_status", "predictions").first()["f1"]
-    test_acc = EV.accuracy(scored, "final_status", "predictions").first()["accuracy"]
+    with TR.persisted(model.transform(test).select("final_status", "predictions")) as scored:
+        test_f1 = EV.weighted_f1(scored, "final_status", "predictions").first()["f1"]
+        test_acc = EV.accuracy(scored, "final_status", "predictions").first()["accuracy"]
     best = max(results, key=lambda r: r[2])
     rows = [(float(r), float(m), float(v), (r, m, v) == best, float(test_f1), float(test_acc))
             for r, m, v in results]
