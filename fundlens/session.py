@@ -46,6 +46,27 @@ def get_session(master: str | None = None, app: str = "fundlens",
     return spark
 
 
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Settings that keep partitions to about ``partition_bytes`` for a job
+    whose largest shuffle moves ``shuffle_bytes``.
+
+    The shuffle partition count is the starting point AQE coalesces down
+    from, so it is sized for the largest stage (after map-side partial
+    aggregation, which for the word and term counts is far below the input
+    size).  Input splits and AQE's target size use the same figure, and a
+    partition above the skew threshold is split at run time.
+    """
+    n = max(min_partitions, -(-shuffle_bytes // partition_bytes))
+    size = f"{partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+    }
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 

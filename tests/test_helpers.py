@@ -42,3 +42,10 @@ def test_shared_dir_under_checkpoint_root(spark):
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert a != b and a.startswith(os.path.join(root, "fundlens"))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_scale_conf():
+    from fundlens.session import scale_conf
+    c = scale_conf(100 << 40)  # 100 TiB through the largest shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
