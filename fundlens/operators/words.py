@@ -51,7 +51,8 @@ def text_totals(df: DataFrame, text_col: str = "text") -> DataFrame:
     two-phase distinct aggregate, never a collect)."""
     # Per-row values are projected below the Generate; in the same select
     # as the explode they would be evaluated once per word.
-    per_row = df.select(F.size(F.split(text_col, "\n")).alias("row_lines"),
+    per_row = df.select(F.when(F.col(text_col).isNotNull(),
+                               F.size(F.split(text_col, "\n"))).alias("row_lines"),
                         split_blank(text_col).alias("words"))
     exploded = per_row.select("row_lines", F.posexplode_outer("words").alias("pos", "word"))
     first = (F.col("pos") == 0) | F.col("pos").isNull()

@@ -45,6 +45,17 @@ def single_file_export(spark: SparkSession, sf: str) -> DataFrame:
                            F.size(F.collect_set(F.input_file_name()).over(w)))
 
 
+def campaign_csv_prepare(spark: SparkSession, sf: str) -> DataFrame:
+    """The preparation job end to end: the campaigns written as a CSV file
+    with a header (the reference's input format), read back as text
+    columns, prepared and written as Parquet, read back."""
+    from fundlens.plans.jobs import CAMPAIGN_COLUMNS, campaign_schema, preprocess
+    base = shared_dir(spark, "campaign-job")
+    raw = campaigns(spark, sf).withColumnRenamed("descr", "desc").select(*CAMPAIGN_COLUMNS)
+    csv = write_table(raw, os.path.join(base, "raw-csv"), "csv", mode="overwrite", header=True)
+    return preprocess(spark, csv, os.path.join(base, "prepared"), schema=campaign_schema())
+
+
 def udf_clean(spark: SparkSession, sf: str) -> DataFrame:
     """The currency rule as an Arrow-batched, null-safe user function."""
     df = campaigns(spark, sf).transform(P.cast_campaigns)

@@ -307,4 +307,5 @@ SELECT word, count(*) AS count FROM (
 GROUP BY word""",
     "single_file_export": "SELECT sponsor, count, choice_rank, 1 AS files_in_rank FROM (" + VOTE_TALLY_SQL + ") t",
     "udf_clean": ORACLE["campaign_currency"],
+    "campaign_csv_prepare": ORACLE["campaign_prepare"],
 })

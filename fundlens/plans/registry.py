@@ -78,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": IO.csv_roundtrip,
     "text_roundtrip": IO.text_roundtrip,
     "single_file_export": IO.single_file_export,
+    "campaign_csv_prepare": IO.campaign_csv_prepare,
     "udf_clean": IO.udf_clean,
 }
 
