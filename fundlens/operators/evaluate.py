@@ -31,14 +31,22 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per label value: support, true positives, predicted count,
-    precision, recall and f1 (0 when undefined, as Spark's metrics)."""
+    precision, recall and f1 (0 when undefined, as Spark's metrics).
+
+    One aggregate: each confusion cell counts once towards its label's
+    support (and true positives) and once towards its prediction's
+    predicted count, so no join of the table with itself is needed.
+    """
     conf = confusion(df, label, prediction)
-    actual = conf.groupBy(F.col(label).cast("double").alias("cls")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)).alias("tp"))
-    predicted = conf.groupBy(F.col(prediction).cast("double").alias("cls")).agg(
-        F.sum("count").alias("n_predicted"))
-    j = actual.join(predicted, "cls", "left").fillna(0, ["n_predicted"])
+    lab, pred, n = F.col(label).cast("double"), F.col(prediction).cast("double"), F.col("count")
+    zero = F.lit(0).cast("long")
+    cells = conf.select(F.inline(F.array(
+        F.struct(lab.alias("cls"), n.alias("support"),
+                 F.when(lab == pred, n).otherwise(zero).alias("tp"), zero.alias("n_predicted")),
+        F.struct(pred.alias("cls"), zero.alias("support"), zero.alias("tp"), n.alias("n_predicted")))))
+    j = (cells.groupBy("cls").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                  F.sum("n_predicted").alias("n_predicted"))
+              .where(F.col("support") > 0))
     p = F.when(F.col("n_predicted") > 0, F.col("tp") / F.col("n_predicted")).otherwise(F.lit(0.0))
     r = F.col("tp") / F.col("support")
     j = j.withColumns({"precision": p, "recall": r})

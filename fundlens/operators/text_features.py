@@ -108,8 +108,9 @@ def one_hot(df: DataFrame, id_col: str, columns: Sequence[str], index: DataFrame
     The index table has one row per category; it is joined on the value
     (AQE broadcasts it once it sees its size).
     """
-    sizes = index.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_cat"))
-    idx = index.join(sizes, "column_name")
+    # categories per column: a window over the index, which the ranking
+    # window has already partitioned by column (no further exchange)
+    idx = index.withColumn("n_cat", F.count(F.lit(1)).over(Window.partitionBy("column_name")))
     out = df.select(id_col, *columns)
     for c in columns:
         m = (idx.where(F.col("column_name") == c)

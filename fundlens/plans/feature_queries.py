@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fundlens.operators import evaluate as EV
 from fundlens.operators import text_features as TF
 from fundlens.plans.campaign_queries import campaign_prepare
+from fundlens.session import shared_dir
 from fundlens.sources import table
+from fundlens.sources.files import materialize
 from fundlens.sources.tables import spread
 
 CATEGORICAL = ("country2", "currency2")
@@ -44,7 +46,11 @@ def category_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    prep = campaign_prepare(spark, sf)
+    """Index pass + mapping pass over the prepared campaigns, as fitting and
+    applying the indexers does; the prepared table is written once to the
+    shared folder so both passes read it rather than recompute it."""
+    prep = materialize(campaign_prepare(spark, sf).select("project_id", *CATEGORICAL),
+                       shared_dir(spark, "prepared-categories"))
     return TF.one_hot(prep, "project_id", CATEGORICAL, TF.category_index(prep, CATEGORICAL))
 
 

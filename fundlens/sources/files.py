@@ -48,3 +48,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
         writer = writer.option(k, v)
     writer.save(path)
     return path
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` (a folder in the shared
+    checkpoint location) and read it back: the lineage is cut, a later
+    multi-pass use reads the table instead of recomputing it, and a lost
+    executor costs a re-read, not a recomputation."""
+    write_table(df, path, "parquet", mode="overwrite")
+    return df.sparkSession.read.parquet(path)
