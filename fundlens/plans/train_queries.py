@@ -8,10 +8,14 @@ from fundlens.operators import evaluate as EV
 from fundlens.operators import train as TR
 from fundlens.plans.campaign_queries import campaign_prepare
 from fundlens.session import shared_dir
+from fundlens.sources.files import materialize
 
 
 def _split(spark, sf):
-    prep = campaign_prepare(spark, sf)
+    """Hash split of the prepared campaigns, written once to the shared
+    folder: training and scoring then read the table instead of each
+    recomputing the campaign joins."""
+    prep = materialize(campaign_prepare(spark, sf), shared_dir(spark, "prepared"))
     return EV.hash_split(prep, "project_id")
 
 
