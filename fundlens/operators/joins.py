@@ -22,3 +22,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, weight: str,
+                   max_hot: int = 100_000) -> DataFrame:
+    """Inner join of ``big`` with ``keyed`` (one row per key) when the exact
+    number of ``big`` rows per key is known (``keyed[weight]``, e.g. a
+    term's document frequency is its number of (doc, term) pairs).
+
+    Keys heavier than ``total / max_hot`` are hot.  There are at most
+    ``max_hot`` of them (their weights add up to at most the total), so they
+    are broadcast - a size bound by construction - and their rows of
+    ``big`` never enter a shuffle: they are removed by a broadcast anti-join
+    before the remaining keys are joined by shuffle, where no key has more
+    than ``total / max_hot`` rows.  Nothing is sampled or dropped.
+    """
+    total = keyed.agg(F.sum(weight)).scalar()
+    threshold = F.greatest(F.lit(1), total / F.lit(max_hot))
+    hot = keyed.where(F.col(weight) > threshold)
+    cold = keyed.where(F.col(weight) <= threshold)
+    hot_keys = F.broadcast(hot.select(key))
+    hot_part = big.join(F.broadcast(hot), key)
+    cold_part = big.join(hot_keys, key, "left_anti").join(cold, key)
+    return hot_part.unionByName(cold_part)

@@ -13,9 +13,9 @@ keyed on (doc, term): a document's repeats collapse map-side, so the shuffle
 carries distinct (doc, term) pairs.  Document frequency is a second aggregate
 on term; a frequent term is pre-aggregated per map task before the shuffle.
 The join of pairs back to their term's frequency has one row per term on
-the small side; a hot term's partition on the big side is split by AQE's
-skew-join handling, or the whole join turns into a broadcast when the term
-table is small at run time.
+the small side; terms in very many documents are joined by a bounded
+broadcast and kept out of the shuffle (``joins.join_hot_split``), the rest
+by a shuffle join that AQE may still turn into a broadcast at run time.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fundlens.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, regex_tokens, remove_stop_words
+from fundlens.operators.joins import join_hot_split
 from fundlens.operators.words import explode_values
 
 
@@ -61,13 +62,18 @@ def document_frequency(tc: DataFrame, id_col: str) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",
-          min_df: float = 1.0) -> DataFrame:
+          min_df: float = 1.0, hot_split: bool = True, max_hot: int = 100_000) -> DataFrame:
     """T3 + T4: ``(id, term, tf, df, idf, tfidf)``.
 
     ``idf = ln((N + 1) / (df + 1))`` with N the number of documents (rows of
     ``docs``, empty ones included), as Spark ML's IDF.  ``min_df`` keeps
     terms in at least that many documents, or that share of them if below 1
     (CountVectorizer's rule).  N is a scalar subquery, not a cross join.
+
+    With ``hot_split`` the pairs are joined to their term's frequency by
+    ``joins.join_hot_split``: terms found in very many documents go by a
+    bounded broadcast and never enter the shuffle, so one frequent term
+    cannot load one reducer with a large share of all pairs.
     """
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     tc = term_counts(docs, id_col, tokens_col)
@@ -76,7 +82,9 @@ def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",
         bound = F.lit(min_df) if min_df >= 1.0 else F.lit(min_df) * n_docs
         dfreq = dfreq.where(F.col("df") >= bound)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    return (tc.join(dfreq, "term")
+    joined = (join_hot_split(tc, dfreq, "term", "df", max_hot) if hot_split
+              else tc.join(dfreq, "term"))
+    return (joined
               .select(id_col, "term", "tf", "df", idf.alias("idf"))
               .withColumn("tfidf", F.col("tf") * F.col("idf")))
 

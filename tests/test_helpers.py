@@ -49,3 +49,20 @@ def test_scale_conf():
     c = scale_conf(100 << 40)  # 100 TiB through the largest shuffle
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_join_hot_split_equals_plain_join(spark):
+    from fundlens.operators.joins import join_hot_split
+    # key 0 holds a third of all rows
+    big = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),
+        F.col("id").alias("v"))
+    keyed = big.groupBy("k").agg(F.count(F.lit(1)).alias("w"))
+    split = join_hot_split(big, keyed, "k", "w", max_hot=10)
+    plain = big.join(keyed, "k")
+    assert sorted(split.collect()) == sorted(plain.collect())
+    # the hot key is matched by the broadcast branch only
+    p = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    cold_side = (big.join(F.broadcast(keyed.where(F.col("w") > 30000 / 10).select("k")), "k", "left_anti"))
+    assert cold_side.where(F.col("k") == 0).count() == 0
