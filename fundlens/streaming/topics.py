@@ -19,28 +19,41 @@ from pyspark.sql.types import StructType
 MESSAGE_PREFIX = "message ecrit le "
 
 
-def read_topic(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-               glob: str | None = None, max_files_per_trigger: int | None = None,
+def read_topic(spark: SparkSession, path: str | None, schema: StructType | None = None,
+               fmt: str = "parquet", glob: str | None = None,
+               max_files_per_trigger: int | None = None,
                options: dict | None = None) -> DataFrame:
-    """An unbounded DataFrame over a topic folder."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """An unbounded DataFrame over a topic.
+
+    A file topic is a folder and needs its ``schema``.  A Kafka topic takes
+    neither: ``read_topic(spark, None, fmt="kafka", options={
+    "kafka.bootstrap.servers": ..., "subscribe": ..., "startingOffsets":
+    "earliest"})`` (earliest = from the beginning on a fresh checkpoint).
+    """
+    reader = spark.readStream.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    return reader.load(path) if path else reader.load()
 
 
-def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-          timeout_s: float | None = 600, query_name: str | None = None) -> str:
+def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, fmt: str = "parquet",
+          timeout_s: float | None = 600, query_name: str | None = None,
+          options: dict | None = None) -> str | None:
     """Run ``stream`` into an append-only sink until everything
     available now is consumed, then stop.  Files sinks are exactly-once
     (the sink's own log names the committed files)."""
     writer = (stream.writeStream.format(fmt).outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", sink_path)
-              .trigger(availableNow=True))
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    if sink_path:
+        writer = writer.option("path", sink_path)
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
     if query_name:
         writer = writer.queryName(query_name)
     q = writer.start()
@@ -56,9 +69,15 @@ def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parque
     return sink_path
 
 
-def append_to_topic(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """A producer appends a batch of messages as new files."""
-    df.write.mode("append").format(fmt).save(path)
+def append_to_topic(df: DataFrame, path: str | None, fmt: str = "parquet",
+                    options: dict | None = None) -> None:
+    """A producer appends a batch of messages - new files in a file
+    topic, or records of a Kafka topic (``fmt="kafka"``, ``path=None``,
+    a ``value`` column and ``{"kafka.bootstrap.servers": ..., "topic": ...}``)."""
+    writer = df.write.mode("append").format(fmt)
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save(path) if path else writer.save()
 
 
 def message_text(ts: Column | str) -> Column:
