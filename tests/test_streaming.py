@@ -48,3 +48,35 @@ def test_rate_heartbeat_format(spark):
     assert len(rows) >= 3
     for v in rows:
         assert re.fullmatch(r"message ecrit le \d\d:\d\d:\d\d:\d{6}000", v), v
+
+
+def test_resume_after_failure_no_loss_no_repeat(spark, tmp_path):
+    import pytest
+    base = shared_dir(spark, "t-crash")
+    topic, sink, ckpt = (os.path.join(base, p) for p in ("topic", "sink", "ckpt"))
+    events = table(spark, SF_SMALL, "events")
+    n = events.count()
+    half = F.col("event_id") < F.lit(n // 2)
+    append_to_topic(events.where(half).coalesce(1), topic)
+    append_to_topic(events.where(~half).coalesce(1), topic)
+    marker = os.path.join(tmp_path, "fail")
+    open(marker, "w").close()
+
+    @F.udf("long")
+    def crash_on_second_half(event_id):
+        # a consumer that dies while reading the second file
+        if os.path.exists(marker) and event_id >= n // 2:
+            raise RuntimeError("consumer crashed")
+        return event_id
+
+    def stream():
+        s = read_topic(spark, topic, events.schema, max_files_per_trigger=1)
+        return s.withColumn("event_id", crash_on_second_half("event_id"))
+
+    with pytest.raises(Exception):
+        drain(stream(), sink, ckpt)
+    assert spark.read.parquet(sink).count() == n // 2  # first file committed
+    os.remove(marker)
+    drain(stream(), sink, ckpt)  # restart on the same checkpoint
+    out = spark.read.parquet(sink)
+    assert out.count() == n and out.select("event_id").distinct().count() == n
