@@ -33,15 +33,22 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, weight: str,
     Keys heavier than ``total / max_hot`` are hot.  There are at most
     ``max_hot`` of them (their weights add up to at most the total), so they
     are broadcast - a size bound by construction - and their rows of
-    ``big`` never enter a shuffle: they are removed by a broadcast anti-join
-    before the remaining keys are joined by shuffle, where no key has more
-    than ``total / max_hot`` rows.  Nothing is sampled or dropped.
+    ``big`` never enter a shuffle: they are marked by a broadcast left join
+    and filtered out before the remaining keys are joined by shuffle, where
+    no key has more than ``total / max_hot`` rows.  Nothing is sampled or
+    dropped.
+
+    The exclusion is a left join + ``IS NULL`` rather than a left-anti
+    join: Catalyst pushes an anti join below an aggregate on the key, which
+    would make the two branches' copies of ``big`` differ and stop Spark
+    from reusing one exchange for both.
     """
     total = keyed.agg(F.sum(weight)).scalar()
     threshold = F.greatest(F.lit(1), total / F.lit(max_hot))
     hot = keyed.where(F.col(weight) > threshold)
     cold = keyed.where(F.col(weight) <= threshold)
-    hot_keys = F.broadcast(hot.select(key))
     hot_part = big.join(F.broadcast(hot), key)
-    cold_part = big.join(hot_keys, key, "left_anti").join(cold, key)
+    marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot_key")))
+    cold_part = (big.join(marks, key, "left").where(F.col("_hot_key").isNull())
+                    .drop("_hot_key").join(cold, key))
     return hot_part.unionByName(cold_part)
