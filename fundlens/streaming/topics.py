@@ -82,9 +82,18 @@ def append_to_topic(df: DataFrame, path: str | None, fmt: str = "parquet",
 
 def message_text(ts: Column | str) -> Column:
     """S11's text: ``message ecrit le HH:mm:ss:<nanoseconds>`` (Spark keeps
-    microseconds, so the last three of the nine digits are 0)."""
+    microseconds, so the last three of the nine digits are 0).
+
+    Built from the time fields: for a session-zone timestamp (the rate
+    source) they read the session's clock, for a TIMESTAMP_NTZ they read its
+    wall clock as is - ``date_format`` would shift an NTZ value that falls
+    in a daylight-saving gap of the session zone.
+    """
     t = F.col(ts) if isinstance(ts, str) else ts
-    return F.concat(F.lit(MESSAGE_PREFIX), F.date_format(t, "HH:mm:ss:SSSSSSSSS"))
+    micros = F.extract(F.lit("SECOND"), t) * 1_000_000
+    nanos = (micros % 1_000_000).cast("long") * 1000
+    return F.concat(F.lit(MESSAGE_PREFIX),
+                    F.format_string("%02d:%02d:%02d:%09d", F.hour(t), F.minute(t), F.second(t), nanos))
 
 
 def heartbeat_messages(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:

@@ -71,3 +71,27 @@ def test_days_do_not_depend_on_session_zone(spark):
 def test_tokens_are_ascii_word_split(spark):
     df = spark.createDataFrame([("Ministère des Armées",)], "t string")
     assert df.select(regex_tokens("t")).first()[0] == ["minist", "re", "des", "arm", "es"]
+
+
+def test_epoch_strings_in_a_daylight_saving_gap(spark):
+    # 1997-04-06 02:38:35 UTC is a wall clock that does not exist in New York
+    df = spark.createDataFrame([(860294315, 0), (-1, 0)], "a long, b long")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in df.select(epoch_to_string("a")).collect()]
+        assert got == ["1997-04-06 02:38:35", "1969-12-31 23:59:59"]
+        assert [r[0] for r in df.select(days_between("a", "b")).collect()] == [9957, -1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_message_text_keeps_ntz_wall_clock(spark):
+    from fundlens.streaming import message_text
+    df = spark.sql("SELECT timestamp_ntz'1996-04-07 02:06:19.123456' AS t")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(message_text("t")).first()[0] == "message ecrit le 02:06:19:123456000"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
