@@ -25,13 +25,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, weight: str,
-                   max_hot: int = 100_000) -> DataFrame:
+                   max_hot: int = 1_000_000) -> DataFrame:
     """Inner join of ``big`` with ``keyed`` (one row per key) when the exact
     number of ``big`` rows per key is known (``keyed[weight]``, e.g. a
     term's document frequency is its number of (doc, term) pairs).
 
-    Keys heavier than ``total / max_hot`` are hot.  There are at most
-    ``max_hot`` of them (their weights add up to at most the total), so they
+    Keys heavier than ``total / max_hot`` are hot - or all keys, when there
+    are at most ``max_hot`` of them.  Either way there are at most
+    ``max_hot`` hot keys (their weights add up to at most the total), so they
     are broadcast - a size bound by construction - and their rows of
     ``big`` never enter a shuffle: they are marked by a broadcast left join
     and filtered out before the remaining keys are joined by shuffle, where
@@ -43,8 +44,10 @@ def join_hot_split(big: DataFrame, keyed: DataFrame, key: str, weight: str,
     would make the two branches' copies of ``big`` differ and stop Spark
     from reusing one exchange for both.
     """
-    total = keyed.agg(F.sum(weight)).scalar()
-    threshold = F.greatest(F.lit(1), total / F.lit(max_hot))
+    # one scalar subquery: 0 (every key hot) for a small key table,
+    # else the weight above which a key is hot
+    threshold = keyed.agg(F.when(F.count(F.lit(1)) <= max_hot, F.lit(0.0))
+                           .otherwise(F.greatest(F.lit(1.0), F.sum(weight) / max_hot))).scalar()
     hot = keyed.where(F.col(weight) > threshold)
     cold = keyed.where(F.col(weight) <= threshold)
     hot_part = big.join(F.broadcast(hot), key)

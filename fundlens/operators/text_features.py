@@ -62,7 +62,7 @@ def document_frequency(tc: DataFrame, id_col: str) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",
-          min_df: float = 1.0, hot_split: bool = True, max_hot: int = 100_000) -> DataFrame:
+          min_df: float = 1.0, hot_split: bool = True, max_hot: int = 1_000_000) -> DataFrame:
     """T3 + T4: ``(id, term, tf, df, idf, tfidf)``.
 
     ``idf = ln((N + 1) / (df + 1))`` with N the number of documents (rows of

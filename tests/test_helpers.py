@@ -66,3 +66,11 @@ def test_join_hot_split_equals_plain_join(spark):
     assert "BroadcastHashJoin" in p and "LeftOuter" in p
     cold_side = (big.join(F.broadcast(keyed.where(F.col("w") > 30000 / 10).select("k")), "k", "left_anti"))
     assert cold_side.where(F.col("k") == 0).count() == 0
+
+
+def test_join_hot_split_small_key_table_is_one_broadcast(spark):
+    from fundlens.operators.joins import join_hot_split
+    big = spark.range(5000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    keyed = big.groupBy("k").agg(F.count(F.lit(1)).alias("w"))
+    out = join_hot_split(big, keyed, "k", "w", max_hot=100)  # 50 keys: all hot
+    assert sorted(out.collect()) == sorted(big.join(keyed, "k").collect())
