@@ -29,3 +29,13 @@ def test_word_count_job(spark):
     top = word_count(spark, path, k=5).collect()
     assert len(top) == 5
     assert [r["count"] for r in top] == sorted((r["count"] for r in top), reverse=True)
+
+
+def test_preprocess_with_inferred_types_matches_text_schema(spark):
+    base = shared_dir(spark, "t-infer")
+    raw = campaigns(spark, SF_SMALL).withColumnRenamed("descr", "desc").select(*CAMPAIGN_COLUMNS)
+    csv = write_table(raw, os.path.join(base, "csv"), "csv", header=True)
+    typed = preprocess(spark, csv, os.path.join(base, "a"), infer_schema=True)
+    text = preprocess(spark, csv, os.path.join(base, "b"))
+    assert typed.columns == text.columns
+    assert sorted(typed.collect()) == sorted(text.collect())
