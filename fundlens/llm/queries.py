@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import exact_dedup, mixing, rules
+from fundlens.llm import bpe, exact_dedup, mixing, rules, simhash, wavelet
+from fundlens.session import shared_dir
 from fundlens.sources.tables import table
 
+#: Vocabulary file of the tokenizing queries.
+TOKENIZER = "word_bpe_49k.json"
+
 #: Labelled rows at most used to fit a model; taken in the order of a hash.
 LABELLED = 20_000
 
@@ -16,6 +20,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+def encoded_digests(df: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """Encode and decode every text; the ids and the decoded text come back
+    as counts and SHA-256 digests."""
+    both = bpe.decode(bpe.encode(df, path, "text", keep), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(*keep, F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(documents(spark, sf_dir), tokenizer_path(), ["doc_id"])
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "positions")
@@ -25,6 +52,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wavelet.write_shards(documents(spark, sf_dir), tokenizer_path(), shared_dir(spark, "wavelet"))
+    return wavelet.stored_documents(spark, out)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", ["doc_id", "quality"])
     trusted = (labels.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -33,8 +65,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_simhash_pivots": op4_simhash_pivots,
+    "op5_bpe_tree": op5_bpe_tree,
     "op6_curriculum_mix": op6_curriculum_mix,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_wavelet_shards": op9_wavelet_shards,
     "op10_quality_rules": op10_quality_rules,
 }
 
