@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import bpe, exact_dedup, mixing, rules, simhash, wavelet
+from fundlens.llm import bpe, exact_dedup, frames, mixing, rules, simhash, suffix_tree, wavelet
 from fundlens.session import shared_dir
 from fundlens.sources.tables import table
 
@@ -20,6 +20,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with crc32(doc_id as text) mod 7 = 2 are held out of training."""
+    docs = documents(spark, sf_dir)
+    held_out = frames.remainder(F.col("doc_id"), 7) == 2
+    tree, words = suffix_tree.fit(docs.where(~held_out))
+    return suffix_tree.score(docs, tree, words).select("doc_id", held_out.alias("held_out"), *[
+        "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -65,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_bpe_tree": op5_bpe_tree,
     "op6_curriculum_mix": op6_curriculum_mix,
