@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import bpe, exact_dedup, frames, mixing, rules, simhash, suffix_tree, wavelet
+from fundlens.llm import (
+    bpe,
+    exact_dedup,
+    frames,
+    mixing,
+    quality,
+    rules,
+    simhash,
+    suffix_tree,
+    toxicity,
+    wavelet,
+)
 from fundlens.session import shared_dir
 from fundlens.sources.tables import table
 
@@ -20,6 +31,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with crc32(doc_id as text) mod 3 = 1 are held out of training."""
+    docs = documents(spark, sf_dir)
+    texts, labels = toxicity.training_rows(
+        docs, table(spark, sf_dir, "labels"), frames.remainder(F.col("id"), 3) != 1)
+    net, calibration = toxicity.train(texts, labels)
+    rows = docs.select("doc_id", (frames.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
+    return toxicity.score(rows, net, calibration).select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with crc32(doc_id as text) mod 3 = 1 are held out of training."""
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), frames.remainder(F.col("id"), 3) != 1)
+    rows = docs.withColumn("held_out", frames.remainder(F.col("doc_id"), 3) == 1)
+    return quality.score(rows, model).select("doc_id", "held_out", "quality_score", "accepted")
+
+
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with crc32(doc_id as text) mod 7 = 2 are held out of training."""
     docs = documents(spark, sf_dir)
@@ -74,6 +103,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_gru": op1_toxicity_gru,
+    "op2_quality_cotraining": op2_quality_cotraining,
     "op3_suffix_tree": op3_suffix_tree,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_bpe_tree": op5_bpe_tree,
