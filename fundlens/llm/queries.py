@@ -15,6 +15,7 @@ from fundlens.llm import (
     simhash,
     suffix_tree,
     toxicity,
+    transcripts,
     wavelet,
 )
 from fundlens.session import shared_dir
@@ -90,6 +91,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op8_transcript_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as raw transcripts, parsed back.  Learns from those
+    with crc32(conv_id as text) mod 3 <> 1."""
+    raw = transcripts.raw_transcripts(table(spark, sf_dir, "conversations"))
+    lines = frames.stored(transcripts.lines_of(raw, "conv_id", "turn", "raw", F.col("role")), "lines")
+    learned = lines.where(frames.remainder(F.col("conv"), 3) != 1)
+    turns = learned.groupBy("conv", "place", "role", "row").agg(F.count("*").alias("n_lines"))
+    model = transcripts.fit(turns, learned)
+    return transcripts.render(transcripts.parse(lines.drop("role"), model))
+
+
 def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wavelet.write_shards(documents(spark, sf_dir), tokenizer_path(), shared_dir(spark, "wavelet"))
     return wavelet.stored_documents(spark, out)
@@ -110,6 +122,7 @@ QUERIES = {
     "op5_bpe_tree": op5_bpe_tree,
     "op6_curriculum_mix": op6_curriculum_mix,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_transcript_hmm": op8_transcript_hmm,
     "op9_wavelet_shards": op9_wavelet_shards,
     "op10_quality_rules": op10_quality_rules,
 }
