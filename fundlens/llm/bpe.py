@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +36,13 @@ from pyspark.sql import types as T
 
 from fundlens.llm.frames import small_batches
 
-LEAF_CHARS = 16_384
+LEAF_CHARS = 65_536
 #: Characters on each side of a join that are first encoded again.
 WINDOW = 64
 #: Equal tokens that count as agreement.
 RUN = 4
 #: Pieces kept by a worker before its cache starts anew.
-CACHE = 250_000
+CACHE = 500_000
 
 #: The pre-tokenizer's pattern for lower-case ASCII pieces.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
@@ -76,28 +77,45 @@ class Encoder(dict):
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
         self.letters = _byte_letters()
         size = self.tokenizer.get_vocab_size()
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = "H" if size <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
         self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        #: characters of each token of ASCII text
+        self.sizes = np.array([len(n.removesuffix("</w>")) for n in self.names], np.int64)
         self.spans: dict = {}
 
     def __missing__(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        if not self.plain or any(m in piece for m in self.marks):
+            return self._keep(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        # a capital or a mark at the end is settled without an entry of its
+        # own, unless it is short and so likely to come again
+        if piece[-1] in ",." and len(piece) > 1 and piece[-2].lower().isalnum() and piece[-2] < "ɐ":
+            return self._short(piece, self[piece[:-1]] + self[piece[-1]])
+        if piece.isascii() and piece.isprintable():
+            parts = ASCII_PIECE.findall(piece.lower())
+            if parts == [piece]:
+                return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(piece)])
+            return self._short(piece, b"".join([self[p] for p in parts]))
+        if piece.isalpha() and max(piece) < "ɐ":  # letters of Latin alphabets, all composed
+            low = piece.lower()
+            if low != piece:
+                return self._short(piece, self[low])
+            part = "".join([self.letters[b] for b in piece.encode()])
+            return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(part)])
+        return self._keep(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def _keep(self, piece: str, ids: list[int]) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        ids = self._part_ids(piece)
-        self[piece] = out = np.array(ids, self.dtype).tobytes()
+        self[piece] = out = array(self.code, ids).tobytes()
         return out
 
-    def _part_ids(self, piece: str) -> list[int]:
-        if not self.plain or any(m in piece for m in self.marks):
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        if piece.isascii() and piece.isprintable():
-            tokenize = self.tokenizer.model.tokenize
-            return [t.id for part in ASCII_PIECE.findall(piece.lower()) for t in tokenize(part)]
-        # letters of Latin alphabets, composed and in lower case
-        if piece.isalpha() and max(piece) < "ɐ" and piece == piece.lower():
-            part = "".join([self.letters[b] for b in piece.encode()])
-            return [t.id for t in self.tokenizer.model.tokenize(part)]
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+    def _short(self, piece: str, out: bytes) -> bytes:
+        if len(piece) <= 6:
+            self[piece] = out
+        return out
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as the library gives them for the whole."""
@@ -109,25 +127,44 @@ class Encoder(dict):
             return " ".join([self.names[i] for i in ids.tolist()])
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
-    def _span(self, piece: str) -> tuple[bytes, bytes, bytes]:
+    def _span(self, piece: str) -> np.ndarray:
+        """First and end characters of a piece's tokens, in two rows."""
         found = self.spans.get(piece)
         if found is None:
             if len(self.spans) >= CACHE // 4:
                 self.spans.clear()
-            e = self.tokenizer.encode(piece, add_special_tokens=False)
-            at = np.array(e.offsets, np.int64).reshape(-1, 2)
-            found = self.spans[piece] = (np.array(e.ids, np.int64).tobytes(),
-                                         at[:, 0].tobytes(), at[:, 1].tobytes())
+            offsets = self.tokenizer.encode(piece, add_special_tokens=False).offsets
+            found = self.spans[piece] = np.array(offsets, np.int32).reshape(-1, 2).T
         return found
 
     def tokens(self, text: str, start: int = 0) -> np.ndarray:
         """Ids, first and end character of a text's tokens as three columns;
         ``start`` is the place of its first character."""
-        pieces = [(m.start(), self._span(m[0])) for m in _PIECE.finditer(text)]
-        out = np.array([np.frombuffer(b"".join(s[k] for _, s in pieces), np.int64) for k in range(3)]).T
-        shift = np.repeat(np.array([p for p, _ in pieces], np.int64) + start,
-                          [len(s[0]) // 8 for _, s in pieces])
-        return out + shift[:, None] * np.array([0, 1, 1])
+        pieces = _PIECE.findall(text)
+        coded = list(map(self.__getitem__, pieces))
+        ids = np.frombuffer(b"".join(coded), self.dtype).astype(np.int64)
+        count = np.array([len(c) for c in coded], np.int64) // self.dtype.itemsize
+        first = np.cumsum(count) - count
+        # tokens cover an ASCII piece without gaps
+        ends = np.cumsum(self.sizes[ids])
+        begin = np.append(0, ends)[:-1]
+        places = _starts(text)
+        shift = np.repeat(places - np.append(begin, 0)[first], count) if pieces else places
+        begin, ends = begin + shift, ends + shift
+        for i, piece in enumerate(pieces):
+            if not (piece.isascii() and self.plain):
+                a, z, span = first[i], first[i] + count[i], self._span(piece)
+                begin[a:z], ends[a:z] = span[0] + places[i], span[1] + places[i]
+        return np.column_stack([ids, begin + start, ends + start])
+
+
+def _starts(text: str) -> np.ndarray:
+    """Places of the first characters of a text's pieces."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    solid = np.ones(len(letters) + 1, bool)
+    solid[0] = False
+    solid[1:] = ~((letters == 32) | (letters - 9 < 5))
+    return np.flatnonzero(solid[1:] & ~solid[:-1])
 
 
 _PIECE = re.compile("[^ \t\n\r\x0b\x0c]+")
@@ -199,6 +236,20 @@ def concatenate(text: str, leaves: list[np.ndarray], borders: list[int], tokens)
     return leaves[0]
 
 
+def _packed(tokens: np.ndarray, start: int) -> bytes:
+    """A leaf's tokens: each step from one to the next is small."""
+    steps = np.diff(tokens[:, 1] - start, prepend=0)
+    sizes = tokens[:, 2] - tokens[:, 1]
+    kind = "<u2" if max(steps.max(initial=0), sizes.max(initial=0), tokens[:, 0].max(initial=0)) < 1 << 16 else "<u4"
+    return kind[-1].encode() + np.concatenate([tokens[:, 0], steps, sizes]).astype(kind).tobytes()
+
+
+def _unpacked(packed: bytes, start: int) -> np.ndarray:
+    ids, steps, sizes = np.frombuffer(packed[1:], "<u" + packed[:1].decode()).astype(np.int64).reshape(3, -1)
+    begin = np.cumsum(steps) + start
+    return np.column_stack([ids, begin, begin + sizes])
+
+
 def _lists(ids: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, ids)])
     flat = np.concatenate(ids) if ids else np.zeros(0)
@@ -241,14 +292,15 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
             parts = [coder.tokens(t, s) for t, s in zip(
                 batch.column("text").to_pylist(), batch.column("start").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([p.tobytes() for p in parts], pa.binary())],
+                [*batch.columns, pa.array([_packed(p, s) for p, s in zip(
+                    parts, batch.column("start").to_pylist(), strict=True)], pa.binary())],
                 [*batch.schema.names, "tokens"])
 
     def document(parts: pa.Table) -> pa.Table:
         parts = parts.sort_by("start")
         texts = parts.column("text").to_pylist()
         borders = [*parts.column("start").to_pylist(), sum(map(len, texts))]
-        leaves = [np.frombuffer(t, np.int64).reshape(-1, 3) for t in parts.column("tokens").to_pylist()]
+        leaves = [_unpacked(t, s) for t, s in zip(parts.column("tokens").to_pylist(), borders, strict=False)]
         coder = encoder(path)
         whole = concatenate("".join(texts), leaves, borders, coder.tokens)
         first = parts.slice(0, 1).select([f.name for f in kept])
