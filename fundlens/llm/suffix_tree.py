@@ -46,7 +46,7 @@ GRAM_SHARE = 1e-5
 DEPTH = 3
 STRENGTH = 5.0
 #: Tokens of a block in which frequent runs are named.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 #: Distinct words that a task counts before it hands them on.
 HELD = 2_000_000
 
@@ -70,7 +70,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, place = np.unique(words, return_inverse=True)
         return names, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
 
-    for part in chunks(batches, "text", 8 << 20):
+    for part in chunks(batches, "text"):
         words, _ = hashed_words(part.column("text"))
         held.append(np.unique(words, return_counts=True))
         n_held += len(held[-1][0])

@@ -2,7 +2,7 @@
 
 The input of a time step is a word (A-Z in lower case): the embedding of its
 hash and the sum of the embeddings of its character 4-grams (over UTF-8 bytes,
-with the separator before it), so unknown forms of a known stem are seen by
+with separators before it), so unknown forms of a known stem are seen by
 their characters.  One gated recurrent layer reads a window of words forwards,
 one backwards; an attention layer weighs the steps, and the weighted sum gives
 the window's logit.  Windows of ``WINDOW`` words start every ``STRIDE`` words,
@@ -62,22 +62,17 @@ class Words:
         starts, ends, self.rows = word_spans(data, offsets)
         self.n = len(texts)
         self.word = (SpanHash(data)(starts, ends) % np.uint64(WORD_SLOTS)).astype(np.int32)
-        # the 4-gram that ends at each byte of a word; before a row's first
-        # byte stands a separator
-        wide = data.astype(np.uint32)
-        gram = wide.copy()
-        row_start = offsets[:-1][np.diff(offsets) > 0]
-        for back in (1, 2, 3):
-            shifted = np.full(len(wide), 32, np.uint32)
-            shifted[back:] = wide[:-back] if back else wide
-            for k in range(back):
-                at = row_start + k
-                shifted[at[at < len(wide)]] = 32
-            gram |= shifted << np.uint32(8 * back)
+        # the 4-gram that ends at each byte of a word, with separators before
+        # the word
         length = ends - starts
         self.first_gram = np.cumsum(length) - length
-        inside = np.arange(int(length.sum())) + np.repeat(starts - self.first_gram, length)
-        self.gram = (mix(gram[inside].astype(np.uint64)) % np.uint64(GRAM_SLOTS)).astype(np.int32)
+        place = np.arange(int(length.sum())) - np.repeat(self.first_gram, length)
+        at = place + np.repeat(starts, length)
+        gram = data[at].astype(np.uint64)
+        for back in (1, 2, 3):
+            before = np.where(place >= back, data[np.maximum(at - back, 0)], np.uint8(32))
+            gram |= before.astype(np.uint64) << np.uint64(8 * back)
+        self.gram = (mix(gram) % np.uint64(GRAM_SLOTS)).astype(np.int32)
         count = np.bincount(self.rows, minlength=self.n)
         # windows: enough strides that the last one reaches the end, and one
         # for a text without words
