@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, text_buffer, word_spans
+from fundlens.llm.batches import CHUNK_BYTES, LOWER, SpanHash, chunks, mix, text_buffer, word_spans
 from fundlens.llm.frames import fresh, small_batches
 
 WINDOW = 32
@@ -83,6 +83,22 @@ class Words:
         self.window_start = begin[self.window_row] + number * STRIDE
         self.window_size = np.clip(count[self.window_row] - number * STRIDE, 0, WINDOW)
 
+    @classmethod
+    def of(cls, texts: list[str], limit: int = CHUNK_BYTES) -> Words:
+        """Those of many texts, read ``limit`` characters at a time."""
+        sizes = np.cumsum([len(t) + 1 for t in texts]) // limit
+        borders = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+        parts = [cls(pa.array(texts[a:b], pa.large_string())) for a, b in zip(borders, borders[1:], strict=False)]
+        out = parts[0]
+        for name, total in (("rows", "n"), ("first_gram", "gram"), ("window_row", "n"), ("window_start", "word")):
+            size = [getattr(p, total) if total == "n" else len(getattr(p, total)) for p in parts]
+            shifts = np.cumsum([0, *size[:-1]])
+            setattr(out, name, np.concatenate([getattr(p, name) + k for p, k in zip(parts, shifts, strict=True)]))
+        for name in ("word", "gram", "window_size"):
+            setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
+        out.n = len(texts)
+        return out
+
     def steps(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word places (windows x WINDOW) and which of them exist."""
         step = np.arange(WINDOW)
@@ -278,7 +294,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUN
     labels = np.array(labels, float)
     if not len(labels):
         return net, (0.0, 0.0)
-    words = Words(pa.array(texts, pa.large_string()))
+    words = Words.of(texts)
     rng, steps_of = np.random.default_rng(seed), Steps(net)
     # every fifth document is left for the calibration
     learns = np.arange(words.n) % 5 != 4 if words.n >= 50 else np.ones(words.n, bool)

@@ -57,6 +57,14 @@ def test_windows_cover_texts_and_overlap():
         assert all(b > c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
 
 
+def test_words_by_parts_equal_the_whole():
+    texts = ["a bc", "", " x " * 50, "é stupid", *["w " * k for k in range(80)]]
+    whole, parts = toxicity.Words(pa.array(texts)), toxicity.Words.of(texts, limit=60)
+    assert whole.n == parts.n
+    for name in ("rows", "word", "gram", "first_gram", "window_row", "window_start", "window_size"):
+        assert getattr(whole, name).tolist() == getattr(parts, name).tolist(), name
+
+
 def test_gradients():
     net = {k: v.astype(float) for k, v in toxicity.new_network(1).items()}
     words = toxicity.Words(pa.array(["you are a stupid moron and more words here", "", "hello world é "]))
