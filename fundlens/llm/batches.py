@@ -26,7 +26,7 @@ _MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULT, -1, 1 << 64)
 
 #: Text bytes handled at once; bounds the memory of a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -40,8 +40,8 @@ SHAPES = 96
 #: characters a word.
 SLOTS = (64, 32, 32, 24, 24, 24)
 #: Labelled and unlabelled rows used to fit, at most.
-LABELLED = 6000
-POOL = 4000
+LABELLED = 4000
+POOL = 3000
 ROUNDS = 4
 #: Share of the pool that a view labels in a round.
 SURE = 0.05

@@ -250,7 +250,7 @@ class Steps:
             net[k] -= (rate * self.first[k] / (np.sqrt(self.second[k]) + 1e-7)).astype(np.float32)
 
 
-def _all_logits(net: dict, words: Words, step: int = 8192) -> np.ndarray:
+def _all_logits(net: dict, words: Words, step: int = 4096) -> np.ndarray:
     inputs = _inputs(net, words)
     n = len(words.window_row)
     parts = [forward(net, *words.steps(np.arange(i, min(i + step, n))), inputs)[0] for i in range(0, n, step)]
