@@ -51,5 +51,7 @@ def days_between(end: Column | str, start: Column | str) -> Column:
 
 def hours_between(start: Column | str, end: Column | str) -> Column:
     """F8: hours from ``start`` to ``end`` truncated toward zero at three
-    decimals, ``((end - start) / 3.6).cast(int) / 1000``."""
-    return ((_c(end) - _c(start)) / 3.6).cast("int") / 1000
+    decimals, ``((end - start) / 3.6).cast(int) / 1000``.  Null where the
+    difference of two extreme values leaves the integer range."""
+    seconds = _c(end).cast("bigint") - _c(start).cast("bigint")
+    return (seconds / 3.6).try_cast("int") / 1000

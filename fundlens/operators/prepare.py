@@ -74,6 +74,13 @@ def repair_preparation(df: DataFrame, drop_dates: bool = True) -> DataFrame:
     return out.drop("created_at", "launched_at", "deadline") if drop_dates else out
 
 
+def drop_negative_preparation(df: DataFrame, drop_dates: bool = True) -> DataFrame:
+    """The other policy: rows with a negative preparation go; unknown ones
+    stay."""
+    out = df.where(~F.coalesce(F.col("hours_prepa") < 0, F.lit(False)))
+    return out.drop("created_at", "launched_at", "deadline") if drop_dates else out
+
+
 def add_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
     """F3 + F4: lower-case the text columns and join them with blanks
     (nulls skipped) into ``text``."""
@@ -91,14 +98,21 @@ PREPARED_COLUMNS = ("project_id", "name", "descr", "goal", "keywords",
                     "hours_prepa", "text")
 
 
-def prepare(df: DataFrame, label_policy: str = "recode") -> DataFrame:
-    """The full preparation, raw campaigns -> prepared table."""
-    return (df.transform(cast_campaigns)
+def prepare(df: DataFrame, label_policy: str = "recode", through_double: bool = False,
+            negative_preparation: str = "repair") -> DataFrame:
+    """The full preparation, raw campaigns -> prepared table.
+
+    ``through_double``: decimals in the integer columns are truncated, not
+    null.  ``negative_preparation``: "repair" them or "drop" their rows."""
+    if negative_preparation not in ("repair", "drop"):
+        raise ValueError("negative_preparation must be repair or drop")
+    fix = repair_preparation if negative_preparation == "repair" else drop_negative_preparation
+    return (df.transform(cast_campaigns, through_double)
               .transform(drop_leakage)
               .transform(clean_location)
               .transform(clean_status, label_policy)
               .transform(add_durations)
-              .transform(repair_preparation)
+              .transform(fix)
               .transform(add_text)
               .transform(fill_nulls)
               .select(*PREPARED_COLUMNS))

@@ -51,6 +51,22 @@ def test_hours_and_repair(spark):
     assert [r[0] for r in repaired.select("hours_prepa").collect()] == [0.0, 1.361, -1.0]
 
 
+def test_extreme_hours_are_null(spark):
+    df = spark.createDataFrame([(-2000000000, 2000000000), (0, 3600)], "a int, b int")
+    far = df.select(hours_between("a", "b")).collect()
+    assert far[0][0] == 1111111.111 and far[1][0] == 1.0
+
+
+def test_prepare_truncates_decimals_and_drops_negative_preparation(spark):
+    row = ("kk1", "n", "d", "2500.5", "k", "False", "C1", "USD", "900", "900", "500", "100", "3", "1")
+    names = "project_id name descr goal keywords disable_communication country currency deadline " \
+            "state_changed_at created_at launched_at backers_count final_status"
+    df = spark.createDataFrame([row], ", ".join(f"{n} string" for n in names.split()))
+    assert df.transform(P.prepare).first().goal == -1
+    assert df.transform(P.prepare, through_double=True).first().goal == 2500
+    assert df.transform(P.prepare, negative_preparation="drop").count() == 0
+
+
 def test_days_boundary(spark):
     df = spark.createDataFrame([(86399, 86400), (None, 5)], "a int, b int")
     assert [r[0] for r in df.select(days_between("b", "a")).collect()] == [1, None]
