@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fundlens.functions.text import ENGLISH_STOP_WORDS, TOKEN_PATTERN, regex_tokens, remove_stop_words
-from fundlens.operators.joins import join_hot_split
+from fundlens.operators.joins import HOT_BYTES, join_hot_split
 from fundlens.operators.words import explode_values
 
 
@@ -62,13 +62,16 @@ def document_frequency(tc: DataFrame, id_col: str) -> DataFrame:
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",
-          min_df: float = 1.0, hot_split: bool = True, max_hot: int = 1_000_000) -> DataFrame:
+          min_df: float = 1.0, hot_split: bool = True, max_bytes: int = HOT_BYTES,
+          min_tf: float = 1.0, min_doc_freq: int = 0) -> DataFrame:
     """T3 + T4: ``(id, term, tf, df, idf, tfidf)``.
 
     ``idf = ln((N + 1) / (df + 1))`` with N the number of documents (rows of
     ``docs``, empty ones included), as Spark ML's IDF.  ``min_df`` keeps
     terms in at least that many documents, or that share of them if below 1
-    (CountVectorizer's rule).  N is a scalar subquery, not a cross join.
+    (CountVectorizer's rule); ``min_tf`` likewise terms of a document by
+    their count or share in it; terms in fewer than ``min_doc_freq``
+    documents get weight 0 (IDF's rule).  N is a scalar subquery.
 
     With ``hot_split`` the pairs are joined to their term's frequency by
     ``joins.join_hot_split``: terms found in very many documents go by a
@@ -82,8 +85,16 @@ def tfidf(docs: DataFrame, id_col: str, tokens_col: str = "filtered",
         bound = F.lit(min_df) if min_df >= 1.0 else F.lit(min_df) * n_docs
         dfreq = dfreq.where(F.col("df") >= bound)
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    joined = (join_hot_split(tc, dfreq, "term", "df", max_hot) if hot_split
+    if min_doc_freq > 0:
+        idf = F.when(F.col("df") >= min_doc_freq, idf).otherwise(F.lit(0.0))
+    joined = (join_hot_split(tc, dfreq, "term", "df", max_bytes) if hot_split
               else tc.join(dfreq, "term"))
+    if min_tf >= 1.0:
+        joined = joined.where(F.col("tf") >= min_tf)
+    else:
+        sizes = docs.select(F.col(id_col).alias("_doc"), F.size(tokens_col).alias("_size"))
+        joined = (joined.join(sizes, F.col(id_col) == F.col("_doc"))
+                  .where(F.col("tf") >= min_tf * F.col("_size")))
     return (joined
               .select(id_col, "term", "tf", "df", idf.alias("idf"))
               .withColumn("tfidf", F.col("tf") * F.col("idf")))
@@ -96,7 +107,8 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ties go to the smaller value; nulls are not indexed.  One aggregate for
     all columns (unpivot in the projection).  The ranking window is
     partitioned by column, so each window group holds one column's distinct
-    categories - the vocabulary StringIndexer itself keeps on the driver.
+    categories, never its rows.  Use it for columns whose distinct values
+    (not rows) fit one task, as StringIndexer asks of the driver.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                F.col(c).cast("string").alias("value")) for c in columns])
@@ -107,48 +119,60 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, id_col: str, columns: Sequence[str], index: DataFrame,
-            drop_last: bool = True) -> DataFrame:
+            drop_last: bool = True, max_bytes: int = HOT_BYTES) -> DataFrame:
     """T5 + T6: per row, each column's category index and the position of
     its 1 in the one-hot vector (null for the dropped last category), plus
     the vector size.  Rows with a null or unseen category are skipped, as
     with ``handleInvalid="skip"``.
 
-    The index table has one row per category; it is joined on the value
-    (AQE broadcasts it once it sees its size).
+    The index has one row per category.  Below ``max_bytes`` (checked) its
+    columns' parts are broadcast, so the table is not shuffled on its few
+    category values; a larger one is split by ``join_hot_split``, with a
+    category's own count as its weight: only rare categories are shuffled.
     """
     # categories per column: a window over the index, which the ranking
     # window has already partitioned by column (no further exchange)
     idx = index.withColumn("n_cat", F.count(F.lit(1)).over(Window.partitionBy("column_name")))
+    size = index.agg(F.sum(F.octet_length("value") + 64)).head()[0] or 0
     out = df.select(id_col, *columns)
     for c in columns:
         m = (idx.where(F.col("column_name") == c)
                 .select(F.col("value").alias(c), F.col("idx").alias(f"{c}_idx"),
-                        F.col("n_cat").alias(f"_{c}_n")))
-        out = out.join(m, c)
-        size = F.col(f"_{c}_n") - (1 if drop_last else 0)
+                        F.col("n_cat").alias(f"_{c}_n"), F.col("count").alias("_weight")))
+        out = (out.join(F.broadcast(m), c) if size <= max_bytes
+               else join_hot_split(out, m, c, "_weight", max_bytes)).drop("_weight")
+        size_of = F.col(f"_{c}_n") - (1 if drop_last else 0)
         out = out.withColumns({
-            f"{c}_hot": F.when(F.col(f"{c}_idx") < size, F.col(f"{c}_idx")),
-            f"{c}_size": size.cast("int"),
+            f"{c}_hot": F.when(F.col(f"{c}_idx") < size_of, F.col(f"{c}_idx")),
+            f"{c}_size": size_of.cast("int"),
         }).drop(f"_{c}_n")
     return out
 
 
 # --- pyspark.ml stages -------------------------------------------------------
 
+# The pipeline's thresholds, tolerance and vocabulary bound.
+VOCABULARY = 1 << 18
+THRESHOLDS = (0.7, 0.3)
+TOLERANCE = 1e-6
+
+
 def ml_stages(text_col: str = "text", label_col: str = "final_status",
               categorical: Sequence[str] = ("country2", "currency2"),
               numeric: Sequence[str] = ("days_campaign", "hours_prepa", "goal"),
-              min_df: float = 1.0, reg_param: float = 0.0, max_iter: int = 20):
+              min_df: float = 1.0, reg_param: float = 0.0, max_iter: int = 20,
+              vocab_size: int = VOCABULARY):
     """The reference's nine stages: tokenizer, stop words, counts, IDF, two
     indexers, one-hot, assembler, logistic regression (thresholds 0.7/0.3:
-    class 1 when p(1) > 0.3)."""
+    class 1 when p(1) > 0.3).  ``vocab_size``: terms kept, the most frequent."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import (IDF, CountVectorizer, OneHotEncoder, RegexTokenizer,
                                     StopWordsRemover, StringIndexer, VectorAssembler)
 
     tok = RegexTokenizer(inputCol=text_col, outputCol="tokens", pattern=TOKEN_PATTERN, gaps=True)
     stop = StopWordsRemover(inputCol="tokens", outputCol="filtered")
-    cv = CountVectorizer(inputCol="filtered", outputCol="vectorized", minDF=min_df)
+    cv = CountVectorizer(inputCol="filtered", outputCol="vectorized", minDF=min_df,
+                         vocabSize=vocab_size)
     idf = IDF(inputCol="vectorized", outputCol="tfidf")
     indexed = [f"{c}_indexed" for c in categorical]
     indexers = [StringIndexer(inputCol=c, outputCol=o, handleInvalid="skip")
@@ -159,5 +183,5 @@ def ml_stages(text_col: str = "text", label_col: str = "final_status",
     lr = LogisticRegression(elasticNetParam=0.0, fitIntercept=True, featuresCol="features",
                             labelCol=label_col, standardization=True,
                             predictionCol="predictions", rawPredictionCol="raw_predictions",
-                            thresholds=[0.7, 0.3], tol=1e-6, maxIter=max_iter, regParam=reg_param)
+                            thresholds=list(THRESHOLDS), tol=TOLERANCE, maxIter=max_iter, regParam=reg_param)
     return [tok, stop, cv, idf, *indexers, ohe, assembler, lr]

@@ -51,7 +51,8 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     shared folder so both passes read it rather than recompute it."""
     prep = materialize(campaign_prepare(spark, sf).select("project_id", *CATEGORICAL),
                        shared_dir(spark, "prepared-categories"))
-    return TF.one_hot(prep, "project_id", CATEGORICAL, TF.category_index(prep, CATEGORICAL))
+    index = materialize(TF.category_index(prep, CATEGORICAL), shared_dir(spark, "category-index"))
+    return TF.one_hot(prep, "project_id", CATEGORICAL, index)
 
 
 # --- step 5: split and evaluation --------------------------------------------

@@ -26,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str,
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
+    """Spread a scan that yields fewer partitions than the cluster has cores:
+    a remedy for small local inputs, which changes partitions and never rows.
 
     A single unsplittable file (one Parquet row group) is read by one task,
     which then also runs all per-row CPU work (tokenising whole texts).

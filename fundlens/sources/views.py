@@ -8,36 +8,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fundlens.operators.joins import broadcast_if_small
+from fundlens.operators.joins import join_hot_split
 from fundlens.sources.tables import table
 
-# The part join key is ``o_orderkey % 200``: at most 200 part rows take part.
-PART_KEYS = 200
-
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View ``campaigns`` (FIXTURES.md section 5).
+def with_customers(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Orders with their customer's columns; hot customers by broadcast."""
+    per_customer = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    keyed = customer.join(per_customer, F.col("c_custkey") == F.col("o_custkey")).drop("c_custkey")
+    return join_hot_split(orders, keyed, "o_custkey", "n_orders")
+
+
+def campaign_key(project_id: str) -> int:
+    """The order key in a project id."""
+    return int(project_id.removeprefix("kk"))
+
+
+def campaigns(spark: SparkSession, sf_dir: str, project_id: str | None = None) -> DataFrame:
+    """View ``campaigns`` (FIXTURES.md section 5); with ``project_id`` only
+    that campaign, found by its integer key, which reaches the scans of
+    orders and lineitem.
 
     Plan: lineitem is pre-aggregated per order (partial + final hash agg, so
     the shuffle carries one row per order and map task), left-joined to
     orders on the order key (the aggregate is already hash-partitioned on
-    it), joined to customer on the customer key (sort-merge; AQE splits a
-    hot customer), and to the <= 200 parts by a size-checked broadcast - a
-    shuffle on a 200-value key would leave all but 200 reducers idle.
+    it) and to its part on the part key.  A customer may have a large share
+    of all orders: orders per customer are counted, and customers go to
+    their orders by ``join_hot_split``.
     """
     orders = table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     customer = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
-    part = (table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
-            .where(F.col("p_partkey").between(0, PART_KEYS - 1)))
-    lines = (table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"])
-             .groupBy("l_orderkey")
+    part = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    lineitem = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_shipdate"])
+    if project_id is not None:
+        key = campaign_key(project_id)
+        orders, lineitem = orders.where(F.col("o_orderkey") == key), lineitem.where(F.col("l_orderkey") == key)
+    lines = (lineitem.groupBy("l_orderkey")
              .agg(F.min("l_shipdate").alias("mn"), F.max("l_shipdate").alias("mx"),
-                  F.count(F.lit(1)).alias("n_lines")))
+                  F.count(F.lit(1)).alias("n_lines"), F.min("l_partkey").alias("l_partkey")))
 
     k = F.col("o_orderkey")
     nat = _s(F.col("c_nationkey") % 10)
@@ -45,17 +58,15 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     # whatever the session zone.
     epoch = F.unix_timestamp
 
-    joined = (orders
+    joined = (with_customers(orders, customer)
               .join(lines, k == F.col("l_orderkey"), "left")
-              .join(customer, F.col("c_custkey") == F.col("o_custkey"))
-              .join(broadcast_if_small(part, 10 * PART_KEYS),
-                    F.col("p_partkey") == k % PART_KEYS))
+              .join(part, F.col("p_partkey") == F.col("l_partkey"), "left"))
 
     return joined.select(
         F.concat(F.lit("kk"), _s(k)).alias("project_id"),
         F.col("c_name").alias("name"),
         F.when(k % 61 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("descr"),
-        F.concat_ws("-", "p_brand", "p_type").alias("keywords"),
+        F.when(F.col("p_partkey").isNotNull(), F.concat_ws("-", "p_brand", "p_type")).alias("keywords"),
         F.when(k % 97 == 0, F.lit("n/a"))
          .when(k % 101 == 0, F.lit(None).cast("string"))
          .otherwise(_s(F.floor("o_totalprice").cast("bigint"))).alias("goal"),
