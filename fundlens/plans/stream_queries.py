@@ -25,10 +25,11 @@ def _events_stream(spark, sf):
 
 
 def _summary(sink: DataFrame) -> DataFrame:
+    """Sums are decimal, so they do not depend on the order of the rows."""
     return (sink.groupBy("event_type")
                 .agg(F.count(F.lit(1)).alias("n"),
                      F.count_distinct("event_id").alias("n_ids"),
-                     F.round(F.sum("value"), 6).alias("sum_value")))
+                     F.sum(F.col("value").cast("decimal(18,6)")).cast("decimal(38,6)").alias("sum_value")))
 
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,8 @@ and options are arguments); a consumer's offset is its checkpoint folder.
   source's log records which files were committed, so a restart reads only
   new files, with neither loss nor repeats, also after a crash mid-batch;
 * ``trigger(availableNow=True)`` drains what exists now in bounded
-  micro-batches (``maxFilesPerTrigger``) and stops.
+  micro-batches of ``FILES_PER_BATCH`` files, unless the caller names
+  another number, and stops.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 MESSAGE_PREFIX = "message ecrit le "
+# Files of a micro-batch of a file topic.
+FILES_PER_BATCH = 1000
 
 
 def read_topic(spark: SparkSession, path: str | None, schema: StructType | None = None,
                fmt: str = "parquet", glob: str | None = None,
-               max_files_per_trigger: int | None = None,
+               max_files_per_trigger: int | None = FILES_PER_BATCH,
                options: dict | None = None) -> DataFrame:
     """An unbounded DataFrame over a topic.
 
@@ -35,7 +38,7 @@ def read_topic(spark: SparkSession, path: str | None, schema: StructType | None
         reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
+    if path and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -43,11 +46,12 @@ def read_topic(spark: SparkSession, path: str | None, schema: StructType | None
 
 
 def drain(stream: DataFrame, sink_path: str | None, checkpoint: str, fmt: str = "parquet",
-          timeout_s: float | None = 600, query_name: str | None = None,
+          timeout_s: float | None = None, query_name: str | None = None,
           options: dict | None = None) -> str | None:
     """Run ``stream`` into an append-only sink until everything
     available now is consumed, then stop.  Files sinks are exactly-once
-    (the sink's own log names the committed files)."""
+    (the sink's own log names the committed files).  Only a caller that names
+    a ``timeout_s`` has the run stopped."""
     writer = (stream.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if sink_path:
