@@ -49,6 +49,33 @@ def cached_word_count(spark, sf_dir: str) -> float:
         return time.perf_counter() - t0
 
 
+def small_file_word_count(spark, sf_dir: str) -> dict[str, float]:
+    """The baseline's own rows, like for like: the ten most frequent words of
+    one small text file (its input was one README), warm, not cached and from
+    persisted words."""
+    import tempfile
+
+    from fundlens.operators.train import persisted
+    from fundlens.operators.words import top_words, word_count, words
+    from fundlens.sources.files import read_lines
+    path = os.path.join(os.path.dirname(os.path.abspath(__file__)), "README.md")
+    with tempfile.NamedTemporaryFile("w", suffix=".txt") as file:
+        file.write(open(path).read())
+        file.flush()
+        lines = read_lines(spark, file.name)
+        top_words(word_count(lines, "value"), 10).collect()
+        t0 = time.perf_counter()
+        top_words(word_count(lines, "value"), 10).collect()
+        out = {"word_count_small_file": time.perf_counter() - t0}
+        with persisted(words(lines, "value")) as cached:
+            counts = cached.groupBy("word").count()
+            top_words(counts, 10).collect()
+            t0 = time.perf_counter()
+            top_words(counts, 10).collect()
+            out["word_count_small_file_cached"] = time.perf_counter() - t0
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -69,6 +96,8 @@ def main() -> None:
             if r == 0:
                 cold["word_count_cached"] = round(t, 3)
             best["word_count_cached"] = round(min(best.get("word_count_cached", t), t), 3)
+            for name, t in small_file_word_count(spark, sf_dir).items():
+                best[name] = round(min(best.get(name, t), t), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_total",

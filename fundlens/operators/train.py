@@ -1,27 +1,35 @@
 """Training, tuning, persistence.
 
 The reference fits its nine-stage pipeline inside a train/validation grid
-search, so the tokenizer and stop-word stages (which have nothing to tune)
-are re-run for each of the 12 grid points.  Here they run once: the
-tokenised table is persisted, only the seven remaining stages are tuned, and
-the final model is reassembled as one nine-stage ``PipelineModel``.
+search, so the tokenizer and stop-word stages (which have nothing to tune) are
+re-run for each grid point.  Here the tokens are written once to the shared
+folder, the featurizer is fitted once per setting of its own parameters, one
+setting after the other, and each classifier keeps only its own blocks: the
+result is the same ``TrainValidationSplitModel``.
 
 Driver-side state is MLlib's own and bounded by parameters: the vocabulary
-(at most ``vocabSize`` terms), the category labels, the coefficient vector.
+(at most ``vocab_size`` terms), the category labels, the coefficient vector.
 Gradients are combined with a tree aggregate on the executors.
 """
 
 from __future__ import annotations
 
 import contextlib
+import itertools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import TrainValidationSplitModel
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, functions as F
 
+from fundlens.operators.evaluate import hash_bucket
 from fundlens.operators.text_features import ml_stages
+from fundlens.session import remove_dir, shared_dir
+from fundlens.sources.files import materialize
 
 # The reference's grid (regParam written 10e-8 ... 10e-2).
 REG_PARAMS = (1e-7, 1e-5, 1e-3, 1e-1)
@@ -31,32 +39,18 @@ SPLIT_SEED = 1991
 
 
 @contextlib.contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-              min_partitions: int | None = None):
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Persist, materialise once, hand out, unpersist on exit.  A lost
     cached block is recomputed from lineage, so this is safe under executor
-    loss.
-
-    If the materialised data has fewer than ``min_partitions`` partitions
-    (AQE coalesces a small shuffle output down to one), it is re-spread
-    from the cache so the passes that follow use every core.  The check
-    runs on the cached data; on a large input it changes nothing.
-    """
+    loss."""
     df.persist(level)
-    out = df
     try:
         df.count()
-        if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-            out = df.repartition(min_partitions).persist(level)
-            out.count()
-            df.unpersist()
-        yield out
+        yield df
     finally:
-        out.unpersist()
         df.unpersist()
 
 
-
 def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SPLIT_SEED):
     """M1 as in the reference (membership depends on partitioning)."""
     return df.randomSplit(list(weights), seed)
@@ -67,16 +61,35 @@ def build_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=ml_stages(**kw))
 
 
+@contextlib.contextmanager
+def tokenised(train: DataFrame, pre: PipelineModel):
+    """The rows with their tokens, without the text, written once to the
+    shared folder and removed on exit."""
+    spark = train.sparkSession
+    path = shared_dir(spark, "tokens")
+    text = pre.stages[0].getInputCol()
+    try:
+        yield materialize(pre.transform(train).drop(text, "tokens"), path)
+    finally:
+        remove_dir(spark, path)
+
+
 def fit(train: DataFrame, **kw) -> PipelineModel:
-    """M4: fit the nine-stage pipeline.  Five estimators each pass over the
-    input, so it is persisted for the fit instead of recomputed per pass.
+    """M4: fit the nine-stage pipeline; the input is tokenised once, for all
+    of its estimators."""
+    stages = ml_stages(**kw)
+    pre = Pipeline(stages=stages[:2]).fit(train)
+    with tokenised(train, pre) as rows:
+        rest = Pipeline(stages=stages[2:]).fit(rows)
+    return PipelineModel(stages=[*pre.stages, *rest.stages])
+
 
-    The cached input is not re-spread: measured at sf0.1, eight partitions
-    made the logistic regression slower (per-iteration aggregation of the
-    coefficient-sized gradient dominates) by more than they saved in the
-    vocabulary and IDF passes."""
-    with persisted(train) as cached:
-        return build_pipeline(**kw).fit(cached)
+def parameter_report(model) -> list[tuple[int, str, str, str]]:
+    """M4: (stage, its class, parameter, value) of a fitted pipeline, as
+    ``extractParamMap`` gives them."""
+    best = getattr(model, "bestModel", model)
+    return [(i, type(stage).__name__, param.name, str(value)) for i, stage in enumerate(best.stages)
+            for param, value in sorted(stage.extractParamMap().items(), key=lambda x: x[0].name)]
 
 
 def f1_evaluator(label_col: str = "final_status", prediction_col: str = "predictions",
@@ -85,67 +98,70 @@ def f1_evaluator(label_col: str = "final_status", prediction_col: str = "predict
                                              predictionCol=prediction_col)
 
 
-def tune(train: DataFrame, reg_params: Sequence[float] = REG_PARAMS,
-         min_dfs: Sequence[float] = MIN_DFS, train_ratio: float = TRAIN_RATIO,
-         parallelism: int | None = None, seed: int | None = None, **kw):
-    """M5 + M6: grid search on a train/validation split, best by f1, refit
-    on all of ``train`` - the semantics of ``TrainValidationSplit`` over the
-    nine-stage pipeline, with the work shared along the grid:
-
-    * tokenising and stop words (no tuned parameter) run once;
-    * the featurizer (counts, IDF, indexers, one-hot, assembler) depends
-      only on ``minDF``, so it is fitted once per ``minDF`` value - 3 fits,
-      not 12 - and its train/validation features are persisted;
-    * the 12 logistic regressions run ``parallelism`` at a time on those
-      cached features.
-
-    The split is ``randomSplit([ratio, 1 - ratio], seed)`` of the tokenised
-    input, as ``TrainValidationSplit`` draws it.  Returns ``(model,
-    results)``: a nine-stage ``PipelineModel`` and a list of
-    ``(reg_param, min_df, validation_f1)`` in grid order (regParam major).
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    label = kw.get("label_col", "final_status")
-    if seed is None:
-        seed = SPLIT_SEED
-    points = [(r, m) for r in reg_params for m in min_dfs]
-    if parallelism is None:
-        parallelism = max(1, min(len(points), train.sparkSession.sparkContext.defaultParallelism))
-    evaluator = f1_evaluator(label)
-    pre = Pipeline(stages=ml_stages(**kw)[:2]).fit(train)
-
-    with contextlib.ExitStack() as stack:
-        tokenised = stack.enter_context(persisted(pre.transform(train)))
-        fit_part, val_part = tokenised.randomSplit([train_ratio, 1 - train_ratio], seed)
-        fit_part = stack.enter_context(persisted(fit_part))
-        val_part = stack.enter_context(persisted(val_part))
-
-        def featurize(min_df):
-            stages = ml_stages(min_df=min_df, **kw)[2:-1]
-            model = Pipeline(stages=stages).fit(fit_part)
-            cols = ["features", label]
-            return (stack.enter_context(persisted(model.transform(fit_part).select(*cols))),
-                    stack.enter_context(persisted(model.transform(val_part).select(*cols))))
-
-        with ThreadPoolExecutor(max_workers=min(parallelism, len(min_dfs))) as pool:
-            features = dict(zip(min_dfs, pool.map(featurize, min_dfs)))
-
-        def score(point):
-            reg, min_df = point
-            lr = ml_stages(reg_param=reg, **kw)[-1]
-            f_train, f_val = features[min_df]
-            return evaluator.evaluate(lr.fit(f_train).transform(f_val))
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            metrics = list(pool.map(score, points))
-
-        results = [(float(r), float(m), float(v)) for (r, m), v in zip(points, metrics)]
-        best_reg, best_min_df, _ = max(results, key=lambda x: x[2])
-        # refit on all training rows while the tokenised input is cached
-        rest = Pipeline(stages=ml_stages(min_df=best_min_df, reg_param=best_reg, **kw)[2:]).fit(tokenised)
-    model = PipelineModel(stages=[*pre.stages, *rest.stages])
-    return model, results
+# What a grid may set: the stage and its parameter.
+TUNABLE = {"min_df": (2, "minDF"), "min_tf": (2, "minTF"), "vocab_size": (2, "vocabSize"),
+           "min_doc_freq": (3, "minDocFreq"), "reg_param": (8, "regParam"), "max_iter": (8, "maxIter"),
+           "elastic_net": (8, "elasticNetParam"), "tol": (8, "tol")}
+
+
+def grid_of(**values: Sequence) -> list[dict]:
+    """All combinations, the first parameter slowest."""
+    return [dict(zip(values, point)) for point in itertools.product(*values.values())]
+
+
+def inner_split(df: DataFrame, key: str, train_ratio: float = TRAIN_RATIO):
+    """(fit, validation) by a hash of the key, in tenths: the same rows on
+    any cluster."""
+    bucket = hash_bucket(F.concat(F.col(key).cast("string"), F.lit("-validation")))
+    held = round((1 - train_ratio) * 10)
+    return df.where(bucket >= held), df.where(bucket < held)
+
+
+def tune(train: DataFrame, grid: Sequence[dict] | None = None, key: str | None = "project_id",
+         train_ratio: float = TRAIN_RATIO, parallelism: int = 2, seed: int = SPLIT_SEED,
+         sizes: list | None = None, **kw) -> TrainValidationSplitModel:
+    """M5 + M6: grid search on a train/validation split, best by f1, refit on
+    all of ``train``: a ``TrainValidationSplitModel`` with the grid, each
+    point's metric and the best nine-stage model.
+
+    ``grid``: points over ``TUNABLE`` (by default the reference's 12).  Points
+    that differ only in the classifier share one featurizer.  The split is by
+    a hash of ``key``; with None it is ``randomSplit``, as in the reference,
+    whose membership depends on partitioning.  ``sizes`` collects (fit rows,
+    validation rows, vocabulary) per point."""
+    grid = list(grid or grid_of(reg_param=REG_PARAMS, min_df=MIN_DFS))
+    stages = ml_stages(**kw)
+    pipeline, evaluator = Pipeline(stages=stages), f1_evaluator(kw.get("label_col", "final_status"))
+    maps = [{stages[TUNABLE[k][0]].getParam(TUNABLE[k][1]): v for k, v in point.items()} for point in grid]
+    features_of = [tuple(sorted((k, v) for k, v in point.items() if TUNABLE[k][0] < 8)) for point in grid]
+    metrics: list[float] = [0.0] * len(grid)
+    counts: list = [None] * len(grid)
+    pre = Pipeline(stages=stages[:2]).fit(train)
+
+    with tokenised(train, pre) as rows:
+        fit_part, val_part = (inner_split(rows, key, train_ratio) if key
+                              else rows.randomSplit([train_ratio, 1 - train_ratio], seed))
+        n_rows = (fit_part.count(), val_part.count()) if sizes is not None else None
+        for shared in dict.fromkeys(features_of):
+            points = [i for i, f in enumerate(features_of) if f == shared]
+            front = [s.copy(maps[points[0]]) for s in stages[2:-1]]
+            model = Pipeline(stages=front).fit(fit_part)
+
+            def score(i: int) -> float:
+                classifier = stages[-1].copy(maps[i])
+                return evaluator.evaluate(classifier.fit(model.transform(fit_part)).transform(model.transform(val_part)))
+
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                for i, metric in zip(points, pool.map(score, points)):
+                    metrics[i] = float(metric)
+                    counts[i] = n_rows and (*n_rows, len(model.stages[0].vocabulary))
+        best = max(range(len(grid)), key=metrics.__getitem__)
+        rest = Pipeline(stages=[s.copy(maps[best]) for s in stages[2:]]).fit(rows)
+    if sizes is not None:
+        sizes.extend(counts)
+    found = TrainValidationSplitModel(PipelineModel(stages=[*pre.stages, *rest.stages]), metrics)
+    found._set(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator, trainRatio=train_ratio, seed=seed)
+    return found
 
 
 def save_model(model, path: str, overwrite: bool = True) -> str:
@@ -155,6 +171,7 @@ def save_model(model, path: str, overwrite: bool = True) -> str:
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    """Reload a saved pipeline model for scoring."""
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | TrainValidationSplitModel:
+    """Reload a saved model, a pipeline's or a tuned one with its grid
+    and metrics."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkContext.getOrCreate())

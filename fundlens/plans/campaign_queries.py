@@ -8,7 +8,7 @@ from fundlens.functions.dates import epoch_to_string
 from fundlens.operators import prepare as P
 from fundlens.operators import profile
 from fundlens.operators.votes import vote_tally
-from fundlens.sources import campaigns, votes
+from fundlens.sources import campaigns, table, votes
 from fundlens.sources.views import VOTE_COLUMNS
 
 
@@ -34,6 +34,31 @@ def campaign_cast(spark: SparkSession, sf: str) -> DataFrame:
     return _cast(spark, sf)
 
 
+def campaign_cast_truncating(spark: SparkSession, sf: str) -> DataFrame:
+    """P4 with decimals truncated: order totals as text for goals."""
+    orders = table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
+    raw = orders.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("goal"))
+    return P.cast_campaigns(raw, through_double=True)
+
+
+def campaign_prepare_drop_negative(spark: SparkSession, sf: str) -> DataFrame:
+    """The preparation with negative-preparation rows dropped, not repaired."""
+    return campaigns(spark, sf).transform(P.prepare, negative_preparation="drop")
+
+
+def shortest_preparations(spark: SparkSession, sf: str) -> DataFrame:
+    """O2 + O3: the 30 smallest known preparation times."""
+    rows = _durations(spark, sf).where(F.col("hours_prepa").isNotNull())
+    return profile.top_n(rows.select("project_id", "hours_prepa"), 30,
+                         F.col("hours_prepa").asc(), F.col("project_id").asc())
+
+
+def filled_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that hold a fill value after the preparation, per column."""
+    prep = campaign_prepare(spark, sf)
+    return prep.agg(*[F.count_if(F.col(c) == F.lit(v)).alias(f"{c}_filled") for c, v in P.FILL_VALUES.items()])
+
+
 def campaign_country(spark: SparkSession, sf: str) -> DataFrame:
     df = _cast(spark, sf).transform(P.clean_location, keep_raw=True)
     return df.select("project_id", "country", "currency", "country2")
@@ -155,8 +180,9 @@ def first_campaigns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def one_campaign(spark: SparkSession, sf: str, project_id: str = "kk1") -> DataFrame:
-    """P7 spot check of one key through the whole preparation."""
-    return campaign_prepare(spark, sf).where(F.col("project_id") == project_id)
+    """P7 spot check of one key through the whole preparation; the key
+    reaches the scans."""
+    return campaigns(spark, sf, project_id).transform(P.prepare)
 
 
 def vote_tally_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fundlens.functions.udfs import clean_currency_udf
+from fundlens.functions.udfs import clean_currency_udf, identity_udf
 from fundlens.operators import prepare as P
 from fundlens.operators import words as W
 from fundlens.operators.votes import vote_tally
@@ -48,7 +48,8 @@ def single_file_export(spark: SparkSession, sf: str) -> DataFrame:
 def campaign_csv_prepare(spark: SparkSession, sf: str) -> DataFrame:
     """The preparation job end to end: the campaigns written as a CSV file
     with a header (the reference's input format), read back as text
-    columns, prepared and written as Parquet, read back."""
+    columns, prepared and written as Parquet (with the file's column name
+    ``desc``), read back."""
     from fundlens.plans.jobs import CAMPAIGN_COLUMNS, campaign_schema, preprocess
     base = shared_dir(spark, "campaign-job")
     raw = campaigns(spark, sf).withColumnRenamed("descr", "desc").select(*CAMPAIGN_COLUMNS)
@@ -56,6 +57,16 @@ def campaign_csv_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return preprocess(spark, csv, os.path.join(base, "prepared"), schema=campaign_schema())
 
 
+def udf_types(spark: SparkSession, sf: str) -> DataFrame:
+    """U5 over a bigint and a double column with nulls (every seventh)."""
+    events = table(spark, sf, "events", ["event_id", "value"])
+    known = F.when(F.col("event_id") % 7 != 0, F.lit(True))
+    events = events.select("event_id", F.when(known, F.col("event_id") + (1 << 53) + 1).alias("big"),
+                           F.when(known, F.col("value")).alias("value"))
+    return events.select("event_id", identity_udf("long")("big").alias("big"),
+                         identity_udf("double")("value").alias("value"))
+
+
 def udf_clean(spark: SparkSession, sf: str) -> DataFrame:
     """The currency rule as an Arrow-batched, null-safe user function."""
     df = campaigns(spark, sf).transform(P.cast_campaigns)

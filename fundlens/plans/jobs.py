@@ -25,8 +25,10 @@ def campaign_schema(columns=CAMPAIGN_COLUMNS) -> StructType:
 
 def preprocess(spark: SparkSession, csv_path: str, out_path: str, label_policy: str = "recode",
                schema: StructType | None = None, infer_schema: bool = False,
-               mode: str = "overwrite") -> DataFrame:
-    """Preparation job: raw campaign CSV -> prepared Parquet.
+               mode: str = "overwrite", through_double: bool = False,
+               negative_preparation: str = "repair") -> DataFrame:
+    """Preparation job: raw campaign CSV -> prepared Parquet, whose column
+    ``desc`` is named as in the file.
 
     With neither ``schema`` nor ``infer_schema`` the header's columns are
     read as strings (no inference pass).  Returns the written table.
@@ -34,7 +36,8 @@ def preprocess(spark: SparkSession, csv_path: str, out_path: str, label_policy:
     raw = read_csv(spark, csv_path, schema=schema, infer_schema=infer_schema)
     if "desc" in raw.columns and "descr" not in raw.columns:
         raw = raw.withColumnRenamed("desc", "descr")
-    write_table(raw.transform(prepare, label_policy), out_path, "parquet", mode=mode)
+    prepared = raw.transform(prepare, label_policy, through_double, negative_preparation)
+    write_table(prepared.withColumnRenamed("descr", "desc"), out_path, "parquet", mode=mode)
     return spark.read.parquet(out_path)
 
 
@@ -44,18 +47,17 @@ def train(spark: SparkSession, parquet_path: str, model_path: str, tune: bool =
     a report of the held-out 10 % (hash split on ``project_id``)."""
     df = spark.read.parquet(parquet_path)
     fit_part, test = EV.hash_split(df, "project_id")
-    if tune:
-        model, grid = TR.tune(fit_part, **tune_args)
-    else:
-        model, grid = TR.fit(fit_part), []
+    model = TR.tune(fit_part, **tune_args) if tune else TR.fit(fit_part)
     TR.save_model(model, model_path)
+    grid = [({p.name: v for p, v in point.items()}, metric) for point, metric in zip(
+        model.getEstimatorParamMaps(), model.validationMetrics)] if tune else []
     with TR.persisted(model.transform(test).select("final_status", "predictions")) as scored:
         confusion = {(int(r[0]), int(r[1])): r[2]
                      for r in EV.confusion(scored, "final_status", "predictions").collect()}
         f1 = EV.weighted_f1(scored, "final_status", "predictions").first()["f1"]
         acc = EV.accuracy(scored, "final_status", "predictions").first()["accuracy"]
     return {"model_path": model_path, "grid": grid, "confusion": confusion,
-            "f1": f1, "accuracy": acc}
+            "f1": f1, "accuracy": acc, "parameters": TR.parameter_report(model)}
 
 
 def word_count(spark: SparkSession, text_path: str, k: int = 10, lower: bool = True) -> DataFrame:

@@ -17,13 +17,14 @@ def _epoch(x: str) -> str:
 
 CAMPAIGNS_CTE = f"""
 l_agg AS (
-  SELECT l_orderkey, min(l_shipdate) AS mn, max(l_shipdate) AS mx, count(*) AS n_lines
+  SELECT l_orderkey, min(l_shipdate) AS mn, max(l_shipdate) AS mx, count(*) AS n_lines,
+    min(l_partkey) AS l_partkey
   FROM lineitem GROUP BY l_orderkey),
 campaigns AS (
   SELECT concat('kk', CAST(o_orderkey AS VARCHAR)) AS project_id,
     c_name AS name,
     CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE p_name END AS descr,
-    concat_ws('-', p_brand, p_type) AS keywords,
+    CASE WHEN p_partkey IS NOT NULL THEN concat_ws('-', p_brand, p_type) END AS keywords,
     CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' WHEN o_orderkey % 101 = 0 THEN NULL
          ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS goal,
     CASE WHEN o_orderkey % 331 = 0 THEN 'True' ELSE 'False' END AS disable_communication,
@@ -41,8 +42,8 @@ campaigns AS (
     CASE WHEN o_orderkey % 211 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN '1'
          WHEN o_orderstatus = 'O' THEN '0' ELSE '2' END AS final_status
   FROM orders JOIN customer ON c_custkey = o_custkey
-  JOIN part ON p_partkey = o_orderkey % 200
-  LEFT JOIN l_agg ON l_orderkey = o_orderkey)"""
+  LEFT JOIN l_agg ON l_orderkey = o_orderkey
+  LEFT JOIN part ON p_partkey = l_partkey)"""
 
 CAST_CTE = """
 cast_ AS (
@@ -290,7 +291,7 @@ SELECT round(sum(support * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec
 # --- steps 7-8: streams and round trips --------------------------------------
 
 EVENT_SUMMARY_SQL = """
-SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids, round(sum(value), 6) AS sum_value
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids, CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS sum_value
 FROM events GROUP BY event_type"""
 
 ORACLE.update({
@@ -307,5 +308,66 @@ SELECT word, count(*) AS count FROM (
 GROUP BY word""",
     "single_file_export": "SELECT sponsor, count, choice_rank, 1 AS files_in_rank FROM (" + VOTE_TALLY_SQL + ") t",
     "udf_clean": ORACLE["campaign_currency"],
-    "campaign_csv_prepare": ORACLE["campaign_prepare"],
+    "campaign_csv_prepare": ORACLE["campaign_prepare"].replace("SELECT * FROM prep", "SELECT * RENAME (descr AS \"desc\") FROM prep"),
+})
+
+# --- variants of the preparation, typed user functions --------------------------
+
+ORACLE.update({
+    "campaign_cast_truncating": """
+SELECT o_orderkey, CAST(trunc(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)) AS INTEGER) AS goal FROM orders""",
+    "campaign_prepare_drop_negative": with_ctes(
+        CAMPAIGNS_CTE, CAST_CTE, LOC_CTE, _status_cte("recode"), DUR_CTE, """
+rep AS (
+  SELECT project_id, lower(name) AS name, lower(descr) AS descr, lower(keywords) AS keywords,
+    goal, final_status, country2, currency2, days_campaign, hours_prepa,
+    concat_ws(' ', lower(name), lower(descr), lower(keywords)) AS text
+  FROM dur WHERE NOT coalesce(hours_prepa < 0, false))""", FILL_CTE) + "\nSELECT * FROM prep",
+    "shortest_preparations": _upto(5, """SELECT project_id, hours_prepa FROM dur
+WHERE hours_prepa IS NOT NULL ORDER BY hours_prepa, project_id LIMIT 30"""),
+    "filled_counts": _prep("""SELECT count_if(currency2 = 'unknown') AS currency2_filled,
+  count_if(country2 = 'unknown') AS country2_filled, count_if(days_campaign = -1) AS days_campaign_filled,
+  count_if(hours_prepa = -1) AS hours_prepa_filled, count_if(goal = -1) AS goal_filled FROM prep"""),
+    "udf_types": """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_id + 9007199254740993 END AS big,
+  CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events""",
+})
+
+# --- step 6: what SQL can say of the text models --------------------------------
+
+_BUCKET = "('0x' || substr(md5({}), 1, 8))::BIGINT % 10"
+MODEL_CTE = f"""
+lab AS (
+  SELECT d.doc_id, d.text, d.lang, d.source, l.quality,
+    {_BUCKET.format("CAST(d.doc_id AS VARCHAR)")} AS bucket,
+    {_BUCKET.format("CAST(d.doc_id AS VARCHAR) || '-validation'")} AS inner_bucket
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+terms AS (
+  SELECT doc_id, bucket, inner_bucket, unnest(list_distinct(list_filter(
+    regexp_split_to_array(lower(text), '\\W+'),
+    lambda x: length(x) >= 1 AND NOT list_contains({STOP_WORDS_SQL}, x)))) AS term FROM lab),
+seen AS (
+  SELECT * FROM lab t WHERE bucket < 1
+    AND lang IN (SELECT lang FROM lab WHERE bucket >= 1)
+    AND source IN (SELECT source FROM lab WHERE bucket >= 1))"""
+MODEL_MIN_DF = 5
+GRID_REG = (1e-7, 1e-5, 1e-3, 1e-1)
+GRID_MIN_DF = (0.02, 0.05, 0.1)
+
+ORACLE.update({
+    "train_score": with_ctes(MODEL_CTE) + f"""
+SELECT quality, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_disagree,
+  (SELECT count(*) FROM (SELECT term FROM terms WHERE bucket >= 1 GROUP BY term HAVING count(*) >= {MODEL_MIN_DF}) v)
+  + 1 + (SELECT count(DISTINCT lang) - 1 + count(DISTINCT source) - 1 FROM lab WHERE bucket >= 1) AS feature_size
+FROM seen GROUP BY quality""",
+    "model_reload": with_ctes(MODEL_CTE) + """
+SELECT quality, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different FROM seen GROUP BY quality""",
+    "grid_search": with_ctes(MODEL_CTE) + ",\n" + f"""
+fits AS (SELECT count(*) AS n_fit FROM lab WHERE bucket >= 1 AND inner_bucket >= 3),
+vals AS (SELECT count(*) AS n_validation FROM lab WHERE bucket >= 1 AND inner_bucket < 3),
+dfs AS (SELECT term, count(*) AS df FROM terms WHERE bucket >= 1 AND inner_bucket >= 3 GROUP BY term)
+SELECT r.reg_param, m.min_df, n_fit, n_validation,
+  (SELECT count(*) FROM dfs WHERE df >= m.min_df * n_fit) AS vocabulary
+FROM (VALUES {", ".join(f"(CAST({r} AS DOUBLE))" for r in GRID_REG)}) r(reg_param),
+  (VALUES {", ".join(f"(CAST({m} AS DOUBLE))" for m in GRID_MIN_DF)}) m(min_df), fits, vals""",
 })

@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "line_and_token_totals": T.line_and_token_totals,
     # step 2
     "campaign_cast": C.campaign_cast,
+    "campaign_cast_truncating": C.campaign_cast_truncating,
     "campaign_country": C.campaign_country,
     "campaign_currency": C.campaign_currency,
     "campaign_status_recode": C.campaign_status_recode,
@@ -35,6 +36,9 @@ QUERIES: dict[str, Query] = {
     "campaign_fill": C.campaign_fill,
     "campaign_prepare": C.campaign_prepare,
     "campaign_prepare_drop": C.campaign_prepare_drop,
+    "campaign_prepare_drop_negative": C.campaign_prepare_drop_negative,
+    "shortest_preparations": C.shortest_preparations,
+    "filled_counts": C.filled_counts,
     # step 3
     "status_counts": C.status_counts,
     "country_currency_counts": C.country_currency_counts,
@@ -66,7 +70,7 @@ QUERIES: dict[str, Query] = {
     "confusion": FQ.confusion,
     "f1": FQ.f1,
     "accuracy": FQ.accuracy,
-    # step 6 (rows only)
+    # step 6
     "train_score": TQ.train_score,
     "grid_search": TQ.grid_search,
     "model_reload": TQ.model_reload,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "single_file_export": IO.single_file_export,
     "campaign_csv_prepare": IO.campaign_csv_prepare,
     "udf_clean": IO.udf_clean,
+    "udf_types": IO.udf_types,
 }
 
 

@@ -1,55 +1,66 @@
-"""Model queries (step 6): rows-only checks, MLlib is not SQL."""
+"""Model queries (step 6): the text pipeline on ``documents`` with ``labels``.
+
+Coefficients are not SQL; the results hold what SQL can say of a model: the
+rows it scores, the size of its features and vocabulary, and that its
+predictions follow its probabilities.
+"""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fundlens.operators import evaluate as EV
 from fundlens.operators import train as TR
-from fundlens.plans.campaign_queries import campaign_prepare
+from fundlens.operators.text_features import THRESHOLDS
+from fundlens.plans.oracle import GRID_MIN_DF, GRID_REG, MODEL_MIN_DF
 from fundlens.session import shared_dir
 from fundlens.sources.files import materialize
+from fundlens.sources.tables import spread, table
 
-
-def _split(spark, sf):
-    """Hash split of the prepared campaigns, written once to the shared
-    folder: training and scoring then read the table instead of each
-    recomputing the campaign joins."""
-    prep = materialize(campaign_prepare(spark, sf), shared_dir(spark, "prepared"))
-    return EV.hash_split(prep, "project_id")
+STAGES = {"label_col": "quality", "categorical": ("lang", "source"), "numeric": ("n_chars",)}
 
 
-def _scored_confusion(model, test: DataFrame) -> DataFrame:
-    scored = model.transform(test)
-    return EV.confusion(scored, "final_status", "predictions")
+def _split(spark, sf):
+    """Labelled documents, written once, and their hash split."""
+    docs = table(spark, sf, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
+    labels = table(spark, sf, "labels", ["doc_id", "quality"])
+    rows = materialize(spread(docs.join(labels, "doc_id"), "doc_id"), shared_dir(spark, "labelled"))
+    return EV.hash_split(rows, "doc_id")
 
 
 def train_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit the nine stages on 90 % (hash split), score the other 10 %:
-    the confusion table."""
+    """Fit the nine stages on 90 %, score the other 10 %: per label the rows
+    scored, those whose prediction is not p(1) > 0.3, and the features."""
     train, test = _split(spark, sf)
-    return _scored_confusion(TR.fit(train), test)
+    scored = TR.fit(train, min_df=float(MODEL_MIN_DF), **STAGES).transform(test)
+    above = (vector_to_array("probability")[1] > THRESHOLDS[1]).cast("int")
+    return scored.groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(above != F.col("predictions")).alias("n_disagree"),
+        F.max(F.size(vector_to_array("features"))).cast("long").alias("feature_size"))
 
 
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    """The reference's 12-point grid; one row per point with its validation
-    f1, plus the held-out f1 and accuracy of the refit best model."""
-    train, test = _split(spark, sf)
-    model, results = TR.tune(train, seed=TR.SPLIT_SEED)
-    with TR.persisted(model.transform(test).select("final_status", "predictions")) as scored:
-        test_f1 = EV.weighted_f1(scored, "final_status", "predictions").first()["f1"]
-        test_acc = EV.accuracy(scored, "final_status", "predictions").first()["accuracy"]
-    best = max(results, key=lambda r: r[2])
-    rows = [(float(r), float(m), float(v), (r, m, v) == best, float(test_f1), float(test_acc))
-            for r, m, v in results]
+    """The 12-point grid: per point the rows it is fitted on and judged on,
+    and its vocabulary."""
+    train, _ = _split(spark, sf)
+    sizes: list = []
+    grid = TR.grid_of(reg_param=GRID_REG, min_df=GRID_MIN_DF)
+    TR.tune(train, grid, key="doc_id", sizes=sizes, **STAGES)
+    rows = [(float(p["reg_param"]), float(p["min_df"]), *map(int, n)) for p, n in zip(grid, sizes)]
     return spark.createDataFrame(
-        rows, "reg_param double, min_df double, validation_f1 double, best boolean, "
-              "test_f1 double, test_accuracy double")
+        rows, "reg_param double, min_df double, n_fit long, n_validation long, vocabulary long")
 
 
 def model_reload(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit, save to the shared folder, load back, score: the confusion table
-    of the reloaded model."""
+    """Tune over two points, save, load back: per label the rows scored and
+    those that the two models predict differently."""
     train, test = _split(spark, sf)
-    path = TR.save_model(TR.fit(train), shared_dir(spark, "model"))
-    return _scored_confusion(TR.load_model(path), test).withColumn("model_path", F.lit(path))
+    grid = TR.grid_of(reg_param=GRID_REG[:2], min_df=GRID_MIN_DF[-1:])
+    model = TR.tune(train, grid, key="doc_id", **STAGES)
+    again = TR.load_model(TR.save_model(model, shared_dir(spark, "model")))
+    first = model.bestModel.transform(test).select("doc_id", "quality", "predictions")
+    second = again.bestModel.transform(test).select("doc_id", F.col("predictions").alias("again"))
+    return first.join(second, "doc_id").groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(F.col("predictions") != F.col("again")).alias("n_different"))

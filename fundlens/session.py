@@ -103,3 +103,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "fundlens",
                         f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``shared_dir`` whose reader is finished."""
+    if os.sep + "fundlens" + os.sep not in path:
+        raise ValueError(f"not an intermediate folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

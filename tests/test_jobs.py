@@ -4,6 +4,7 @@ saved model with a held-out report; word count over text files."""
 import os
 
 from conftest import SF_SMALL
+from fundlens.operators.train import grid_of
 from fundlens.plans.jobs import CAMPAIGN_COLUMNS, preprocess, train, word_count
 from fundlens.session import shared_dir
 from fundlens.sources import campaigns, table
@@ -15,9 +16,10 @@ def test_preprocess_then_train(spark):
     raw = campaigns(spark, SF_SMALL).withColumnRenamed("descr", "desc").select(*CAMPAIGN_COLUMNS)
     csv = write_table(raw, os.path.join(base, "csv"), "csv", header=True)
     prepared = preprocess(spark, csv, os.path.join(base, "prepared"))
-    assert prepared.count() > 0 and "descr" in prepared.columns
+    assert prepared.count() > 0 and "desc" in prepared.columns
     report = train(spark, os.path.join(base, "prepared"), os.path.join(base, "model"),
-                   reg_params=(1e-7, 0.1), min_dfs=(1.0, 2.0))
+                   grid=grid_of(reg_param=(1e-7, 0.1), min_df=(1.0, 2.0)))
+    assert (8, "LogisticRegressionModel", "thresholds", "[0.7, 0.3]") in report["parameters"]
     assert len(report["grid"]) == 4
     assert 0.0 <= report["f1"] <= 1.0 and 0.0 <= report["accuracy"] <= 1.0
     assert sum(report["confusion"].values()) > 0
