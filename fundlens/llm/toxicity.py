@@ -127,12 +127,15 @@ def new_network(seed: int = 7) -> dict[str, np.ndarray]:
     return net
 
 
-def _inputs(net: dict, words: Words) -> np.ndarray:
-    """The network's input vector of every word of a batch."""
-    if not len(words.word):
+def _inputs(net: dict, words: Words, low: int = 0, high: int | None = None) -> np.ndarray:
+    """The network's input vectors of the words from ``low`` to ``high``."""
+    first = np.append(words.first_gram, len(words.gram))
+    high = len(words.word) if high is None else high
+    if low >= high:
         return np.zeros((1, 2 * WIDTH), np.float32)
-    grams = np.add.reduceat(net["gram"][words.gram], words.first_gram, axis=0)
-    return np.concatenate([net["word"][words.word], np.tanh(grams)], axis=1)
+    grams = net["gram"][words.gram[first[low]:first[high]]]
+    grams = np.add.reduceat(grams, first[low:high] - first[low], axis=0)
+    return np.concatenate([net["word"][words.word[low:high]], np.tanh(grams)], axis=1)
 
 
 def _run(net: dict, way: str, x: np.ndarray, real: np.ndarray, keep: bool = False):
@@ -251,10 +254,15 @@ class Steps:
 
 
 def _all_logits(net: dict, words: Words, step: int = 4096) -> np.ndarray:
-    inputs = _inputs(net, words)
-    n = len(words.window_row)
-    parts = [forward(net, *words.steps(np.arange(i, min(i + step, n))), inputs)[0] for i in range(0, n, step)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.float32)
+    """Logits of all windows, ``step`` at a time with their own words."""
+    out = [np.zeros(0, np.float32)]
+    for i in range(0, len(words.window_row), step):
+        windows = np.arange(i, min(i + step, len(words.window_row)))
+        place, real = words.steps(windows)
+        low = int(words.window_start[windows].min())
+        high = int((words.window_start + words.window_size)[windows].max())
+        out.append(forward(net, np.where(real, place - low, 0), real, _inputs(net, words, low, high))[0])
+    return np.concatenate(out)
 
 
 def document_logits(net: dict, texts: pa.Array) -> np.ndarray:
