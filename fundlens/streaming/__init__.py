@@ -1,5 +1,5 @@
-from fundlens.streaming.topics import (append_to_topic, drain, heartbeat_messages,
+from fundlens.streaming.topics import (append_to_topic, drain, emit_heartbeats, heartbeat_messages,
                                        message_text, rate_heartbeat, read_topic)
 
-__all__ = ["append_to_topic", "drain", "heartbeat_messages", "message_text",
+__all__ = ["append_to_topic", "drain", "emit_heartbeats", "heartbeat_messages", "message_text",
            "rate_heartbeat", "read_topic"]

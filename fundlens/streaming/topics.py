@@ -109,3 +109,19 @@ def rate_heartbeat(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
     """One timestamped message per second from the ``rate`` source."""
     src = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     return heartbeat_messages(src).select("timestamp", "value")
+
+
+def emit_heartbeats(spark: SparkSession, path: str, checkpoint: str, seconds: float,
+                    rows_per_second: int = 1) -> str:
+    """S11 + R3: a producer that appends one message per second to a file
+    topic, for ``seconds`` (its own run time, the caller's choice)."""
+    q = (rate_heartbeat(spark, rows_per_second).writeStream.format("parquet").outputMode("append")
+         .option("path", path).option("checkpointLocation", checkpoint).start())
+    try:
+        q.awaitTermination(seconds)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    finally:
+        if q.isActive:
+            q.stop()
+    return path

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from fundlens.session import shared_dir
 from fundlens.sources import table
-from fundlens.streaming import append_to_topic, drain, rate_heartbeat, read_topic
+from fundlens.streaming import append_to_topic, drain, emit_heartbeats, rate_heartbeat, read_topic
 
 
 def test_resume_reads_only_new_files(spark):
@@ -80,3 +80,13 @@ def test_resume_after_failure_no_loss_no_repeat(spark, tmp_path):
     drain(stream(), sink, ckpt)  # restart on the same checkpoint
     out = spark.read.parquet(sink)
     assert out.count() == n and out.select("event_id").distinct().count() == n
+
+
+def test_heartbeats_are_appended_to_a_topic(spark):
+    base = shared_dir(spark, "t-emit")
+    topic = emit_heartbeats(spark, os.path.join(base, "topic"), os.path.join(base, "ckpt"), 8)
+    got = [r.value for r in spark.read.parquet(topic).collect()]
+    assert got and all(re.fullmatch(r"message ecrit le \d\d:\d\d:\d\d:\d{9}", v) for v in got)
+    stream = read_topic(spark, topic, spark.read.parquet(topic).schema)
+    sink = drain(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt2"))
+    assert sorted(r.value for r in spark.read.parquet(sink).collect()) == sorted(got)

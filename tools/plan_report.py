@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from fundlens.plans import registry as E  # noqa: E402
 from fundlens.session import get_session  # noqa: E402
 
 EAGER = {"train_score", "grid_search", "model_reload"}
