@@ -58,9 +58,8 @@ def test_summary_keeps_heavy_hitters():
 def test_dedup_edges(clash_docs, no_docs):
     out = exact_dedup.deduplicate(clash_docs)
     assert out.columns == clash_docs.columns
-    # the six-word texts are one group (the longest stays), the empty ones another
-    assert out.count() == 7 and out.where("doc_id = 2").count() == 1
-    assert out.where("doc_id = 1").count() == 0
+    # the repeated row stays once, the null id goes, of empty texts the longest stays
+    assert sorted(r.doc_id for r in out.collect()) == [1, 2, 5, 6, 7, 8, 9]
     assert exact_dedup.duplicate_groups(no_docs).count() == 0
     assert exact_dedup.deduplicate(no_docs).count() == 0
 
