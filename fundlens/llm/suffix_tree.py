@@ -1,25 +1,28 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Tokens are words (A-Z in lower case, between ASCII white space) and one end per
-text.  Words are known by a 64-bit hash.  Every training token is counted, and
-the base model is the add-one smoothed unigram over all of them.
-
-The tree's symbols are the end, the words with at least ``MIN_SHARE`` of all
-training tokens (so at most 1 / MIN_SHARE) and one symbol for all rarer words,
-which are told apart by their unigram probabilities below it.  A context is a
-run of up to ``DEPTH`` symbols; a run counts as frequent from ``GRAM_SHARE`` of
-all tokens.  Frequent runs are found without counting all: each task names the
-runs that reach half that share in a block of its tokens, the sums over blocks
-leave at most 2 / GRAM_SHARE names per length (a run that is frequent overall
-is among them), and a second pass counts these exactly over all texts.
-
-A context is retained if its next-symbol counts diverge from its suffix's
+text.  Words, and runs of up to ``DEPTH`` + 1 tokens, are known by 64-bit
+hashes.  Every training token is counted, and the base model is the add-one
+smoothed unigram over all of them.
+
+The tree grows with the corpus: every run that occurs at least ``FLOOR`` times
+is in it, whatever its share.  Runs are counted by shuffle, summed up in blocks
+of tokens first: pairs, then the longer runs all of whose pairs may be frequent,
+as told by a filter of fixed size that misses none, then all that may be, with
+the contexts and suffixes that they belong to.  A context (the run without
+its last token) is retained if its next-token counts diverge from its suffix's
 distribution by more than their description costs (log-likelihood ratio against
-half a log N per symbol), or if a longer retained context needs it.  Its
-distribution is smoothed towards its suffix's: counted symbols get (count +
-STRENGTH * p_suffix) / (total + STRENGTH), the others the rest in proportion to
-p_suffix.  A token is scored in the longest retained state that ends before it;
-the first token follows an end symbol.
+half a log N per token).  Its distribution is smoothed towards its suffix's:
+counted tokens get (count + STRENGTH * p_suffix) / (total + STRENGTH), the
+others the rest in proportion to p_suffix.  A token is scored in the longest
+retained context that ends before it; the first token follows an end.
+
+The score of a text is a sum over its words and runs: log p of a word, the
+``rest`` of a run that is a retained context, and the ``gain`` of a run over its
+suffix in one.  Only what is common, words of at least ``MIN_SHARE`` and runs of
+at least ``GRAM_SHARE`` of all tokens, goes to the tasks whole (so its size is
+bounded); the others are looked up by a shuffle join with stored tables, with
+the same results.
 
 A null text counts as empty: its only token is the end.  Without training rows
 all probabilities are 1.  Rows repeated whole are counted and scored each.  An
@@ -30,26 +33,38 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.batches import LOWER, SpanHash, chunks, text_buffer, word_spans
+from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, text_buffer, word_spans
 from fundlens.llm.frames import small_batches, stored
+from fundlens.session import remove_dir, shared_dir
+from fundlens.sources.files import materialize
 
+#: Shares of all tokens from which words and runs are held in every task.
 MIN_SHARE = 2e-6
-GRAM_SHARE = 1e-5
+GRAM_SHARE = 1e-6
+#: Occurrences from which a run is in the tree.
+FLOOR = 5
 DEPTH = 3
 STRENGTH = 5.0
-#: Tokens of a block in which frequent runs are named.
-BLOCK = 2_000_000
+#: Tokens of a block in which runs are summed up.
+BLOCK = 1_000_000
+#: Rows handed on at once.
+SLICE = 100_000
 #: Distinct words that a task counts before it hands them on.
 HELD = 2_000_000
+#: Bits of a filter, as a power of two.
+FILTER = 27
 
+#: Symbols; END is also the hash of the end.
 END, RARE = 0, 1
 
 
@@ -84,20 +99,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in added()], ["word", "n"])
 
 
-@dataclass
-class Runs:
-    """Frequent runs of symbols by length, and what the tree says of them.
-
-    ``keys[k]`` are the sorted keys (place of the first k + 1 symbols' run << 21
-    | last symbol) of the runs of k + 2 symbols; below, single symbols are
-    their own places."""
-    keys: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-
-
 def _sequence(symbols: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The rows' symbols one after the other, each row closed by the end;
-    also each token's row, and its place in the row."""
+    """The rows' symbols (or hashes) one after the other, each row closed by
+    the end; also each token's row, and its place in the row."""
     size = np.bincount(rows, minlength=n) + 1
     ends = np.cumsum(size) - 1
     out = np.full(int(size.sum()), END, np.int64)
@@ -108,48 +112,61 @@ def _sequence(symbols: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
     return out, row, np.arange(len(out)) - np.repeat(ends - size + 1, size)
 
 
-def _contexts(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The symbol before each token; the end before a row's first."""
-    before = np.empty_like(symbols)
-    before[1:] = symbols[:-1]
-    before[place == 0] = END
-    return before
-
-
-def _chain(symbols: np.ndarray, place: np.ndarray, runs: Runs):
-    """For k = 0, 1, ...: per token the place among ``runs.keys[k]`` of the
-    run of k + 2 symbols that ends there (-1: none), and of its context."""
-    context = _contexts(symbols, place)
-    for k, keys in enumerate(runs.keys):
-        at = np.full(len(symbols), -1, np.int64)
-        open_ = np.flatnonzero(context >= 0)
-        if len(keys) and len(open_):
-            key = context[open_] << 21 | symbols[open_]
-            spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[spot] == key
-            at[open_[hit]] = spot[hit]
-        yield k, at, context
-        context = np.full(len(symbols), -1, np.int64)
-        context[1:] = at[:-1]
-        context[place == 0] = -1
-
-
-def _lookup(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+def _runs(words: np.ndarray, place: np.ndarray, depth: int):
+    """For lengths 2, 3, ...: the tokens at which a run of that length ends
+    (the end before a row's first token counts), and the hashes of the run, of
+    it without its last, and of it without its first token."""
+    last = words.view(np.uint64)
+    suffix = last
+    for length in range(2, depth + 2):
+        context = np.zeros_like(suffix)  # END before a row's first token
+        context[1:] = suffix[:-1]
+        if length == 2:
+            context[place == 0] = END
+        run = mix(context * np.uint64(0xD6E8FEB86659FD93) + last + np.uint64(length))
+        at = np.flatnonzero(place >= length - 2)
+        yield length, at, run.view(np.int64), context.view(np.int64), suffix.view(np.int64)
+        suffix = run
+
+
+class Places:
+    """Places of hashes in a sorted list of distinct ones; -1 if not there."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.int64(64 - max(len(keys).bit_length(), 1) - 1)
+        half = 1 << (63 - int(self.shift))  # the top bits are signed
+        self.starts = np.searchsorted(keys >> self.shift, np.arange(-half, half + 1)).astype(np.int32)
+        self.half = half
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        group = (hashes >> self.shift) + self.half
+        at, end = self.starts[group], self.starts[group + 1]
+        open_ = np.flatnonzero(at < end)
+        at, end = at[open_], end[open_]
+        while len(open_):
+            hit = self.keys[at] == hashes[open_]
+            out[open_[hit]] = at[hit]
+            on = ~hit & (at + 1 < end)
+            open_, at, end = open_[on], at[on] + 1, end[on]
+        return out
+
+
+def _lookup(words: np.ndarray, vocabulary: np.ndarray | Places) -> np.ndarray:
     """Symbols of word hashes; ``vocabulary`` is sorted."""
-    if not len(vocabulary):
-        return np.full(len(words), RARE, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at + 2, RARE)
+    at = (vocabulary if isinstance(vocabulary, Places) else Places(vocabulary))(words)
+    return np.where(at >= 0, at + 2, RARE)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray):
-    """Symbol sequences and places of about ``BLOCK`` tokens."""
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Hash sequences and places of about ``BLOCK`` tokens."""
     held, size = [], 0
     for part in chunks(batches, "text"):
         words, rows = hashed_words(part.column("text"))
-        symbols, _, place = _sequence(_lookup(words, vocabulary), rows, part.num_rows)
-        held.append((symbols, place))
-        size += len(symbols)
+        words, _, place = _sequence(words, rows, part.num_rows)
+        held.append((words, place))
+        size += len(words)
         if size >= BLOCK:
             yield tuple(map(np.concatenate, zip(*held, strict=True)))
             held, size = [], 0
@@ -157,195 +174,216 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray):
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def _name_runs(vocabulary: np.ndarray, share: float, depth: int):
-    """For ``mapInArrow``: runs with at least half the share of a block."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for symbols, place in _blocks(batches, vocabulary):
-            floor = share / 2 * len(symbols)
-            runs = Runs()
-            spelled = None  # the symbols of the runs found last
-            context = _contexts(symbols, place)
-            for k in range(depth):
-                open_ = np.flatnonzero(context >= 0)
-                keys, n = np.unique(context[open_] << 21 | symbols[open_], return_counts=True)
-                keys, n = keys[n >= floor], n[n >= floor]
-                first, last = keys >> 21, keys & ((1 << 21) - 1)
-                spelled = np.column_stack([spelled[first] if k else first, last])
-                runs.keys.append(keys)
-                spot = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(keys) + 1) * (k + 2), pa.int32()), pa.array(spelled.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([spot, pa.array(n, pa.int64())], ["run", "n"])
-                at = np.full(len(symbols), -1, np.int64)
-                if len(keys):
-                    key = context[open_] << 21 | symbols[open_]
-                    place_of = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                    at[open_] = np.where(keys[place_of] == key, place_of, -1)
-                context = np.full(len(symbols), -1, np.int64)
-                context[1:] = at[:-1]
-                context[place == 0] = -1
-    return run
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """Bits set for the hashes of a one-column table, as 64-bit integers."""
+    slot = F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << FILTER) - 1))
+    set_ = hashes.select(F.shiftright(slot, 6).alias("at"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit")) \
+        .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER - 6), np.uint64)
+    out[set_.column("at").to_numpy()] = set_.column("bits").to_numpy().view(np.uint64)
+    return out
+
 
+def _passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each hash."""
+    slot = hashes.view(np.uint64) & np.uint64((1 << FILTER) - 1)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-def _count_runs(vocabulary: np.ndarray, runs: Runs):
-    """For ``mapInArrow``: how often each named run occurs in a task."""
+
+def _sliced(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), SLICE):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + SLICE]) for x in columns], names)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, n) of the runs of two tokens."""
+    for words, place in _blocks(batches):
+        for _, _, run, _, _ in _runs(words, place, 1):
+            yield from _sliced(np.unique(run, return_counts=True), ["run", "n"])
+
+
+def _count_longer(pairs: np.ndarray, depth: int):
+    """For ``mapInArrow``: (run, n) of longer runs all of whose pairs pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros(len(k), np.int64) for k in runs.keys]
-        for symbols, place in _blocks(batches, vocabulary):
-            for k, at, _ in _chain(symbols, place, runs):
-                totals[k] += np.bincount(at[at >= 0], minlength=len(totals[k]))
-        for k, n in enumerate(totals):
-            seen = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), k), pa.int32()), pa.array(seen, pa.int64()),
-                                              pa.array(n[seen], pa.int64())], ["k", "place", "n"])
+        for words, place in _blocks(batches):
+            passes = None
+            for length, at, runs, _, _ in _runs(words, place, depth):
+                if length == 2:
+                    passes = _passes(runs, pairs)
+                    continue
+                passes[1:] &= passes[:-1].copy()
+                yield from _sliced(np.unique(runs[at[passes[at]]], return_counts=True), ["run", "n"])
     return run
 
 
-def _indexed(spelled: list[tuple], depth: int) -> Runs:
-    """The keys of runs given by their symbols; a run whose beginning is not
-    among them cannot be frequent and is left out."""
-    runs, place = Runs(), None
-    for k in range(depth):
-        keys = []
-        for r in spelled:
-            if len(r) == k + 2:
-                first = r[0] if k == 0 else place.get(r[:-1])
-                if first is not None:
-                    keys.append((first << 21 | r[-1], r))
-        keys.sort()
-        runs.keys.append(np.array([x for x, _ in keys], np.int64))
-        place = {r: i for i, (_, r) in enumerate(keys)}
-    return runs
+def _count_runs(often: np.ndarray, depth: int):
+    """For ``mapInArrow``: the runs that pass, with contexts and suffixes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, place in _blocks(batches):
+            before = None
+            for length, at, runs, context, suffix in _runs(words, place, depth):
+                passes = _passes(runs, often)
+                if length > 2:
+                    # a frequent run's context and suffix are frequent
+                    passes &= before
+                    passes[1:] &= before[:-1]
+                before = passes
+                at = at[passes[at]]
+                names, first, n = np.unique(runs[at], return_index=True, return_counts=True)
+                first = at[first]
+                yield from _sliced([np.full(len(n), length, np.int32), names, context[first], suffix[first], n],
+                                   ["length", "run", "context", "suffix", "n"])
+    return run
 
 
 @dataclass
 class Tree:
-    """The retained states and their probabilities, as log10."""
+    """What is common, for every task, and the stored table of the others."""
     vocabulary: np.ndarray  # sorted hashes; symbol = place + 2
-    root: np.ndarray        # per symbol
-    runs: Runs
-    entry: list[np.ndarray]    # per run: p(last symbol | the state of the rest), nan if not retained
-    rest: list[np.ndarray]     # per context: what others get of the suffix's p, nan if not retained
-    tokens: int                # N
-    distinct: int              # V
+    root: np.ndarray        # log10 p per symbol
+    keys: np.ndarray        # sorted hashes of the common words and runs of the tree
+    gain: np.ndarray        # per key: what its last token gains over the suffix's p; nan if none
+    rest: list[np.ndarray]  # per key, as a context: what all tokens get of the suffix's p; nan if not retained
+    others: DataFrame       # (run, value): gain and rest of the others, added up
+    passes: np.ndarray      # filter of all, common or not
+    min_count: float        # from which a word is in the vocabulary
+    tokens: int             # N
+    distinct: int           # V
     depth: int
+    places: Places | None = None
 
     def scores(self, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """log10 p of every token's symbol."""
-        out = self.root[symbols]
-        for k, at, context in _chain(symbols, place, self.runs):
-            known = np.flatnonzero(context >= 0)
-            rest = self.rest[k][context[known]]
-            state = ~np.isnan(rest)
-            known, rest = known[state], rest[state]
-            out[known] += rest
-            hit = known[at[known] >= 0]
-            out[hit] = self.entry[k][at[hit]]
-        return out
-
-
-def grow(vocabulary: np.ndarray, counts: np.ndarray, rare: int, rare_smoothed: float, ends: int,
-         tokens: int, distinct: int, runs: Runs, depth: int, strength: float) -> Tree:
-    """Divergence tests and smoothing over the frequent runs.  ``counts``:
-    of the vocabulary's words; ``rare``: tokens of all other words;
-    ``rare_smoothed``: their probability with the unknown words'."""
-    total = tokens + distinct + 1
-    base = np.concatenate([[(ends + 1) / total, max(rare_smoothed, 1 / total)], (counts + 1) / total])
-    root = np.log10(base)
-    # the context of a run of k + 2 symbols, and how often it occurs
-    occurs = [np.concatenate([[ends, rare], counts]).astype(float)]
-    occurs += [c.astype(float) for c in runs.counts[:-1]]
-    spelled: list[list[tuple]] = [[(s,) for s in range(len(base))]]
-    for keys in runs.keys:
-        spelled.append([spelled[-1][x >> 21] + (x & ((1 << 21) - 1),) for x in keys.tolist()])
-    kept: list[dict] = []
-    tree_p: dict[tuple, dict] = {}   # context -> symbol -> p, retained contexts only
-    tree_rest: dict[tuple, float] = {}
-
-    def p(context: tuple, symbol: int) -> float:
-        factor = 1.0
-        while context:
-            if context in tree_p:
-                found = tree_p[context].get(symbol)
-                if found is not None:
-                    return factor * found
-                factor *= tree_rest[context]
-            context = context[1:]
-        return factor * base[symbol]
-
-    for k, keys in enumerate(runs.keys):
-        follow: dict[tuple, list] = {}
-        for run, n in zip(spelled[k + 1], runs.counts[k].tolist(), strict=True):
-            follow.setdefault(run[:-1], []).append((run[-1], n))
-        here = {}
-        of = dict(zip(spelled[k], occurs[k].tolist(), strict=True))
-        for context, next_ in follow.items():
-            n = of[context]
-            gain = sum(c * math.log((c / n) / p(context[1:], s)) for s, c in next_)
-            other = n - sum(c for _, c in next_)
-            left = max(1 - sum(p(context[1:], s) for s, _ in next_), 1e-12)
-            if other > 0:
-                gain += other * math.log(other / n / left)
-            if gain <= len(next_) * math.log(max(tokens, 2)) / 2:
-                continue
-            got = {s: (c + strength * p(context[1:], s)) / (n + strength) for s, c in next_}
-            here[context] = (got, max(1 - sum(got.values()), 1e-12) / left)
-        for context, (got, rest) in here.items():
-            tree_p[context], tree_rest[context] = got, rest
-        kept.append(here)
-    entry, rest = [], []
-    for k, keys in enumerate(runs.keys):
-        entry.append(np.array([math.log10(tree_p[r[:-1]][r[-1]]) if r[:-1] in tree_p else math.nan
-                               for r in spelled[k + 1]], float))
-        rest.append(np.array([math.log10(tree_rest[c]) if c in tree_rest else math.nan for c in spelled[k]], float))
-    return Tree(vocabulary, root, runs, entry, rest, tokens, distinct, depth)
-
-
-def fit(train: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE,
-        gram_share: float = GRAM_SHARE, depth: int = DEPTH, strength: float = STRENGTH) -> tuple[Tree, DataFrame]:
+        """log10 p of every token's symbol, by the common runs."""
+        words = np.concatenate([[END, RARE], self.vocabulary])[symbols]
+        return self.walk(words, symbols, place)[0]
+
+    def walk(self, words: np.ndarray, symbols: np.ndarray,
+             place: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """The scores of tokens with these hashes by the common runs; and the
+        runs that may be among the others, as (tokens, hashes)."""
+        out, rest = self.root[symbols], self.rest[0]
+        if self.places is None:
+            self.places = Places(self.keys)
+        start = self.places(np.array([END]))[0]
+        if start >= 0 and not np.isnan(rest[start]):
+            out[place == 0] += rest[start]
+        single = np.flatnonzero(symbols != END)
+        others = []
+        for at, hashes in [(single, words[single]), *[(at, run[at]) for _, at, run, _, _ in _runs(
+                words, place, self.depth)]]:
+            passed = _passes(hashes, self.passes)
+            at, hashes = at[passed], hashes[passed]
+            spot = self.places(hashes)
+            held = spot >= 0
+            others.append((at[~held], hashes[~held]))
+            at, spot = at[held], spot[held]
+            # a run's gain is its last token's, its rest the next token's
+            inner = at + 1 < len(place)
+            inner[inner] = place[at[inner] + 1] > 0
+            for to, value in ((at, self.gain[spot]), (at[inner] + 1, rest[spot[inner]])):
+                known = np.flatnonzero(~np.isnan(value))
+                out[to[known]] += value[known]
+        return out, others
+
+
+@contextmanager
+def _tidy(spark: SparkSession):
+    """Gives a function that stores a table until the end; shuffle files go
+    as soon as the query that wrote them ends."""
+    key, paths = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        paths.append(shared_dir(spark, name))
+        return materialize(df, paths[-1])
+
+    try:
+        yield held
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+        for path in paths:
+            remove_dir(spark, path)
+
+
+def grow(words: DataFrame, runs: DataFrame, tokens: int, total: int, depth: int, strength: float,
+         held) -> DataFrame:
+    """Divergence tests and smoothing: (run, n, gain, rest) of the words and
+    runs of the tree.  ``words``: (word, n) with the end; ``held`` stores a
+    table while the tree grows."""
+    known = words.select(F.col("word").alias("run"), "n", ((F.col("n") + 1) / F.lit(float(total))).alias("p"))
+    nodes = []
+    for length in range(2, depth + 2):
+        here = held(runs.where(F.col("length") == length).select("run", "context", "suffix", "n")
+                      .join(known.select(F.col("run").alias("suffix"), F.col("p").alias("below")), "suffix"), "runs")
+        next_ = here.groupBy("context").agg(
+            F.count("*").alias("m"), F.sum("n").alias("c"), F.sum("below").alias("sum_below"),
+            F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("odds"))
+        left = F.greatest(1 - F.col("sum_below"), F.lit(1e-12))
+        other = F.col("total") - F.col("c")
+        gain = F.col("odds") - F.col("c") * F.log(F.col("total")) + F.when(
+            other > 0, other * F.log(other / F.col("total") / left)).otherwise(0.0)
+        given = (F.col("c") + strength * F.col("sum_below")) / (F.col("total") + strength)
+        kept = held(
+            next_.join(known.select(F.col("run").alias("context"), F.col("n").alias("total")), "context")
+            .where(gain > F.col("m") * F.lit(math.log(max(tokens, 2)) / 2))
+            .select("context", "total", F.log10(F.greatest(1 - given, F.lit(1e-12)) / left).alias("rest")), "contexts")
+        p = (F.col("n") + strength * F.col("below")) / (F.col("total") + strength)
+        known = held(
+            here.join(kept, "context", "left").select(
+                "run", "n", F.coalesce(p, "below").alias("p"),
+                (F.log10(p) - F.log10("below") - F.col("rest")).alias("gain")), "tree")
+        none = F.lit(None).cast("double")
+        nodes += [kept.select(F.col("context").alias("run"), F.col("total").alias("n"), none.alias("gain"), "rest"),
+                  known.where("gain is not null").select("run", "n", "gain", none.alias("rest"))]
+    return reduce(DataFrame.unionByName, nodes).groupBy("run").agg(
+        F.max("n").alias("n"), F.max("gain").alias("gain"), F.max("rest").alias("rest"))
+
+
+def fit(train: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE, gram_share: float = GRAM_SHARE,
+        depth: int = DEPTH, strength: float = STRENGTH, floor: int = FLOOR) -> tuple[Tree, DataFrame]:
     """The tree of ``train``'s texts, and the counts (word, n) of all their
     words, stored."""
     small_batches(train.sparkSession)
     texts = train.select(F.coalesce(train[text_col], F.lit("")).alias("text"))
-    words = stored(texts.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    ends = texts.count()
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
-    tokens, distinct = n + ends, v + (ends > 0)
-    floor = min_share * tokens
-    # at most 1 / min_share words reach the share
-    often = words.where(F.col("n") >= max(floor, 1)).toArrow().sort_by("word")
-    vocabulary, counts = often.column("word").to_numpy(), often.column("n").to_numpy()
-    rare = n - int(counts.sum())
-    rare_smoothed = (rare + v - len(vocabulary) + 1) / (tokens + distinct + 1)
-    named = texts.mapInArrow(_name_runs(vocabulary, gram_share, depth), "run array<long>, n long")
-    named = named.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= gram_share / 2 * tokens)
-    runs = _indexed([tuple(r) for r in named.toArrow().column("run").to_pylist()], depth)
-    exact = texts.mapInArrow(_count_runs(vocabulary, runs), "k int, place long, n long") \
-        .groupBy("k", "place").agg(F.sum("n").alias("n")).toArrow()
-    k, place, n_of = (exact.column(c).to_numpy() for c in ("k", "place", "n"))
-    runs.counts = [np.zeros(len(x), np.int64) for x in runs.keys]
-    for i in range(depth):
-        runs.counts[i][place[k == i]] = n_of[k == i]
-    tree = grow(vocabulary, counts, rare, rare_smoothed, ends, tokens, distinct,
-                _frequent(runs, gram_share * tokens), depth, strength)
-    return tree, words
-
-
-def _frequent(runs: Runs, floor: float) -> Runs:
-    """The runs that reach ``floor``, with new places."""
-    out, moved = Runs(), None
-    for keys, counts in zip(runs.keys, runs.counts, strict=True):
-        stay = counts >= max(floor, 1)
-        first = keys >> 21
-        if moved is not None:
-            stay &= moved[first] >= 0
-            first = moved[first]
-        new = (first << 21 | keys & ((1 << 21) - 1))[stay]
-        order = np.argsort(new)
-        out.keys.append(new[order])
-        out.counts.append(counts[stay][order])
-        moved = np.full(len(keys), -1, np.int64)
-        moved[np.flatnonzero(stay)[order]] = np.arange(len(new))
-    return out
+    with _tidy(train.sparkSession) as held:
+        words = stored(texts.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+                       "words")
+        ends = texts.count()
+        n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
+        tokens, distinct = n + ends, v + (ends > 0)
+        total = tokens + distinct + 1
+        min_count = max(min_share * tokens, 1)  # at most 1 / min_share words reach it
+        top = words.where(F.col("n") >= min_count).toArrow().sort_by("word")
+        vocabulary, counts = top.column("word").to_numpy(), top.column("n").to_numpy()
+        rare = (n - int(counts.sum()) + v - len(vocabulary) + 1) / total
+        root = np.log10(np.concatenate([[(ends + 1) / total, max(rare, 1 / total)], (counts + 1) / total]))
+
+        def often(count) -> np.ndarray:
+            return _filter(texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+                           .where(F.col("n") >= floor).select("run"))
+
+        passes = often(_count_pairs)
+        passes |= often(_count_longer(passes, depth))
+        runs = texts.mapInArrow(_count_runs(passes, depth),
+                                "length int, run long, context long, suffix long, n long") \
+            .groupBy("length", "run", "context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
+        end = train.sparkSession.range(1).select(
+            F.lit(END).cast("long").alias("word"), F.lit(ends).cast("long").alias("n"))
+        nodes = stored(grow(words.unionByName(end), held(runs, "counts"), tokens, total, depth, strength, held),
+                       "nodes")
+    # at most 1 / gram_share of each length reach the share
+    common = (F.col("n") >= gram_share * tokens) | (F.col("run") == END)
+    head = nodes.where(common).toArrow().sort_by("run")
+    gain, rest = (head.column(c).to_numpy().astype(float) for c in ("gain", "rest"))
+    others = nodes.where(~common).select(
+        "run", (F.coalesce("gain", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0))).alias("value"))
+    return Tree(vocabulary, root, head.column("run").to_numpy(), gain, [rest], others,
+                _filter(nodes.select("run")), min_count, tokens, distinct, depth), words
 
 
 def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
@@ -357,53 +395,74 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
     rows = df.select(*[df[f"`{c}`"].alias(f"_{i}") for i, c in enumerate(keep)],
                      F.coalesce(df[text_col], F.lit("")).alias("text"))
     unit = math.log10(tree.tokens + tree.distinct + 1)
+    vocabulary, root, trained = tree.vocabulary, tree.root, tree.tokens > 0
+    walk = Tree(vocabulary, root, tree.keys, tree.gain, tree.rest, None, tree.passes, tree.min_count,
+                tree.tokens, tree.distinct, tree.depth).walk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_number = TaskContext.get().partitionId() << 40
-        known = tree.root + unit  # log10(count + 1)
+        known = root + unit  # log10(count + 1)
+        symbol_of = Places(vocabulary)
         for part in chunks(batches, "text"):
             m = part.num_rows
             hashes, rows = hashed_words(part.column("text"))
-            names = _lookup(hashes, tree.vocabulary)
-            symbols, row, place = _sequence(names, rows, m)
-            states = np.bincount(row, tree.scores(symbols, place), m)
+            words, row, place = _sequence(hashes, rows, m)
+            symbols = _sequence(_lookup(hashes, symbol_of), rows, m)[0]
+            each, found = walk(words, symbols, place)
+            states = np.bincount(row, each, m)
             often = symbols != RARE
             base = np.bincount(row[often], known[symbols[often]], m)
-            n_often = np.bincount(row[often], minlength=m) if tree.tokens else np.zeros(m, np.int64)
-            # the rarer words, added up per row
-            far = names == RARE
-            pair = np.lexsort((hashes[far], rows[far]))
-            h, r = hashes[far][pair], rows[far][pair]
+            n_often = np.bincount(row[often], minlength=m) if trained else np.zeros(m, np.int64)
+            # the rarer words, and the runs that are looked up, added up per row
+            far = np.flatnonzero(~often)
+            single, names = found[0]
+            found[0] = single[often[single]], names[often[single]]
+            h = np.concatenate([words[far], *[x for _, x in found]])
+            r = np.concatenate([row[far], *[row[at] for at, _ in found]])
+            pair = np.lexsort((h, r))
+            h, r = h[pair], r[pair]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(h)))
-            ends = np.searchsorted(r[first], np.arange(m + 1))
-            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x))
-                     for x in (h[first], n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(row_number + np.arange(m)),
-                 pa.array(np.bincount(row, minlength=m)), pa.array(n_often),
-                 pa.array(base), pa.array(states), *lists],
-                [*part.schema.names[:-1], "row", "n_tokens", "n_often", "often_score", "states", "rare", "rare_n"])
+            # a row with the sums of each text, then the lookups
+            heads = np.arange(m)
+            numbers = row_number + heads
+            outer = [pa.concat_arrays([x, pa.nulls(len(first), x.type)]) for x in [
+                *part.columns[:-1], *map(pa.array, (np.bincount(row, minlength=m), n_often, np.bincount(
+                    row[far], minlength=m), base, states))]]
+            whole = pa.RecordBatch.from_arrays(
+                [*outer, pa.array(np.concatenate([numbers, row_number + r[first]])),
+                 # these find nothing, and are dealt out evenly
+                 pa.array(np.concatenate([mix(numbers.astype(np.uint64)).view(np.int64), h[first]])),
+                 pa.array(np.concatenate([np.zeros(m, np.int64), n.astype(np.int64)]))],
+                [*part.schema.names[:-1], *sums, "row", "key", "times"])
+            for i in range(0, whole.num_rows, SLICE):
+                yield whole.slice(i, SLICE)
             row_number += m
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    parts = stored(rows.mapInArrow(run, kept + ", row long, n_tokens long, n_often long, often_score double, "
-                                   "states double, rare array<long>, rare_n array<long>"), "scored")
-    rare = (parts.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
-            .select("row", "x.rare", "x.rare_n")
-            .join(words, F.col("rare") == F.col("word"), "left")
-            .groupBy("row").agg(F.sum(F.col("rare_n") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_score"),
-                                F.sum("rare_n").alias("n_rare"),
-                                F.sum(F.when(F.col("n") > 0, F.col("rare_n"))).alias("n_rare_known"))
-            .withColumnRenamed("row", "r"))
-    zero = F.lit(0).cast("long")
-    n_rare, rare_score = F.coalesce("n_rare", zero), F.coalesce("rare_score", F.lit(0.0))
-    return parts.join(rare, F.col("row") == F.col("r"), "left").select(
+    sums = {"n_tokens": "long", "n_often": "long", "n_rare": "long", "often_score": "double", "states": "double"}
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    parts = rows.mapInArrow(run, ", ".join([*kept, *(f"{c} {t}" for c, t in sums.items()),
+                                            "row long, key long, times long"]))
+    # a rarer word may be in both
+    values = words.where(F.col("n") < tree.min_count).select(
+        F.col("word").alias("key"), "n", F.lit(None).cast("double").alias("value")).unionByName(
+        tree.others.select(F.col("run").alias("key"), F.lit(None).cast("long").alias("n"), "value")) \
+        .groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
+    found = parts.join(values, "key", "left").groupBy("row").agg(
+        *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(keep))],
+        *[F.sum(c).alias(c) for c in sums],
+        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_score"),
+        F.sum(F.col("times") * F.col("value")).alias("run_score"),
+        F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("n_rare_known"))
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    rare_score = F.coalesce("rare_score", none)
+    return found.select(
         *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "n_tokens",
         (F.col("n_often") + F.coalesce("n_rare_known", zero)).alias("n_known"),
         F.lit(tree.tokens).cast("long").alias("train_tokens"),
         (F.col("often_score") + rare_score - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
-        # a rare word: the state's p of any, times its own share among them
-        (F.col("states") + rare_score - n_rare * F.lit(unit + float(tree.root[RARE]))).alias("score"))
+        # a rare word: its own p in place of that of any
+        (F.col("states") + F.coalesce("run_score", none) + rare_score
+         - F.col("n_rare") * F.lit(unit + float(tree.root[RARE]))).alias("score"))

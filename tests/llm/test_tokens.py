@@ -166,3 +166,59 @@ def test_suffix_tree_edges(spark, clash_docs, no_docs):
     assert suffix_tree.score(no_docs, tree, words).count() == 0
     untrained = suffix_tree.score(clash_docs, tree, words).collect()
     assert all(r.base_score == 0 and abs(r.score) < 1e-9 and r.n_known == 0 for r in untrained)
+
+
+def brute_scores(texts, floor, depth=3, strength=5.0):
+    """The suffix tree over every run that occurs ``floor`` times."""
+    seqs = [re.findall(r"[^\x20\x09-\x0D]+", t.lower()) + [None] for t in texts]
+    counts = [Counter((w,) for s in seqs for w in s)]
+    for k in range(2, depth + 2):
+        counts.append(Counter(tuple(([None] + s)[i:i + k]) for s in seqs for i in range(len(s) + 2 - k)))
+    tokens = sum(map(len, seqs))
+    total, tree, rest = tokens + len(counts[0]) + 1, {}, {}
+
+    def p(context, symbol):
+        factor = 1.0
+        while context:
+            if context in tree:
+                if symbol in tree[context]:
+                    return factor * tree[context][symbol]
+                factor *= rest[context]
+            context = context[1:]
+        return factor * (counts[0][symbol,] + 1) / total
+
+    for k in range(1, depth + 1):
+        follow = {}
+        for run, n in counts[k].items():
+            if n >= floor:
+                follow.setdefault(run[:-1], []).append((run[-1], n))
+        found = {}
+        for context, next_ in follow.items():
+            n, left = counts[k - 1][context], max(1 - sum(p(context[1:], s) for s, _ in next_), 1e-12)
+            other = n - sum(c for _, c in next_)
+            gain = sum(c * math.log(c / n / p(context[1:], s)) for s, c in next_)
+            gain += other * math.log(other / n / left) if other else 0
+            if gain > len(next_) * math.log(tokens) / 2:
+                got = {s: (c + strength * p(context[1:], s)) / (n + strength) for s, c in next_}
+                found[context] = got, max(1 - sum(got.values()), 1e-12) / left
+        tree |= {c: x[0] for c, x in found.items()}
+        rest |= {c: x[1] for c, x in found.items()}
+    return [sum(math.log10(p(tuple(([None] + s[:i])[-depth:]), w)) for i, w in enumerate(s)) for s in seqs], tree
+
+
+def test_runs_of_any_share_are_in_the_tree(spark):
+    """Runs far below the shares held in tasks count and are looked up."""
+    rng = random.Random(3)
+    parts = [f"x{i} y{i} z{i} u{i}" for i in range(40)] + [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want, retained = brute_scores(texts, 5)
+    assert {len(c) for c in retained} >= {1, 2}
+    for word_share, run_share in ((2e-6, 1e-5), (0.004, 0.01), (1.0, 1.0), (1e-9, 0.02)):
+        tree, words = suffix_tree.fit(docs, min_share=word_share, gram_share=run_share)
+        got = {r.doc_id: r.score for r in suffix_tree.score(docs, tree, words).collect()}
+        assert all(math.isclose(got[i], x, rel_tol=1e-9, abs_tol=1e-9) for i, x in enumerate(want))
+    more, _ = brute_scores(texts, 2)
+    tree, words = suffix_tree.fit(docs, gram_share=1.0, floor=2)
+    got = {r.doc_id: r.score for r in suffix_tree.score(docs, tree, words).collect()}
+    assert all(math.isclose(got[i], x, rel_tol=1e-9, abs_tol=1e-9) for i, x in enumerate(more))
