@@ -24,9 +24,6 @@ from fundlens.sources.tables import table
 #: Vocabulary file of the tokenizing queries.
 TOKENIZER = "word_bpe_49k.json"
 
-#: Labelled rows at most used to fit a model; taken in the order of a hash.
-LABELLED = 20_000
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
@@ -108,9 +105,8 @@ def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    trusted = (labels.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id")
-               .limit(LABELLED).select("doc_id"))
+    """Every document labelled 1 is trusted."""
+    trusted = table(spark, sf_dir, "labels", ["doc_id", "quality"]).where("quality = 1").select("doc_id")
     return rules.quality_rules(documents(spark, sf_dir), trusted)
 
 

@@ -113,13 +113,15 @@ def _buckets(hashes: Column, runs: Column) -> Column:
 def bucket_ratios(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> list[float]:
     """log(p_target / p_raw) of every bucket.  Raw counts cover every row of
-    ``df``; ``trusted`` (one id column) names the target documents and must
-    be of bounded size, since it is broadcast."""
-    ids = F.broadcast(trusted.select(trusted.columns[0]).dropna().distinct().toDF("_trusted"))
-    text = df[text_col]
+    ``df``; ``trusted`` (one id column, of any size) names the target
+    documents."""
+    ids = trusted.select(trusted.columns[0]).dropna().distinct().toDF("_trusted")
+    text = F.col("_text")
     grams = _let(_hashes(words(text)), lambda h: _buckets(h, symbol_runs(text)))
-    counts = (df.select(df[id_col].alias("_id"), grams.alias("_grams"))
-              .join(ids, F.col("_id") == F.col("_trusted"), "left")
+    counts = (df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
+              .join(ids.hint("merge"), F.col("_id") == F.col("_trusted"), "left")
+              # the n-grams after the join: texts are smaller
+              .select("_trusted", grams.alias("_grams"))
               # explode_outer: a plain explode adds a filter that computes the array twice
               .select(F.col("_trusted").isNotNull().alias("good"), F.explode_outer("_grams").alias("bucket"))
               .where("bucket is not null")

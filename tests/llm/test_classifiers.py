@@ -216,3 +216,17 @@ def test_repeated_windows(spark):
 
 def test_rules_without_rows(spark, no_docs):
     assert rules.quality_rules(no_docs, no_docs.select("doc_id")).count() == 0
+
+
+def test_every_trusted_label_counts(spark, tmp_path):
+    """Many label rows of one id do not crowd out the others."""
+    from fundlens.llm import queries
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    good = spark.read.parquet(f"{SF_SMALL}/labels.parquet").where("quality = 1").select("doc_id")
+    first = good.orderBy(F.xxhash64("doc_id")).limit(1).crossJoin(spark.range(20_000)).select("doc_id")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    good.unionByName(first).select("doc_id", F.lit(1).cast("long").alias("quality")) \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    want = {r.doc_id: (round(r.llr, 9), r.kept) for r in rules.quality_rules(docs, good).collect()}
+    got = {r.doc_id: (round(r.llr, 9), r.kept) for r in queries.op10_quality_rules(spark, str(tmp_path)).collect()}
+    assert got == want
