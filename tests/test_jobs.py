@@ -3,7 +3,7 @@ saved model with a held-out report; word count over text files."""
 
 import os
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fundlens.operators.train import grid_of
 from fundlens.plans.jobs import CAMPAIGN_COLUMNS, preprocess, train, word_count
 from fundlens.session import shared_dir

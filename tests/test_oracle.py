@@ -4,7 +4,7 @@ DuckDB on sf0.001 (the driver runs the same at sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tools.check_oracle import compare, duck
 
 ORACLE_NAMES = sorted(E.oracle_sql())

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fundlens.plans import registry as E
 
 EAGER = {"train_score", "grid_search", "model_reload"}  # fit models while building

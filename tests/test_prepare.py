@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from fundlens.operators import profile
 from fundlens.plans.campaign_queries import campaign_prepare
 from fundlens.sources import campaigns

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fundlens.session import shared_dir
 from fundlens.sources import table
 from fundlens.streaming import append_to_topic, drain, emit_heartbeats, rate_heartbeat, read_topic

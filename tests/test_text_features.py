@@ -6,7 +6,7 @@ from pyspark.ml.feature import (IDF, CountVectorizer, OneHotEncoder, RegexTokeni
                                 StopWordsRemover, StringIndexer)
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fundlens.functions.text import ENGLISH_STOP_WORDS
 from fundlens.operators import text_features as TF
 from fundlens.plans.campaign_queries import campaign_prepare

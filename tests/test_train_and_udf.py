@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from fundlens.functions.cleaning import clean_currency
 from fundlens.functions.udfs import clean_currency_udf, identity_udf, null_safe_udf
 from fundlens.operators import evaluate as EV
