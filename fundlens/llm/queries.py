@@ -11,6 +11,7 @@ from fundlens.llm import (
     frames,
     mixing,
     quality,
+    repeats,
     rules,
     simhash,
     suffix_tree,
@@ -110,6 +111,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir), trusted)
 
 
+def op11_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_toxicity_gru": op1_toxicity_gru,
     "op2_quality_cotraining": op2_quality_cotraining,
@@ -121,6 +127,7 @@ QUERIES = {
     "op8_transcript_hmm": op8_transcript_hmm,
     "op9_wavelet_shards": op9_wavelet_shards,
     "op10_quality_rules": op10_quality_rules,
+    "op11_radix_repeats": op11_radix_repeats,
 }
 
 ORACLE = {
