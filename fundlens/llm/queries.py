@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.llm import (
+    alignment,
     bpe,
     exact_dedup,
     frames,
@@ -14,6 +15,7 @@ from fundlens.llm import (
     repeats,
     rules,
     simhash,
+    spelling,
     suffix_tree,
     toxicity,
     transcripts,
@@ -24,6 +26,8 @@ from fundlens.sources.tables import table
 
 #: Vocabulary file of the tokenizing queries.
 TOKENIZER = "word_bpe_49k.json"
+#: The two sides of the alignment query.
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +65,9 @@ def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def encoded_digests(df: DataFrame, path: str, keep: list[str]) -> DataFrame:
@@ -116,6 +120,15 @@ def op11_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_variant_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_alignment(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER),
+                                     tokenizer_path(PIECE_TOKENIZER))
+
+
 QUERIES = {
     "op1_toxicity_gru": op1_toxicity_gru,
     "op2_quality_cotraining": op2_quality_cotraining,
@@ -128,6 +141,8 @@ QUERIES = {
     "op9_wavelet_shards": op9_wavelet_shards,
     "op10_quality_rules": op10_quality_rules,
     "op11_radix_repeats": op11_radix_repeats,
+    "op12_variant_trie": op12_variant_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {

@@ -51,7 +51,7 @@ LENGTH = 100
 #: Bytes of an anchor (shorter for windows below 48 bytes).
 ANCHOR = 24
 #: Different segments of one anchor that one task sorts.
-HOT = 20_000
+HOT = 1000
 #: Text bytes whose segments are combined before they are shuffled.
 COMBINE_BYTES = 16 << 20
 #: Text bytes, about, whose segments one shuffle bucket takes.
