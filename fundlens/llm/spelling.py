@@ -47,7 +47,7 @@ DAMAGE = 199
 GROUPS = 20
 #: Least depth of a subtree, and the words it has at most (if it can be cut).
 TOP = 4
-SUBTREE = 100_000
+SUBTREE = 10_000
 #: Words of a node that are compared without a further descent.
 LEAF = 8
 #: Pairs of a leaf that are compared directly, and pairs verified at once.
