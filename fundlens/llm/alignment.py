@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,10 +72,13 @@ class ByteSide(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.letters = _byte_letters()
-        back = {c: i for i, c in enumerate(self.letters)}
+        self.table = dict(enumerate(self.letters))
+        back = {c: i for i, c in self.table.items()}
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.bytes = [bytes(back[c] for c in n) if all(c in back for c in n) else n.encode() for n in names]
         pre = self.tokenizer.pre_tokenizer
+        #: pieces that their ids do not reproduce
+        self.lossy: set[str] = set()
         #: whether pieces may be cut by PIECE: nothing but byte-level cutting
         self.plain = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and pre.use_regex \
             and self.tokenizer.normalizer is None
@@ -82,16 +86,28 @@ class ByteSide(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        word = "".join([self.letters[b] for b in piece.encode()])
-        self[piece] = out = np.array([t.id for t in self.tokenizer.model.tokenize(word)], np.int32).tobytes()
+        plain = piece.encode()
+        word = plain.decode("latin-1").translate(self.table)
+        ids = [t.id for t in self.tokenizer.model.tokenize(word)]
+        if b"".join([self.bytes[i] for i in ids]) != plain:
+            self.lossy.add(piece)
+        self[piece] = out = array("i", ids).tobytes()
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The texts' ids; None where their bytes are not the text's."""
         settled = [self.plain and _SETTLED.fullmatch(t) is not None for t in texts]
         others = iter(self.tokenizer.encode_batch_fast([t for t, s in zip(texts, settled, strict=True) if not s],
                                                        add_special_tokens=False))
-        return [np.frombuffer(b"".join(map(self.__getitem__, PIECE.findall(t))), np.int32) if s
-                else np.array(next(others).ids, np.int32) for t, s in zip(texts, settled, strict=True)]
+        out: list[np.ndarray | None] = []
+        for text, cut in zip(texts, settled, strict=True):
+            if cut:  # pieces cover a text without gaps, and each was compared when it was kept
+                pieces = PIECE.findall(text)
+                ids = np.frombuffer(b"".join(map(self.__getitem__, pieces)), np.int32)
+                out.append(ids if not self.lossy or self.lossy.isdisjoint(pieces) else None)
+            else:
+                out.append(_same(next(others).ids, self.bytes, text.encode()))
+        return out
 
 
 class PieceSide:
@@ -105,8 +121,14 @@ class PieceSide:
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                               else piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int32) for x in self.model.encode(texts, num_threads=1)]
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """As that of side A."""
+        return [_same(x, self.bytes, (" " + t).encode())
+                for x, t in zip(self.model.encode(texts, num_threads=1), texts, strict=True)]
+
+
+def _same(ids: list[int], parts: list[bytes], whole: bytes) -> np.ndarray | None:
+    return np.array(ids, np.int32) if b"".join([parts[i] for i in ids]) == whole else None
 
 
 def covering(starts: np.ndarray, others: np.ndarray, docs: np.ndarray, other_docs: np.ndarray) -> np.ndarray:
@@ -164,11 +186,8 @@ def _align(path_a: str, path_b: str, name: str):
             full = [i for i, t in enumerate(texts) if t]
             coded_a = side_a.encode([" " + texts[i] for i in full])
             coded_b = side_b.encode([texts[i] for i in full])
-            good = []
-            for i, a, b in zip(full, coded_a, coded_b, strict=True):
-                whole = (" " + texts[i]).encode()
-                if all(b"".join(map(s.bytes.__getitem__, x.tolist())) == whole for s, x in ((side_a, a), (side_b, b))):
-                    good.append((i, a, b))
+            good = [(i, a, b) for i, a, b in zip(full, coded_a, coded_b, strict=True)
+                    if a is not None and b is not None]
             yield _numbers(batch, good, sizes_a, sizes_b, written)
 
     def _numbers(batch, good, sizes_a, sizes_b, written) -> pa.RecordBatch:
