@@ -71,6 +71,8 @@ class ByteSide(dict):
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # bound once: each look at ``tokenizer.model`` makes a new object
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.table = dict(enumerate(self.letters))
         back = {c: i for i, c in self.table.items()}
@@ -88,7 +90,7 @@ class ByteSide(dict):
             self.clear()
         plain = piece.encode()
         word = plain.decode("latin-1").translate(self.table)
-        ids = [t.id for t in self.tokenizer.model.tokenize(word)]
+        ids = [t.id for t in self.tokenize(word)]
         if b"".join([self.bytes[i] for i in ids]) != plain:
             self.lossy.add(piece)
         self[piece] = out = array("i", ids).tobytes()

@@ -47,7 +47,7 @@ CACHE = 500_000
 #: The pre-tokenizer's pattern for lower-case ASCII pieces.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
 #: White space to Python's split but not to the tokenizer.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_SPACE = "\x1c\x1d\x1e\x1f"
 _SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 
 
@@ -68,7 +68,9 @@ class Encoder(dict):
         with open(path) as file:
             parts = json.load(file)
         specials = [t["content"] for t in parts["added_tokens"]]
-        self.marks = {s[:2] for s in specials}
+        self.marked = re.compile("|".join(re.escape(s[:2]) for s in specials) or r"(?!)").search
+        # bound once: each look at ``tokenizer.model`` makes a new object
+        self.tokenize = self.tokenizer.model.tokenize
         pre = parts.get("pre_tokenizer") or {}
         patterns = [p["pattern"]["Regex"] for p in pre.get("pretokenizers", []) if p["type"] == "Split"]
         kinds = [n["type"] for n in (parts.get("normalizer") or {}).get("normalizers", [])]
@@ -87,7 +89,7 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         if not piece:
             return b""
-        if not self.plain or any(m in piece for m in self.marks):
+        if not self.plain or self.marked(piece):
             return self._keep(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
         # a capital or a mark at the end is settled without an entry of its
         # own, unless it is short and so likely to come again
@@ -96,14 +98,14 @@ class Encoder(dict):
         if piece.isascii() and piece.isprintable():
             parts = ASCII_PIECE.findall(piece.lower())
             if parts == [piece]:
-                return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(piece)])
+                return self._keep(piece, [t.id for t in self.tokenize(piece)])
             return self._short(piece, b"".join([self[p] for p in parts]))
         if piece.isalpha() and max(piece) < "ɐ":  # letters of Latin alphabets, all composed
             low = piece.lower()
             if low != piece:
                 return self._short(piece, self[low])
             part = "".join([self.letters[b] for b in piece.encode()])
-            return self._keep(piece, [t.id for t in self.tokenizer.model.tokenize(part)])
+            return self._keep(piece, [t.id for t in self.tokenize(part)])
         return self._keep(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def _keep(self, piece: str, ids: list[int]) -> bytes:
@@ -119,7 +121,7 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as the library gives them for the whole."""
-        parts = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
+        parts = _SPACE.split(text) if any(c in text for c in _ODD_SPACE) else text.split()
         return b"".join(map(self.__getitem__, parts))
 
     def decode(self, ids: np.ndarray) -> str:

@@ -217,5 +217,6 @@ def stored_documents(spark: SparkSession, path: str) -> DataFrame:
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = shards.select(F.col("shard").alias("s"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     docs = shards.mapInArrow(run, "shard int, doc_id long, place long, n_tokens long, ids_crc32 long")
-    return docs.join(bases, F.col("shard") == F.col("s")).select(
+    # one number per shard of millions of tokens
+    return docs.join(F.broadcast(bases), F.col("shard") == F.col("s")).select(
         "doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
