@@ -8,6 +8,7 @@ space characters x20 and x09-x0D (never part of a multi-byte character).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,16 @@ _INVERSE = pow(_MULT, -1, 1 << 64)
 CHUNK_BYTES = 1 << 20
 
 
+def release() -> None:
+    """Give memory that this worker no longer uses back to the system; at the
+    end of a task, since workers outlive it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and row offsets; a null text counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlens.llm.batches import release
 from fundlens.llm.frames import small_batches
 
 LEAF_CHARS = 65_536
@@ -119,6 +120,12 @@ class Encoder(dict):
             self[piece] = out
         return out
 
+    def rest(self) -> None:
+        """At the end of a task: keep the tokenizer only, not its caches."""
+        self.clear()
+        self.spans.clear()
+        release()
+
     def encode(self, text: str) -> bytes:
         """The ids of a text, as the library gives them for the whole."""
         parts = _SPACE.split(text) if any(c in text for c in _ODD_SPACE) else text.split()
@@ -287,6 +294,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
             got = [coder.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column(got, coder)],
                                              [*batch.schema.names[:-1], "ids"])
+        coder.rest()
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -297,6 +305,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
                 [*batch.columns, pa.array([_packed(p, s) for p, s in zip(
                     parts, batch.column("start").to_pylist(), strict=True)], pa.binary())],
                 [*batch.schema.names, "tokens"])
+        coder.rest()
 
     def document(parts: pa.Table) -> pa.Table:
         parts = parts.sort_by("start")

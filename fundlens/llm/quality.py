@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlens.llm.batches import LOWER, SpanHash, chunks, text_buffer, word_spans
+from fundlens.llm.batches import LOWER, SpanHash, chunks, release, text_buffer, word_spans
 from fundlens.llm.frames import fresh, small_batches
 
 WORD_SLOTS = 1024
@@ -240,6 +240,7 @@ def fit(df: DataFrame, labels: DataFrame, trains: Column | None = None, id_col:
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("label"), pack(page.content_matrix()), pack(page.meta_matrix())],
                 ["id", "label", "content", "meta"])
+        release()
 
     kind = df.schema[id_col].dataType.simpleString()
     found = rows.mapInArrow(run, f"id {kind}, label int, content binary, meta binary") \
@@ -263,5 +264,6 @@ def score(df: DataFrame, model: Model, columns: tuple[str, str, str, str] = COLU
             p = model.score(Page(*(part.column(n) for n in names)))
             yield pa.RecordBatch.from_arrays([*part.columns[:-4], pa.array(p), pa.array(p >= threshold)],
                                              names=schema.names)
+        release()
 
     return rows.mapInArrow(run, schema)

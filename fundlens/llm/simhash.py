@@ -24,7 +24,10 @@ are returned; ``components`` joins the forests.
 
 A null text counts as empty; empty texts all have fingerprint 0 and form one
 group.  A null id is ignored in choosing a component's smallest id (null if
-there is no other).  An empty table gives an empty result.
+there is no other).  Texts are taken whole whatever their length.  Rows repeated
+whole and texts of one fingerprint are one component; of rows with equal ids the
+one with the smallest row hash stays.  An empty table gives an empty result.
+Columns whose names clash with those used inside keep their names and values.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fundlens.llm.batches import LOWER, chunks, text_buffer, word_spans
+from fundlens.llm.batches import LOWER, chunks, release, text_buffer, word_spans
 from fundlens.llm.components import components
 from fundlens.llm.frames import small_batches, stored
 
@@ -49,43 +52,51 @@ MAX_BITS = 2
 SEED = 42
 #: Reference fingerprints.
 PIVOTS = 16
+#: Shingles hashed at once.
+SLICE = 1 << 16
 #: Nodes of a bucket that are compared directly.
 BUCKET = 1024
 
 
-def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """The 64-bit SimHash of every text."""
-    data, offsets = text_buffer(texts)
-    data, n = LOWER[data], len(texts)
-    starts, ends, rows = word_spans(data, offsets)
-    if not len(starts):
-        return np.zeros(n, np.uint64)
-    # the words, joined by single spaces
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words, joined by single spaces, and where each starts."""
     length = ends - starts
     to = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(length + 1, out=to[1:])
-    joined = np.full(to[-1], ord(" "), np.uint8)
+    out = np.full(to[-1], ord(" "), np.uint8)
     at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    joined[at + np.repeat(to[:-1], length)] = data[at + np.repeat(starts, length)]
-    joined = joined.tobytes()
-    # shingle i: from word i to word i + shingle - 1, or to the row's last
-    count = np.bincount(rows, minlength=n)
+    out[at + np.repeat(to[:-1], length)] = LOWER[data[at + np.repeat(starts, length)]]
+    return out.tobytes(), to
+
+
+def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit SimHash of every text.  Shingles are hashed and counted
+    ``SLICE`` at a time, so memory is a few bytes per byte of text."""
+    data, offsets = text_buffer(texts)
+    starts, ends, rows = word_spans(data, offsets)
+    count = np.bincount(rows, minlength=len(texts))
     last_word = np.cumsum(count) - 1
-    word = np.arange(len(starts))
-    final = np.minimum(word + shingle - 1, last_word[rows])
-    whole = (word + shingle - 1 <= last_word[rows]) | (word == last_word[rows] - count[rows] + 1)
-    low, high, rows = to[word[whole]].tolist(), (to[final[whole]] + length[final[whole]]).tolist(), rows[whole]
+    shingles = np.maximum(count - shingle + 1, np.minimum(count, 1))
+    votes = np.zeros((len(texts), 64), np.int64)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(low, high, strict=True)),
-                         np.uint64, len(low))
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    shingles = np.bincount(rows, minlength=n)
-    first = (np.cumsum(shingles) - shingles)[shingles > 0]
-    votes = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-    majority = 2 * votes > shingles[shingles > 0][:, None]
-    out = np.zeros(n, np.uint64)
-    out[shingles > 0] = np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    for low in range(0, len(starts), SLICE):
+        high = min(low + SLICE, len(starts))
+        reach = min(high + shingle - 1, len(starts))
+        joined, to = _joined(data, starts[low:reach], ends[low:reach])
+        # shingle i: from word i to word i + shingle - 1, or to the row's last
+        row, word = rows[low:high], np.arange(low, high)
+        final = np.minimum(word + shingle - 1, last_word[row])
+        whole = (word + shingle - 1 <= last_word[row]) | (word == last_word[row] - count[row] + 1)
+        first, end = to[word[whole] - low], to[final[whole] - low + 1] - 1
+        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(first.tolist(), end.tolist(), strict=True)),
+                             np.uint64, len(first))
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        row = row[whole]
+        head = np.flatnonzero(np.diff(row, prepend=-1))
+        if len(head):
+            votes[row[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int64)
+    majority = 2 * votes > shingles[:, None]
+    return np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def fingerprint_table(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
@@ -101,6 +112,7 @@ def fingerprint_table(df: DataFrame, text_col: str = "text", keep: list[str] | N
         for part in chunks(batches, "_text"):
             fp = pa.array(fingerprints(part.column("_text"), shingle).view(np.int64))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], fp], [*keep, "fp"])
+        release()
 
     return rows.mapInArrow(run, schema)
 

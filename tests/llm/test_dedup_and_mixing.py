@@ -218,3 +218,25 @@ def test_mix_edges(clash_docs, no_docs):
     assert len(plan) == clash_docs.count()
     assert out.count() == sum(len(r.positions) for r in plan)
     assert mixing.plan_mix(no_docs).count() == 0 and mixing.mix(no_docs).count() == 0
+
+
+def test_fingerprints_of_a_long_text_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from fundlens.llm import simhash
+    words = [f"Word{i % 7919}x{i % 13}" for i in range(1_900_000)]
+    text = pa.array([" ".join(words)])
+    assert text.nbytes > 20_000_000
+    tracemalloc.start()
+    got = simhash.fingerprints(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    votes = [0] * 64
+    for i in range(0, 3000):
+        h = simhash.xxhash.xxh64_intdigest(" ".join(words[i:i + 3]).lower(), 42)
+        votes = [v + (h >> b & 1) for b, v in enumerate(votes)]
+    part = simhash.fingerprints(pa.array([" ".join(words[:3002])]))
+    assert int(part[0]) == sum(1 << b for b in range(64) if 2 * votes[b] > 3000) and got.shape == (1,)
