@@ -3,6 +3,8 @@ class balance, schema report (A1-A4, A7-A11, O1-O4, M10)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -19,6 +21,37 @@ def frequency(df: DataFrame, *keys: str | Column, ascending: bool = False) -> Da
     return counts.orderBy(order, *[F.col(k).asc_nulls_first() for k in key_names])
 
 
+def frequencies(df: DataFrame, sets: dict[str, Sequence[str]]) -> DataFrame:
+    """A1-A4: several frequency tables of one scan: ``(profile, key,
+    second_key, count)`` with the keys as text, one profile per named list of
+    one or two columns.
+
+    Grouping sets: each row is expanded once per set in front of one partial
+    and one final hash aggregate; ``grouping_id`` tells the sets apart, so a
+    null key is a group of its own and not a column left out."""
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    width = len(columns)
+    number = {name: sum(1 << (width - 1 - i) for i, c in enumerate(columns) if c not in keys)
+              for name, keys in sets.items()}
+    if len(set(number.values())) < len(sets):
+        raise ValueError("two profiles have the same columns")
+    counts = (df.select(*columns).groupingSets([[F.col(c) for c in keys] for keys in sets.values()],
+                                               *[F.col(c) for c in columns])
+                .agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_set")))
+
+    def pick(values: dict[str, Column]) -> Column:
+        out = F.lit(None).cast("string")
+        for name, value in values.items():
+            out = F.when(F.col("_set") == number[name], value.cast("string")).otherwise(out)
+        return out
+
+    return counts.select(
+        pick({name: F.lit(name) for name in sets}).alias("profile"),
+        pick({name: F.col(keys[0]) for name, keys in sets.items()}).alias("key"),
+        pick({name: F.col(keys[1]) for name, keys in sets.items() if len(keys) > 1}).alias("second_key"),
+        "count")
+
+
 def filtered_frequency(df: DataFrame, condition: Column, *keys: str) -> DataFrame:
     """A4: frequency table of the rows matching ``condition``."""
     return frequency(df.where(condition), *keys)

@@ -140,6 +140,21 @@ def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
     return profile.frequency(_cast(spark, sf), (F.col("final_status") > 1).alias("status_above_1"))
 
 
+def profile_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A1-A4: the frequency tables of the typed campaigns in one scan."""
+    df = _cast(spark, sf).withColumns({"status_above_1": F.col("final_status") > 1,
+                                       "is_false": F.col("country") == "False"})
+    single = ["final_status", "country", "currency", "disable_communication", "backers_count", "state_changed_at"]
+    flagged = "country is False, currency"
+    found = profile.frequencies(df, {c: [c] for c in single} | {
+        "country, currency": ["country", "currency"], "status_above_1": ["status_above_1"],
+        flagged: ["is_false", "currency"]})
+    rest = F.col("profile") != flagged
+    return found.where(rest | (F.col("key") == "true")).select(
+        "profile", F.when(rest, F.col("key")).otherwise(F.col("second_key")).alias("key"),
+        F.when(rest, F.col("second_key")).alias("second_key"), "count")
+
+
 def negative_prep_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Before/after check of U4: rows with negative preparation time."""
     df = _durations(spark, sf).withColumn("hours_before", F.col("hours_prepa"))

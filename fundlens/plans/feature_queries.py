@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fundlens.operators import evaluate as EV
+from fundlens.operators import ranking as RK
 from fundlens.operators import text_features as TF
+from fundlens.operators.words import word_count
 from fundlens.plans.campaign_queries import campaign_prepare
+from fundlens.plans.oracle import VOCABULARY_SIZE
 from fundlens.session import shared_dir
 from fundlens.sources import table
 from fundlens.sources.files import materialize
@@ -45,6 +48,19 @@ def category_index(spark: SparkSession, sf: str) -> DataFrame:
     return TF.category_index(campaign_prepare(spark, sf), CATEGORICAL)
 
 
+def category_index_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The words of the documents as the categories of one column."""
+    docs = spread(table(spark, sf, "documents", ["doc_id", "text"]))
+    counts = word_count(docs, "text").select(F.lit("word").alias("column_name"), F.col("word").alias("value"), "count")
+    return RK.rank_categories(counts)
+
+
+def vocabulary_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The terms in two or more documents, at most ``VOCABULARY_SIZE``, the
+    most frequent, with their occurrences in all documents."""
+    return RK.vocabulary(TF.term_counts(_tokenized(spark, sf), "doc_id", "filtered"), VOCABULARY_SIZE, 2)
+
+
 def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Index pass + mapping pass over the prepared campaigns, as fitting and
     applying the indexers does; the prepared table is written once to the

@@ -371,3 +371,24 @@ SELECT r.reg_param, m.min_df, n_fit, n_validation,
 FROM (VALUES {", ".join(f"(CAST({r} AS DOUBLE))" for r in GRID_REG)}) r(reg_param),
   (VALUES {", ".join(f"(CAST({m} AS DOUBLE))" for m in GRID_MIN_DF)}) m(min_df), fits, vals""",
 })
+
+# --- large rankings, the profile in one scan --------------------------------------
+
+VOCABULARY_SIZE = 5000
+ORACLE.update({
+    "category_index_large": """
+SELECT 'word' AS column_name, value, count, row_number() OVER (ORDER BY count DESC, value) - 1 AS idx
+FROM (SELECT value, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS value FROM documents) w
+  GROUP BY value) c""",
+    "vocabulary_bounded": with_ctes(TOKENS_CTE) + f"""
+SELECT term, CAST(sum(tf) AS BIGINT) AS total, count(*) AS df FROM tc GROUP BY term HAVING count(*) >= 2
+ORDER BY total DESC, term LIMIT {VOCABULARY_SIZE}""",
+    "profile_all": _upto(3, "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS profile, CAST({a} AS VARCHAR) AS key, CAST({b} AS VARCHAR) AS second_key, count(*) AS count "
+        f"FROM cast_ {where} GROUP BY ALL" for name, a, b, where in [
+            ("final_status", "final_status", "NULL", ""), ("country", "country", "NULL", ""),
+            ("currency", "currency", "NULL", ""), ("disable_communication", "disable_communication", "NULL", ""),
+            ("backers_count", "backers_count", "NULL", ""), ("state_changed_at", "state_changed_at", "NULL", ""),
+            ("country, currency", "country", "currency", ""), ("status_above_1", "final_status > 1", "NULL", ""),
+            ("country is False, currency", "currency", "NULL", "WHERE country = 'False'")])),
+})

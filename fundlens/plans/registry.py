@@ -48,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "backers_counts": C.backers_counts,
     "state_changed_counts": C.state_changed_counts,
     "flag_counts": C.flag_counts,
+    "profile_all": C.profile_all,
     "negative_prep_counts": C.negative_prep_counts,
     "false_country_currencies": C.false_country_currencies,
     "describe_numeric": C.describe_numeric,
@@ -64,6 +65,8 @@ QUERIES: dict[str, Query] = {
     "term_counts": FQ.term_counts,
     "tfidf": FQ.tfidf,
     "category_index": FQ.category_index,
+    "category_index_large": FQ.category_index_large,
+    "vocabulary_bounded": FQ.vocabulary_bounded,
     "one_hot": FQ.one_hot,
     # step 5
     "split_counts": FQ.split_counts,
