@@ -161,7 +161,7 @@ def ml_stages(text_col: str = "text", label_col: str = "final_status",
               categorical: Sequence[str] = ("country2", "currency2"),
               numeric: Sequence[str] = ("days_campaign", "hours_prepa", "goal"),
               min_df: float = 1.0, reg_param: float = 0.0, max_iter: int = 20,
-              vocab_size: int = VOCABULARY):
+              vocab_size: int = VOCABULARY, tol: float = TOLERANCE):
     """The reference's nine stages: tokenizer, stop words, counts, IDF, two
     indexers, one-hot, assembler, logistic regression (thresholds 0.7/0.3:
     class 1 when p(1) > 0.3).  ``vocab_size``: terms kept, the most frequent."""
@@ -183,5 +183,5 @@ def ml_stages(text_col: str = "text", label_col: str = "final_status",
     lr = LogisticRegression(elasticNetParam=0.0, fitIntercept=True, featuresCol="features",
                             labelCol=label_col, standardization=True,
                             predictionCol="predictions", rawPredictionCol="raw_predictions",
-                            thresholds=list(THRESHOLDS), tol=TOLERANCE, maxIter=max_iter, regParam=reg_param)
+                            thresholds=list(THRESHOLDS), tol=tol, maxIter=max_iter, regParam=reg_param)
     return [tok, stop, cv, idf, *indexers, ohe, assembler, lr]

@@ -392,3 +392,28 @@ ORDER BY total DESC, term LIMIT {VOCABULARY_SIZE}""",
             ("country, currency", "country", "currency", ""), ("status_above_1", "final_status > 1", "NULL", ""),
             ("country is False, currency", "currency", "NULL", "WHERE country = 'False'")])),
 })
+
+# --- checks of the fitted models -------------------------------------------------
+
+ORACLE.update({
+    "model_stationarity": with_ctes(MODEL_CTE) + f"""
+SELECT 'tfidf' AS block, count(*) AS n_features, true AS stationary FROM (
+  SELECT term FROM terms WHERE bucket >= 1 GROUP BY term HAVING count(*) >= {MODEL_MIN_DF}) v
+UNION ALL SELECT 'n_chars', 1, true
+UNION ALL SELECT 'lang', count(DISTINCT lang) - 1, true FROM lab WHERE bucket >= 1
+UNION ALL SELECT 'source', count(DISTINCT source) - 1, true FROM lab WHERE bucket >= 1
+UNION ALL SELECT 'intercept', 1, true""",
+    "model_confusion": with_ctes(MODEL_CTE) + """
+SELECT quality, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different, CAST(0 AS BIGINT) AS n_apart
+FROM seen GROUP BY quality""",
+    # fixed values: the pipeline's parameters, its vocabulary bound and the grid's minDF
+    "model_parameters": f"""
+SELECT * FROM (VALUES (2, 'CountVectorizerModel', 'minDF', '{GRID_MIN_DF[-1]}'),
+  (2, 'CountVectorizerModel', 'vocabSize', '262144'),
+  (4, 'StringIndexerModel', 'handleInvalid', 'skip'), (5, 'StringIndexerModel', 'handleInvalid', 'skip'),
+  (6, 'OneHotEncoderModel', 'dropLast', 'true'), (6, 'OneHotEncoderModel', 'handleInvalid', 'error'),
+  (7, 'VectorAssembler', 'handleInvalid', 'error'),
+  (8, 'LogisticRegressionModel', 'thresholds', '[0.7,0.3]'), (8, 'LogisticRegressionModel', 'tol', '1.0E-6'),
+  (8, 'LogisticRegressionModel', 'maxIter', '20'), (8, 'LogisticRegressionModel', 'elasticNetParam', '0.0')
+) p(stage, stage_class, parameter, value)""",
+})

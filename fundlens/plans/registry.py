@@ -77,6 +77,9 @@ QUERIES: dict[str, Query] = {
     "train_score": TQ.train_score,
     "grid_search": TQ.grid_search,
     "model_reload": TQ.model_reload,
+    "model_stationarity": TQ.model_stationarity,
+    "model_confusion": TQ.model_confusion,
+    "model_parameters": TQ.model_parameters,
     # step 7
     "stream_replay": SQ.stream_replay,
     "stream_resume": SQ.stream_resume,
