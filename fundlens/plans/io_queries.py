@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from fundlens.functions.udfs import clean_currency_udf, identity_udf
 from fundlens.operators import prepare as P
 from fundlens.operators import words as W
+from fundlens.operators.train import persisted
 from fundlens.operators.votes import vote_tally
 from fundlens.session import shared_dir
 from fundlens.sources import campaigns, table, votes
-from fundlens.sources.files import read_csv, read_lines, write_table
+from fundlens.sources.files import materialize, observed_write, read_csv, read_csv_checked, read_lines, write_table
+from fundlens.sources.tables import spread
 from fundlens.sources.views import VOTE_COLUMNS
 
 
@@ -72,3 +74,38 @@ def udf_clean(spark: SparkSession, sf: str) -> DataFrame:
     df = campaigns(spark, sf).transform(P.cast_campaigns)
     return df.select("project_id", "currency",
                      clean_currency_udf()(F.col("currency")).alias("currency2"))
+
+
+def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as CSV with notes that hold quotes, commas and line
+    breaks, beside broken records of one field (every fiftieth customer's key);
+    read with inferred types, the broken ones told apart."""
+    rows = table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_name"])
+    good = rows.select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("double").alias("c_acctbal"),
+                       F.concat("c_name", F.lit(' says "yes, no"\nand more')).alias("note"))
+    path = write_table(good, shared_dir(spark, "customers-csv"), "csv", mode="overwrite", header=True, escape='"')
+    broken = rows.where("c_custkey % 50 = 0").select(F.col("c_custkey").cast("string").alias(",".join(good.columns)))
+    write_table(broken, path, "csv", mode="append", header=True, quote="\u0000")
+    back = read_csv_checked(spark, path)
+    return back.select(F.col("c_custkey").cast("long").alias("c_custkey"),
+                       F.col("c_nationkey").cast("long").alias("c_nationkey"), "c_acctbal", "note",
+                       F.col("_bad").isNotNull().alias("broken"))
+
+
+def prepare_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The preparation written as Parquet; rows, labels and filled cells
+    are counted by the write itself."""
+    prepared = campaigns(spark, sf).transform(P.prepare)
+    counts = observed_write(prepared, shared_dir(spark, "prepared-observed"), {
+        "n_rows": F.count(F.lit(1)), "n_successful": F.count_if(F.col("final_status") == 1),
+        "currency2_filled": F.count_if(F.col("currency2") == "unknown"),
+        "country2_filled": F.count_if(F.col("country2") == "unknown"),
+        "goal_filled": F.count_if(F.col("goal") == -1)})
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+def word_count_cached(spark: SparkSession, sf: str) -> DataFrame:
+    """The words persisted, counted, and released again."""
+    words = W.words(spread(table(spark, sf, "documents", ["doc_id", "text"]), "doc_id"), "text")
+    with persisted(words) as cached:
+        return materialize(cached.groupBy("word").count(), shared_dir(spark, "word-count"))

@@ -417,3 +417,25 @@ SELECT * FROM (VALUES (2, 'CountVectorizerModel', 'minDF', '{GRID_MIN_DF[-1]}'),
   (8, 'LogisticRegressionModel', 'maxIter', '20'), (8, 'LogisticRegressionModel', 'elasticNetParam', '0.0')
 ) p(stage, stage_class, parameter, value)""",
 })
+
+# --- feeds, consumers, observed writes, bad records, persisted words --------------
+
+#: Unix second of the feed's first message.
+FEED_START = 1_700_000_000
+ORACLE.update({
+    "stream_feed": f"""
+SELECT event_id, event_type,
+  'message ecrit le ' || strftime(make_timestamp(({FEED_START} + event_id) * 1000000), '%H:%M:%S') || ':000000000' AS value
+FROM events""",
+    "stream_consumers": f"SELECT 'first' AS consumer, * FROM ({EVENT_SUMMARY_SQL}) a\nUNION ALL\n"
+                        f"SELECT 'second', * FROM ({EVENT_SUMMARY_SQL}) b",
+    "csv_inferred": """
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+  CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_name || ' says "yes, no"' || chr(10) || 'and more' AS note, false AS broken
+FROM customer
+UNION ALL SELECT CAST(c_custkey AS BIGINT), NULL, NULL, NULL, true FROM customer WHERE c_custkey % 50 = 0""",
+    "prepare_observed": _prep("""SELECT count(*) AS n_rows, count_if(final_status = 1) AS n_successful,
+  count_if(currency2 = 'unknown') AS currency2_filled, count_if(country2 = 'unknown') AS country2_filled,
+  count_if(goal = -1) AS goal_filled FROM prep"""),
+    "word_count_cached": ORACLE["word_count"],
+})

@@ -84,8 +84,13 @@ QUERIES: dict[str, Query] = {
     "stream_replay": SQ.stream_replay,
     "stream_resume": SQ.stream_resume,
     "stream_heartbeat": SQ.stream_heartbeat,
+    "stream_feed": SQ.stream_feed,
+    "stream_consumers": SQ.stream_consumers,
     # step 8
     "csv_roundtrip": IO.csv_roundtrip,
+    "csv_inferred": IO.csv_inferred,
+    "prepare_observed": IO.prepare_observed,
+    "word_count_cached": IO.word_count_cached,
     "text_roundtrip": IO.text_roundtrip,
     "single_file_export": IO.single_file_export,
     "campaign_csv_prepare": IO.campaign_csv_prepare,

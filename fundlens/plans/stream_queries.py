@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fundlens.session import shared_dir
 from fundlens.sources.tables import table, table_path
+from fundlens.plans.oracle import FEED_START
 from fundlens.streaming import append_to_topic, drain, heartbeat_messages, read_topic
+from fundlens.streaming.topics import append_once, feed, forget_last_commit
 
 
 def _events_stream(spark, sf):
@@ -69,3 +71,40 @@ def stream_heartbeat(spark: SparkSession, sf: str) -> DataFrame:
     stream = heartbeat_messages(_events_stream(spark, sf), "ts").select("event_id", "value")
     sink = drain(stream, os.path.join(base, "sink"), os.path.join(base, "checkpoint"))
     return spark.read.parquet(sink)
+
+
+def stream_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A message a second from a fixed start, read back as a stream
+    and joined to the events of the same number."""
+    base = shared_dir(spark, "stream-feed")
+    topic, sink, ckpt = (os.path.join(base, p) for p in ("topic", "sink", "checkpoint"))
+    events = table(spark, sf, "events", ["event_id", "event_type"])
+    messages = (events.agg(F.max("event_id")).head()[0] or 0) + 1
+    feed(spark, topic, os.path.join(base, "producer"), messages, FEED_START * 1000)
+    schema = spark.read.parquet(topic).schema
+    drain(read_topic(spark, topic, schema).select("number", "value"), sink, ckpt)
+    return spark.read.parquet(sink).join(events, F.col("number") == F.col("event_id")) \
+        .select("event_id", "event_type", "value")
+
+
+def stream_consumers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two consumers of one topic with offsets of their own.  The
+    first reads each append as it comes, and is taken back before its last
+    commit, so that its last batch runs again; the second starts late."""
+    base = shared_dir(spark, "stream-consumers")
+    topic = os.path.join(base, "topic")
+    events = table(spark, sf, "events")
+    late = F.col("event_id") % 3 == 0
+    path = lambda who, what: os.path.join(base, f"{who}-{what}")
+    append_to_topic(events.where(~late).repartition(5), topic)
+    stream = read_topic(spark, topic, events.schema, max_files_per_trigger=2)
+    append_once(stream, path("first", "sink"), path("first", "offset"))
+    append_to_topic(events.where(late), topic)
+    append_once(stream, path("first", "sink"), path("first", "offset"))
+    append_once(stream, path("second", "sink"), path("second", "offset"))
+    if forget_last_commit(spark, path("first", "offset")) is None:
+        raise RuntimeError("the first consumer has committed nothing")
+    append_once(stream, path("first", "sink"), path("first", "offset"))
+    found = [_summary(spark.read.parquet(path(who, "sink"))).withColumn("consumer", F.lit(who))
+             for who in ("first", "second")]
+    return found[0].unionByName(found[1])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -22,6 +22,28 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, bad: str = "_bad", multi_line: bool = True,
+                     **options) -> DataFrame:
+    """S1 with a channel for bad records: types inferred, and a column ``bad``
+    that holds the whole text of a record whose number of fields is not the
+    header's (its first fields are kept, the others null) and null for a good
+    one.  Quoted fields may span lines (with ``multi_line``, for which a file is
+    read by one task).  Inference is a pass of its own."""
+    common = {"header": True, "escape": '"', "multiLine": multi_line, **options}
+    schema = spark.read.options(**common).option("inferSchema", True).csv(path).schema
+    return (spark.read.options(**common).schema(StructType([*schema.fields, StructField(bad, StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).csv(path))
+
+
+def observed_write(df: DataFrame, path: str, metrics: dict, fmt: str = "parquet", mode: str = "overwrite",
+                   **options) -> dict:
+    """S5 with A7/P6: write a table and return ``metrics`` (name -> aggregate
+    Column) of the rows written, counted by the write job itself."""
+    seen = Observation()
+    write_table(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), path, fmt, mode, **options)
+    return seen.get
+
+
 def read_lines(spark: SparkSession, path: str, line_sep: str | None = "\n") -> DataFrame:
     """A text file as one ``value`` row per line."""
     reader = spark.read

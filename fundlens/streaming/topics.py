@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+# Fixed value: the text in front of a message's time.
 MESSAGE_PREFIX = "message ecrit le "
 # Files of a micro-batch of a file topic.
 FILES_PER_BATCH = 1000
@@ -111,6 +112,57 @@ def rate_heartbeat(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
     return heartbeat_messages(src).select("timestamp", "value")
 
 
+def feed(spark: SparkSession, path: str, checkpoint: str, messages: int, start_ms: int,
+         interval_ms: int = 1000, rows_per_batch: int = 100_000) -> str:
+    """S11 + R3 with a clock of its own: a producer that appends the messages
+    number 0 to ``messages`` - 1 to a file topic, the n-th stamped ``n``
+    intervals after ``start_ms`` (Unix milliseconds), as ``number``,
+    ``timestamp`` and ``value``.  The ``rate-micro-batch`` source gives a batch
+    of a fixed number of rows a run, so a rerun on the same checkpoint goes on
+    where the last one ended and the messages do not depend on the hour."""
+    size = min(rows_per_batch, max(messages, 1))
+    source = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", size)
+              .option("startTimestamp", start_ms).option("advanceMillisPerBatch", size * interval_ms).load())
+    at = F.timestamp_millis(F.lit(start_ms) + F.col("value") * interval_ms)
+    rows = source.where(F.col("value") < messages).select(F.col("value").alias("number"), at.alias("timestamp"))
+    for _ in range(-(-messages // size)):
+        drain(heartbeat_messages(rows), path, checkpoint)
+    return path
+
+
+def append_once(stream: DataFrame, path: str, checkpoint: str) -> str:
+    """S10, idempotent: each micro-batch writes the folder ``batch=<id>`` of
+    ``path`` whole.  A batch that runs again after a failure (its id and its
+    messages are those of the checkpoint's log) replaces what it wrote, so
+    nothing is there twice."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return path
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Take a consumer back to just before the commit of its last micro-batch,
+    as after a crash in between; the batch's number, which runs again."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    numbers = [int(f.getPath().getName()) for f in files.listStatus(folder) if f.getPath().getName().isdigit()]
+    if not numbers:
+        return None
+    last = jvm.org.apache.hadoop.fs.Path(folder, str(max(numbers)))
+    files.delete(last, False)
+    files.delete(jvm.org.apache.hadoop.fs.Path(folder, f".{max(numbers)}.crc"), False)
+    return max(numbers)
+
+
 def emit_heartbeats(spark: SparkSession, path: str, checkpoint: str, seconds: float,
                     rows_per_second: int = 1) -> str:
     """S11 + R3: a producer that appends one message per second to a file
