@@ -271,9 +271,12 @@ def id_bytes(path: str) -> int:
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None,
-           leaf_chars: int = LEAF_CHARS, packed: bool = False, tail: list[int] | None = None) -> DataFrame:
+           leaf_chars: int = LEAF_CHARS, packed: bool = False, tail: list[int] | None = None,
+           hold: bool = False) -> DataFrame:
     """Columns ``keep`` of ``df`` with the texts' ``ids`` and, after each,
-    the ids ``tail``: an array, or ``packed`` into little-endian bytes."""
+    the ids ``tail``: an array, or ``packed`` into little-endian bytes.  With
+    ``hold`` a worker keeps its pieces (at most ``CACHE``) for its next task,
+    which saves time; otherwise it gives their memory back."""
     small_batches(df.sparkSession)
     keep = [] if keep is None else keep
     text = F.coalesce(df[text_col], F.lit(""))
@@ -294,7 +297,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
             got = [coder.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], column(got, coder)],
                                              [*batch.schema.names[:-1], "ids"])
-        coder.rest()
+        if not hold:
+            coder.rest()
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)

@@ -172,7 +172,7 @@ def _build(bits: int):
 def write_shards(df: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> str:
     """Encode ``df`` and write its shards to the folder ``out``."""
-    coded = bpe.encode(df, tokenizer, text_col, [id_col], packed=True, tail=[end_id]).toDF("id", "ids")
+    coded = bpe.encode(df, tokenizer, text_col, [id_col], packed=True, tail=[end_id], hold=True).toDF("id", "ids")
     rows = stored(coded.withColumn("id", F.col("id").cast("long")), "encoded")
     width = bpe.id_bytes(tokenizer)
     total = rows.agg(F.sum(F.length("ids"))).head()[0] or 0
