@@ -2,18 +2,25 @@
 
 Documents are encoded (``bpe``), an end id is appended, and the ids are written
 in ascending id order of the documents.  A shard is one Parquet file with one
-row, written and read by Spark: per bit of an id, from the highest, a
-compressed bit plane of the shard's tokens, stably sorted by the bits above;
-the number of zeros of each plane; the documents' ids and where they start.
+row, written and read by Spark: per bit of an id, from the highest, a bit plane
+of the shard's tokens, stably sorted by the bits above; the number of zeros of
+each plane; the documents' ids and where they start.  A plane is stored as
+blocks of 65,536 bits, compressed one by one, and a directory of the set bits
+before every 1,024th place.
 
-``WaveletMatrix`` answers on a shard, from its planes and running bit counts:
+``WaveletMatrix`` answers on a shard, from its planes and their directories:
 ``access`` (the token at a place), ``rank`` (occurrences of a token before a
 place), ``count`` and ``select`` (the place of an occurrence), each in one step
-per bit, and ``tokens`` (all of them).
-
-Shards are ranges of the document id, so no task holds more than its shard.  Documents with the same id lie next to each
-other in the order of their ids' bytes; null ids come last.  A null text counts
-as empty and has the end id only.  An empty table gives no shard.
+per bit, and ``tokens`` (all of them).  A step unpacks only the block it reads,
+so an answer needs at most two blocks a plane.
+
+Shards are ranges of the document id, a hash of the document's tokens and the
+row's place in the encoded table, so a shard holds about ``shard_tokens`` however
+often an id or a whole row repeats; one very long document is never split.
+Documents with the same id lie next to each other in the order of that hash; null
+ids come last.  A null text counts as empty and has the end id only.  An empty
+table gives no shard.  Only the id and text columns are read, so other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -35,16 +42,72 @@ from fundlens.llm.frames import stored
 END_ID = 2
 #: Tokens of a shard, about.
 SHARD_TOKENS = 1 << 22
+#: Bytes of a compressed block, and of a step of the rank directory.
+BLOCK = 8192
+STEP = 128
+
+
+class Plane:
+    """A bit plane in compressed blocks, with its rank directory."""
+
+    def __init__(self, blocks: list[bytes], ranks: np.ndarray):
+        """``ranks``: the set bits before every ``STEP`` bytes."""
+        self.blocks, self.ranks = blocks, ranks
+        self._open: dict[int, np.ndarray] = {}
+
+    @classmethod
+    def of(cls, ones: np.ndarray) -> Plane:
+        packed = np.packbits(ones, bitorder="little")
+        counts = np.bitwise_count(packed)
+        sums = np.add.reduceat(counts, np.arange(0, len(counts), STEP), dtype=np.int64) if len(counts) else []
+        ranks = np.zeros(len(sums) + 1, np.int64)
+        np.cumsum(sums, out=ranks[1:])
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return cls([pack(packed[i:i + BLOCK]) for i in range(0, len(packed), BLOCK)], ranks)
+
+    def bytes_at(self, step: int) -> np.ndarray:
+        """The bytes of one step of the directory."""
+        block, place = divmod(step * STEP, BLOCK)
+        if block not in self._open:
+            self._open[block] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.blocks[block]), np.uint8)
+        return self._open[block][place:place + STEP]
+
+    def bit(self, i: int) -> int:
+        step, place = divmod(i, 8 * STEP)
+        return int(self.bytes_at(step)[place // 8]) >> (place % 8) & 1
+
+    def ones(self, i: int) -> int:
+        """Set bits before place ``i``."""
+        step, place = divmod(i, 8 * STEP)
+        total = int(self.ranks[step])
+        if place:
+            part = self.bytes_at(step)
+            total += int(np.bitwise_count(part[:place // 8]).sum())
+            if place % 8:
+                total += (int(part[place // 8]) & (1 << place % 8) - 1).bit_count()
+        return total
+
+    def find(self, j: int, one: int) -> int:
+        """The place of the j-th set (or clear) bit."""
+        before = self.ranks if one else np.arange(len(self.ranks)) * 8 * STEP - self.ranks
+        # the directory's last entry is the end, not a step
+        step = int(np.searchsorted(before[:-1], j, "right")) - 1
+        bits = np.unpackbits(self.bytes_at(step), bitorder="little")
+        return step * 8 * STEP + int(np.flatnonzero(bits == one)[j - int(before[step])])
+
+    def whole(self, n: int) -> np.ndarray:
+        unpack = zstandard.ZstdDecompressor().decompress
+        packed = np.frombuffer(b"".join(map(unpack, self.blocks)), np.uint8)
+        return np.unpackbits(packed, count=n, bitorder="little").view(bool)
 
 
 class WaveletMatrix:
     """Rank, select and access over a sequence of integers below 2**bits."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int):
-        """``planes``: the bits packed into bytes, highest first."""
+    def __init__(self, planes: list[Plane], zeros: list[int], n: int):
+        """``planes``: the highest bit's first."""
         self.planes, self.zeros, self.n = planes, zeros, n
         self.bits = len(planes)
-        self._counts: list[np.ndarray | None] = [None] * self.bits
 
     @classmethod
     def build(cls, tokens: np.ndarray, bits: int = 16) -> WaveletMatrix:
@@ -52,41 +115,27 @@ class WaveletMatrix:
         row = tokens
         for k in range(bits):
             one = (row >> (bits - 1 - k)) & 1 != 0
-            planes.append(np.packbits(one, bitorder="little"))
+            planes.append(Plane.of(one))
             low = row[~one]
             zeros.append(len(low))
             row = np.concatenate([low, row[one]])
         return cls(planes, zeros, len(tokens))
 
-    def _bits(self, k: int) -> np.ndarray:
-        return np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
-
-    def _ones(self, k: int, i: int) -> int:
-        """Set bits of plane ``k`` before place ``i``."""
-        if self._counts[k] is None:
-            total = np.zeros(len(self.planes[k]) + 1, np.int64)
-            np.cumsum(np.bitwise_count(self.planes[k]), out=total[1:])
-            self._counts[k] = total
-        byte, rest = divmod(i, 8)
-        part = int(self.planes[k][byte]) & ((1 << rest) - 1) if rest else 0
-        return int(self._counts[k][byte]) + part.bit_count()
-
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
         token = 0
-        for k in range(self.bits):
-            ones = self._ones(k, i)
-            bit = self.planes[k][i // 8] >> (i % 8) & 1
-            token = token << 1 | int(bit)
+        for k, plane in enumerate(self.planes):
+            ones, bit = plane.ones(i), plane.bit(i)
+            token = token << 1 | bit
             i = self.zeros[k] + ones if bit else i - ones
         return token
 
     def _range(self, token: int, i: int) -> tuple[int, int]:
         """The last plane's places of the token's occurrences before ``i``."""
         low, high = 0, i
-        for k in range(self.bits):
-            a, b = self._ones(k, low), self._ones(k, high)
+        for k, plane in enumerate(self.planes):
+            a, b = plane.ones(low), plane.ones(high)
             if token >> (self.bits - 1 - k) & 1:
                 low, high = self.zeros[k] + a, self.zeros[k] + b
             else:
@@ -110,29 +159,15 @@ class WaveletMatrix:
         i = self._range(token, self.n)[0] + j
         for k in range(self.bits - 1, -1, -1):
             one = token >> (self.bits - 1 - k) & 1
-            i = self._find(k, i - self.zeros[k] if one else i, one)
+            i = self.planes[k].find(i - self.zeros[k] if one else i, one)
         return i
 
-    def _find(self, k: int, j: int, one: int) -> int:
-        """The place of the j-th set (or clear) bit of plane ``k``."""
-        self._ones(k, 0)
-        total = self._counts[k]
-        at = np.arange(len(total)) * 8 - total if not one else total
-        byte = int(np.searchsorted(at, j, "right")) - 1
-        left = j - int(at[byte])
-        for bit in range(8):
-            if int(self.planes[k][byte]) >> bit & 1 == one:
-                if not left:
-                    return byte * 8 + bit
-                left -= 1
-        raise AssertionError
-
     def tokens(self) -> np.ndarray:
         """The whole sequence, by undoing the planes from the last."""
         dtype = np.uint16 if self.bits <= 16 else np.uint32
         row = np.zeros(self.n, dtype)
         for k in range(self.bits - 1, -1, -1):
-            one = self._bits(k)
+            one = self.planes[k].whole(self.n)
             above = np.empty_like(row)
             above[~one] = row[:self.zeros[k]]
             above[one] = row[self.zeros[k]:] | dtype(1 << (self.bits - 1 - k))
@@ -140,7 +175,7 @@ class WaveletMatrix:
         return row
 
 
-SHARD = ("shard int, n long, zeros array<long>, planes array<binary>, "
+SHARD = ("shard int, n long, zeros array<long>, planes array<array<binary>>, ranks array<binary>, "
          "doc_ids array<long>, starts array<long>")
 
 
@@ -151,11 +186,11 @@ def _build(bits: int):
         tokens = np.frombuffer(b"".join(parts), f"<u{bits // 8}")
         lengths = np.array([len(p) for p in parts]) // (bits // 8)
         matrix = WaveletMatrix.build(tokens, bits)
-        pack = zstandard.ZstdCompressor(level=1).compress
         return pa.RecordBatch.from_pydict({
             "shard": pa.array([shard], pa.int32()), "n": pa.array([len(tokens)], pa.int64()),
             "zeros": pa.array([matrix.zeros], pa.list_(pa.int64())),
-            "planes": pa.array([[pack(p.tobytes()) for p in matrix.planes]], pa.list_(pa.binary())),
+            "planes": pa.array([[p.blocks for p in matrix.planes]], pa.list_(pa.list_(pa.binary()))),
+            "ranks": pa.array([[p.ranks.tobytes() for p in matrix.planes]], pa.list_(pa.binary())),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())),
             "starts": pa.array([np.cumsum(lengths) - lengths], pa.list_(pa.int64()))})
 
@@ -177,8 +212,10 @@ def write_shards(df: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id"
     width = bpe.id_bytes(tokenizer)
     total = rows.agg(F.sum(F.length("ids"))).head()[0] or 0
     shards = max(1, -(-total // (width * shard_tokens)))
-    (rows.repartitionByRange(shards, F.col("id").asc_nulls_last())
-     .sortWithinPartitions(F.col("id").asc_nulls_last(), "ids")
+    # the row's number splits rows that are equal; it follows from the stored files
+    order = [F.col("id").asc_nulls_last(), F.col("hash"), F.col("number")]
+    (rows.withColumns({"hash": F.xxhash64("ids"), "number": F.monotonically_increasing_id()})
+     .repartitionByRange(shards, *order).sortWithinPartitions(*order).select("id", "ids")
      .mapInArrow(_build(8 * width), SHARD).write.parquet(out))
     return out
 
@@ -189,8 +226,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 def load(row) -> tuple[WaveletMatrix, list, list]:
     """The matrix of a row of ``read_shards``, its documents' ids and starts."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    planes = [np.frombuffer(unpack(p), np.uint8) for p in row["planes"]]
+    planes = [Plane(list(p), np.frombuffer(r, np.int64)) for p, r in zip(row["planes"], row["ranks"], strict=True)]
     return WaveletMatrix(planes, list(row["zeros"]), row["n"]), row["doc_ids"], row["starts"]
 
 

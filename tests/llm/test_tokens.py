@@ -101,6 +101,42 @@ def test_shards_round_trip(spark, edge_docs, no_docs, tokenizer):
     assert wavelet.stored_documents(spark, nulls).count() == edge_docs.count()
 
 
+def test_shards_answer_from_their_files(spark, tokenizer):
+    row = np.random.default_rng(5).zipf(1.3, 300_000) % 49_000
+    whole = wavelet.WaveletMatrix.build(row.astype(np.uint16))
+    stored = {"planes": [p.blocks for p in whole.planes], "ranks": [p.ranks.tobytes() for p in whole.planes],
+              "zeros": whole.zeros, "n": whole.n, "doc_ids": [1], "starts": [0]}
+    matrix = wavelet.load(stored)[0]
+    assert matrix.access(200_000) == row[200_000]
+    assert all(len(p.blocks) == 5 and len(p._open) == 1 for p in matrix.planes)
+    for token in (1, 2, 77, 48_999):
+        places = np.flatnonzero(row == token)
+        assert matrix.count(token) == len(places)
+        assert [matrix.select(token, j) for j in range(0, len(places), 997)] == places[::997].tolist()
+        assert matrix.rank(token, 123_457) == (row[:123_457] == token).sum()
+
+
+def test_shards_split_an_id_that_repeats(spark, tokenizer, clash_docs):
+    texts = [f"some words {i} and more of them" * 5 for i in range(400)]
+    rows = [(7 if i % 3 == 0 else i, texts[0] if i % 2 else texts[i]) for i in range(400)] + [(None, "x y")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = wavelet.write_shards(docs, tokenizer, shared_dir(spark, "t"), shard_tokens=1000)
+    sizes = [r.n for r in wavelet.read_shards(spark, out).collect()]
+    assert len(sizes) > 10 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    whole = library(tokenizer)
+    coded = {t: whole.encode(t, add_special_tokens=False).ids + [2] for t in {t for _, t in rows}}
+    got = wavelet.stored_documents(spark, out).collect()
+    crc = lambda ids: zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter(
+        (i, len(coded[t]), crc(coded[t])) for i, t in rows)
+    got.sort(key=lambda r: r.start)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is None, i or 0))
+    clashing = wavelet.write_shards(clash_docs, tokenizer, shared_dir(spark, "t"))
+    assert wavelet.stored_documents(spark, clashing).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
 def brute_base(texts, train):
     token = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None]
     counts = Counter(w for t in train for w in token(t))
