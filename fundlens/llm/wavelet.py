@@ -114,11 +114,12 @@ class WaveletMatrix:
         planes, zeros = [], []
         row = tokens
         for k in range(bits):
-            one = (row >> (bits - 1 - k)) & 1 != 0
+            one = (row & row.dtype.type(1 << (bits - 1 - k))).astype(bool)
             planes.append(Plane.of(one))
-            low = row[~one]
+            # compress and index lists are several times faster here than masks
+            low = row.compress(~one)
             zeros.append(len(low))
-            row = np.concatenate([low, row[one]])
+            row = np.concatenate([low, row.compress(one)])
         return cls(planes, zeros, len(tokens))
 
     def access(self, i: int) -> int:
@@ -168,9 +169,10 @@ class WaveletMatrix:
         row = np.zeros(self.n, dtype)
         for k in range(self.bits - 1, -1, -1):
             one = self.planes[k].whole(self.n)
+            row[self.zeros[k]:] |= dtype(1 << (self.bits - 1 - k))
             above = np.empty_like(row)
-            above[~one] = row[:self.zeros[k]]
-            above[one] = row[self.zeros[k]:] | dtype(1 << (self.bits - 1 - k))
+            above[np.flatnonzero(~one)] = row[:self.zeros[k]]
+            above[np.flatnonzero(one)] = row[self.zeros[k]:]
             row = above
         return row
 
@@ -242,6 +244,7 @@ def stored_documents(spark: SparkSession, path: str) -> DataFrame:
                 tokens = memoryview(matrix.tokens().astype("<u4").view(np.uint8))
                 ends = [*starts[1:], matrix.n]
                 crc = [zlib.crc32(tokens[4 * a:4 * b]) for a, b in zip(starts, ends, strict=True)]
+                del matrix, tokens
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([row["shard"]] * len(ids), pa.int32()), "doc_id": pa.array(ids, pa.int64()),
                     "place": pa.array(starts, pa.int64()),
