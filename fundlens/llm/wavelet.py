@@ -45,6 +45,8 @@ SHARD_TOKENS = 1 << 22
 #: Bytes of a compressed block, and of a step of the rank directory.
 BLOCK = 8192
 STEP = 128
+#: Tokens handled at once while a plane is split or merged.
+CUT = 1 << 15
 
 
 class Plane:
@@ -101,6 +103,18 @@ class Plane:
         return np.unpackbits(packed, count=n, bitorder="little").view(bool)
 
 
+def _cuts(one: np.ndarray, zeros: int) -> Iterator[tuple[slice, np.ndarray, slice, slice]]:
+    """A plane in parts that fit a processor's cache: each part, the places of
+    its set bits, and where its set and its clear bits go in the next row."""
+    low, high = 0, zeros
+    for start in range(0, len(one), CUT):
+        part = slice(start, min(start + CUT, len(one)))
+        places = np.flatnonzero(one[part])
+        ones, clear = len(places), part.stop - start - len(places)
+        yield part, places, slice(high, high + ones), slice(low, low + clear)
+        low, high = low + clear, high + ones
+
+
 class WaveletMatrix:
     """Rank, select and access over a sequence of integers below 2**bits."""
 
@@ -116,10 +130,12 @@ class WaveletMatrix:
         for k in range(bits):
             one = (row & row.dtype.type(1 << (bits - 1 - k))).astype(bool)
             planes.append(Plane.of(one))
-            # compress and index lists are several times faster here than masks
-            low = row.compress(~one)
-            zeros.append(len(low))
-            row = np.concatenate([low, row.compress(one)])
+            zeros.append(len(row) - int(np.count_nonzero(one)))
+            below = np.empty_like(row)
+            for part, places, high, low in _cuts(one, zeros[k]):
+                below[high] = row[part][places]
+                below[low] = row[part].compress(~one[part])
+            row = below
         return cls(planes, zeros, len(tokens))
 
     def access(self, i: int) -> int:
@@ -171,8 +187,9 @@ class WaveletMatrix:
             one = self.planes[k].whole(self.n)
             row[self.zeros[k]:] |= dtype(1 << (self.bits - 1 - k))
             above = np.empty_like(row)
-            above[np.flatnonzero(~one)] = row[:self.zeros[k]]
-            above[np.flatnonzero(one)] = row[self.zeros[k]:]
+            for part, places, high, low in _cuts(one, self.zeros[k]):
+                above[part][places] = row[high]
+                above[part][np.flatnonzero(~one[part])] = row[low]
             row = above
         return row
 
@@ -209,7 +226,7 @@ def _build(bits: int):
 def write_shards(df: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> str:
     """Encode ``df`` and write its shards to the folder ``out``."""
-    coded = bpe.encode(df, tokenizer, text_col, [id_col], packed=True, tail=[end_id], hold=True).toDF("id", "ids")
+    coded = bpe.encode(df, tokenizer, text_col, [id_col], packed=True, tail=[end_id]).toDF("id", "ids")
     rows = stored(coded.withColumn("id", F.col("id").cast("long")), "encoded")
     width = bpe.id_bytes(tokenizer)
     total = rows.agg(F.sum(F.length("ids"))).head()[0] or 0
