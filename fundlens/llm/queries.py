@@ -37,9 +37,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with crc32(doc_id as text) mod 3 = 1 are held out of training."""
     docs = documents(spark, sf_dir)
-    texts, labels = toxicity.training_rows(
-        docs, table(spark, sf_dir, "labels"), frames.remainder(F.col("id"), 3) != 1)
-    net, calibration = toxicity.train(texts, labels)
+    net, calibration = toxicity.fit(docs, table(spark, sf_dir, "labels"), frames.remainder(F.col("id"), 3) != 1)
     rows = docs.select("doc_id", (frames.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
     return toxicity.score(rows, net, calibration).select("doc_id", "held_out", "score", "predicted")
 

@@ -9,15 +9,23 @@ the window's logit.  Windows of ``WINDOW`` words start every ``STRIDE`` words,
 so every text is covered whole by overlapping windows.
 
 Labels belong to documents, not to windows: training (numpy, on the driver, on
-a bounded sample of labelled rows) takes from a toxic document the window that
-looks most toxic, first by its 4-grams' surplus in toxic documents, then by the network
-itself, and from a clean document its most toxic looking window and another.  A
-document's score is the calibrated largest logit of its windows.  Scoring runs
-per Arrow batch in tasks; the network is shipped with them.
+a bounded sample of labelled documents) takes from a toxic document the window
+that looks most toxic, first by its 4-grams' surplus in toxic documents, then by
+the network itself, and from a clean document its most toxic looking window and
+another.  A document's score is the calibrated largest logit of its windows.
+Scoring runs per Arrow batch in tasks; the network is shipped with them.
+
+``fit`` does this for texts of any length: the 4-grams' surplus is counted over
+whole texts in tasks, and a text of more than ``KEPT`` windows sends the
+``KEPT - SPREAD`` that look most toxic by it and ``SPREAD`` drawn by place.  The
+calibration reads the logits of whole texts that the network has not learned from.
 
 A null text counts as empty; a text without words is one window without steps,
 whose pooled state is zero.  Without labelled rows the score is 0.5.  Repeated
-rows score alike; an empty table gives an empty result.
+rows score alike; an id with several texts is sampled once, by the text of least
+hash.  Windows that look equally toxic are taken in text order.  An empty table
+gives an empty result.  Clashing column names are kept; ``score`` and
+``predicted`` are appended last.
 """
 
 from __future__ import annotations
@@ -31,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.llm.batches import CHUNK_BYTES, LOWER, SpanHash, chunks, mix, text_buffer, word_spans
-from fundlens.llm.frames import fresh, small_batches
+from fundlens.llm.frames import fresh, small_batches, stored
 
 WINDOW = 32
 STRIDE = 24
@@ -40,10 +48,13 @@ GRAM_SLOTS = 1 << 15
 WIDTH = 8     # of an embedding
 STATES = 12   # of a direction
 ATTENTION = 8
-#: Labelled rows used to fit, at most, of each label, and their longest text.
+#: Labelled documents used to fit, at most, of each label.
 POSITIVES = 2000
 NEGATIVES = 3000
-SAMPLE_CHARS = 6000
+#: Windows that a sampled text sends to the driver, at most, and how many of
+#: them are spread over it when it has more.
+KEPT = 24
+SPREAD = 8
 ROUNDS = 4
 #: Training steps a round, and windows a step, half of them of toxic documents.
 STEPS = 90
@@ -61,6 +72,7 @@ class Words:
         data = LOWER[data]
         starts, ends, self.rows = word_spans(data, offsets)
         self.n = len(texts)
+        self.data, self.spans = data, (starts, ends)
         self.word = (SpanHash(data)(starts, ends) % np.uint64(WORD_SLOTS)).astype(np.int32)
         # the 4-gram that ends at each byte of a word, with separators before
         # the word
@@ -99,6 +111,14 @@ class Words:
         out.n = len(texts)
         return out
 
+    def texts(self, windows: np.ndarray) -> list[str]:
+        """The texts of windows, from their first word to their last (of words
+        that were not put together by ``of``)."""
+        starts, ends = self.spans
+        first, size = self.window_start[windows], self.window_size[windows]
+        return [bytes(self.data[starts[a]:ends[a + n - 1]]).decode() if n else ""
+                for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+
     def steps(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word places (windows x WINDOW) and which of them exist."""
         step = np.arange(WINDOW)
@@ -273,19 +293,28 @@ def document_logits(net: dict, texts: pa.Array) -> np.ndarray:
     return best
 
 
-def _gram_odds(words: Words, labels: np.ndarray) -> np.ndarray:
-    """Per window: the largest surplus of a 4-gram in toxic documents, in
-    standard deviations of the number of documents that hold it; documents
-    with label nan do not count."""
-    row = np.repeat(words.rows, np.diff(np.append(words.first_gram, len(words.gram))))
-    known = ~np.isnan(labels)
-    row, seen = row[known[row]], words.gram[known[row]]
-    pair = np.unique(row.astype(np.int64) * GRAM_SLOTS + seen)
-    holder, gram = pair // GRAM_SLOTS, pair % GRAM_SLOTS
-    toxic = np.bincount(gram, labels[holder], GRAM_SLOTS)
-    clean = np.bincount(gram, 1 - labels[holder], GRAM_SLOTS)
-    share, n = (np.nansum(labels) + 1) / (known.sum() + 2), toxic + clean
-    odds = (toxic - n * share) / np.sqrt(np.maximum(n, 1) * share * (1 - share))
+def _gram_counts(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Toxic and clean documents that hold each 4-gram; documents with label
+    nan do not count."""
+    counts = np.zeros((2, GRAM_SLOTS))
+    starts = np.append(words.first_gram, len(words.gram))[np.searchsorted(words.rows, np.arange(words.n + 1))]
+    for label, start, end in zip(labels, starts, starts[1:], strict=False):
+        if not np.isnan(label):
+            seen = np.zeros(GRAM_SLOTS, bool)
+            seen[words.gram[start:end]] = True
+            counts[int(label)] += seen
+    return counts[1], counts[0]
+
+
+def _surplus(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
+    """Per 4-gram: toxic documents above their ``share``, in standard
+    deviations of the number of documents that hold it."""
+    n = toxic + clean
+    return (toxic - n * share) / np.sqrt(np.maximum(n, 1) * share * (1 - share))
+
+
+def _window_odds(words: Words, odds: np.ndarray) -> np.ndarray:
+    """Per window: the largest surplus of its 4-grams."""
     out = np.zeros(len(words.window_row))
     if len(words.word):
         of_word = np.maximum.reduceat(odds[words.gram], words.first_gram)
@@ -295,33 +324,52 @@ def _gram_odds(words: Words, labels: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUNDS,
-          steps: int = STEPS) -> tuple[dict, tuple[float, float]]:
-    """The network and the calibration (slope, shift) of document logits."""
+def _share(labels: np.ndarray) -> float:
+    return (np.nansum(labels) + 1) / ((~np.isnan(labels)).sum() + 2)
+
+
+def _gram_odds(words: Words, labels: np.ndarray) -> np.ndarray:
+    """Per window: the largest surplus of a 4-gram in toxic documents."""
+    return _window_odds(words, _surplus(*_gram_counts(words, labels), _share(labels)))
+
+
+def learn(words: Words, owner: np.ndarray, labels: np.ndarray, learns: np.ndarray, looks: np.ndarray,
+          seed: int = 7, rounds: int = ROUNDS, steps: int = STEPS) -> tuple[dict, np.ndarray]:
+    """The network and its logits of all windows.  Per window: its document
+    ``owner`` (each has one at least, in order) and how toxic it ``looks``; per
+    document: its label and whether it is learned from."""
     net = new_network(seed)
-    labels = np.array(labels, float)
-    if not len(labels):
-        return net, (0.0, 0.0)
-    words = Words.of(texts)
     rng, steps_of = np.random.default_rng(seed), Steps(net)
-    # every fifth document is left for the calibration
-    learns = np.arange(words.n) % 5 != 4 if words.n >= 50 else np.ones(words.n, bool)
-    looks = _gram_odds(words, np.where(learns, labels, np.nan))
     for _ in range(rounds):
         # each document's most toxic looking window, and another of clean ones
-        order = np.lexsort((-looks, words.window_row))
-        first = order[np.searchsorted(words.window_row, np.arange(words.n))]
-        clean = np.flatnonzero(labels[words.window_row] == 0)
-        other = rng.choice(clean, min(len(clean), words.n), replace=False)
+        order = np.lexsort((-looks, owner))
+        first = order[np.searchsorted(owner, np.arange(len(labels)))]
+        clean = np.flatnonzero(labels[owner] == 0)
+        other = rng.choice(clean, min(len(clean), len(labels)), replace=False)
         sides = [first[learns & (labels == 1)], np.concatenate([first[labels == 0], other])]
-        sides = [x[learns[words.window_row[x]]] for x in sides]
+        sides = [x[learns[owner[x]]] for x in sides]
         sides = [x for x in sides if len(x)]
-        for _ in range(steps):
+        for _ in range(steps if sides else 0):
             chosen = np.concatenate([rng.choice(x, BATCH // len(sides)) for x in sides])
-            target = labels[words.window_row[chosen]].astype(np.float32)
+            target = labels[owner[chosen]].astype(np.float32)
             steps_of.step(net, gradients(net, words, chosen, target)[1])
         looks = _all_logits(net, words)
         steps_of.rate *= 0.6
+    return net, looks
+
+
+def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUNDS,
+          steps: int = STEPS) -> tuple[dict, tuple[float, float]]:
+    """The network and the calibration (slope, shift) of document logits, from
+    texts at hand with all their windows."""
+    labels = np.array(labels, float)
+    if not len(labels):
+        return new_network(seed), (0.0, 0.0)
+    words = Words.of(texts)
+    # every fifth document is left for the calibration
+    learns = np.arange(words.n) % 5 != 4 if words.n >= 50 else np.ones(words.n, bool)
+    looks = _gram_odds(words, np.where(learns, labels, np.nan))
+    net, looks = learn(words, words.window_row, labels, learns, looks, seed, rounds, steps)
     best = np.full(words.n, -np.inf)
     np.maximum.at(best, words.window_row, looks)
     check = ~learns if not learns.all() else learns
@@ -346,24 +394,122 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> tup
     return max(float(w[0]), 0.0), float(w[1])
 
 
-def training_rows(df: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id",
-                  text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], list[int]]:
-    """A bounded sample of labelled rows, in the order of a hash of the id.
-    ``trains`` tells from the column ``id`` which ids may be learned from."""
+def sample_rows(df: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id",
+                  text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES,
+                  negatives: int = NEGATIVES) -> DataFrame:
+    """A bounded sample of labelled documents with their whole texts: columns
+    ``id``, ``label``, ``text`` and ``learns`` (false: left for the calibration).
+    Ids are taken in the order of a hash and count once, however many rows they
+    have.  ``trains`` tells from the column ``id`` which ids may be learned from."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")) \
         .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & trains)
-    known = known.groupBy("id").agg(F.max("label").alias("label"))
-    texts = df.select(df[id_col].alias("key"), F.coalesce(df[text_col], F.lit("")).alias("text")) \
-        .where(F.length("text") <= SAMPLE_CHARS)
-    # twice as many ids as rows wanted, since long texts are left out
+    known = known.groupBy("id").agg(F.max("label").cast("int").alias("label")) \
+        .join(df.select(df[id_col].alias("id")).distinct(), "id", "left_semi")
     place = F.xxhash64("id", F.lit("toxicity"))
-    rows = []
-    for label, most in ((1, POSITIVES), (0, NEGATIVES)):
-        ids = known.where(F.col("label") == label).orderBy(place, "id").limit(2 * most)
-        found = texts.join(F.broadcast(ids), F.col("key") == F.col("id")) \
-            .orderBy(place, "id", "text").limit(most).select("text", "label")
-        rows += found.collect()
-    return [r.text for r in rows], [int(r.label) for r in rows]
+    ids = [known.where(F.col("label") == label).orderBy(place, "id").limit(most)
+           for label, most in ((1, positives), (0, negatives))]
+    text = F.coalesce(df[text_col], F.lit(""))
+    rows = df.select(df[id_col].alias("key"), text.alias("text")) \
+        .join(F.broadcast(ids[0].unionByName(ids[1])), F.col("key") == F.col("id"))
+    # equal texts of an id are merged before the shuffle
+    chosen = rows.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("of"))
+    return chosen.select("id", "label", "of.text",
+                         (F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(5)) != 0).alias("learns"))
+
+
+def training_rows(df: DataFrame, labels: DataFrame, trains: Column, **columns: str) -> tuple[list[str], list[int]]:
+    """The sample's whole texts and labels for ``train``, on the driver; for
+    tables of short texts (``fit`` has no such condition)."""
+    rows = sample_rows(df, labels, trains, **columns).orderBy(F.xxhash64("id", F.lit("toxicity")), "id").collect()
+    return [r.text for r in rows], [r.label for r in rows]
+
+
+def fit(df: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic", positives: int = POSITIVES, negatives: int = NEGATIVES, kept: int = KEPT,
+        spread: int = SPREAD, seed: int = 7, rounds: int = ROUNDS,
+        steps: int = STEPS) -> tuple[dict, tuple[float, float]]:
+    """The network and the calibration from a sample of ``df``.  The driver
+    holds at most ``kept`` windows of each of the sample's documents."""
+    small_batches(df.sparkSession)
+    rows = stored(sample_rows(df, labels, trains, id_col, text_col, label_col, positives, negatives)
+                  .repartition(df.sparkSession.sparkContext.defaultParallelism, "id"), "toxicity-sample")
+    sizes = {(r.label, r.learns): r["count"] for r in rows.groupBy("label", "learns").count().collect()}
+    if not sizes:
+        return new_network(seed), (0.0, 0.0)
+    if sum(sizes.values()) < 50:  # too few to leave any out
+        rows = rows.withColumn("learns", F.lit(True))
+        sizes = {(label, True): sizes.get((label, True), 0) + sizes.get((label, False), 0) for label in (0, 1)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, GRAM_SLOTS))
+        for part in chunks(batches, "text"):
+            found += _gram_counts(Words(part.column("text")), part.column("label").to_numpy().astype(float))
+        gram = np.flatnonzero(found.any(axis=0))
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(gram, pa.int32()), "toxic": pa.array(found[0][gram]),
+                                          "clean": pa.array(found[1][gram])})
+
+    learned = rows.where("learns").select("id", "label", "text")
+    # at most GRAM_SLOTS rows
+    held = learned.mapInArrow(count, "gram int, toxic double, clean double").groupBy("gram") \
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
+    table = np.zeros((2, GRAM_SLOTS))
+    table[:, held.column("gram").to_numpy()] = held.column("toxic").to_numpy(), held.column("clean").to_numpy()
+    toxic, clean = sizes.get((1, True), 0), sizes.get((0, True), 0)
+    odds = _surplus(*table, (toxic + 1) / (toxic + clean + 2))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            words = Words(part.column("text"))
+            looks = _window_odds(words, odds)
+            taken = _taken(words, looks, kept, spread)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(words.window_row[taken])),
+                 part.column("label").take(pa.array(words.window_row[taken])), pa.array(taken),
+                 pa.array(words.texts(taken), pa.string()), pa.array(looks[taken])],
+                ["id", "label", "place", "text", "looks"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    sample = learned.mapInArrow(windows, f"id {kind}, label int, place long, text string, looks double") \
+        .orderBy(F.xxhash64("id", F.lit("order")), "id", "place").toArrow()
+    new = np.ones(sample.num_rows, bool)
+    ids = sample.column("id").to_pylist()
+    new[1:] = [a != b for a, b in zip(ids, ids[1:], strict=False)]
+    owner = np.cumsum(new) - 1
+    marks = sample.column("label").to_numpy()[new].astype(float)
+    words = Words.of(sample.column("text").to_pylist())
+    net, _ = learn(words, owner, marks, np.ones(len(marks), bool), sample.column("looks").to_numpy(), seed, rounds, steps)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("label"), pa.array(document_logits(net, part.column("text")).astype(float))],
+                ["id", "label", "logit"])
+
+    left = rows.where("not learns") if any(n for (_, learns), n in sizes.items() if not learns) else rows
+    check = left.select("id", "label", "text").mapInArrow(logits, f"id {kind}, label int, logit double") \
+        .orderBy("id").toArrow()
+    return net, calibrate(check.column("logit").to_numpy(), check.column("label").to_numpy().astype(float))
+
+
+def _taken(words: Words, looks: np.ndarray, kept: int, spread: int) -> np.ndarray:
+    """Windows that a batch's texts send: all of at most ``kept``, else the
+    ``kept - spread`` that look most toxic and ``spread`` others at equal
+    distances."""
+    order = np.lexsort((-looks, words.window_row))
+    size = np.bincount(words.window_row, minlength=words.n)
+    rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
+    size = np.repeat(size, size)
+    best = (rank < kept - spread) | (size <= kept)
+    taken = [order[best]]
+    rest, size = np.sort(order[~best]), size[~best]
+    row = words.window_row[rest]
+    place = np.arange(len(rest)) - np.searchsorted(row, row)
+    left = np.maximum(size - (kept - spread), 1)
+    # the first window of each of ``spread`` equal parts of the others
+    part = place * spread // left
+    first = np.ones(len(rest), bool)
+    first[1:] = (part[1:] != part[:-1]) | (row[1:] != row[:-1])
+    return np.sort(np.concatenate([taken[0], rest[first]]))
 
 
 def score(df: DataFrame, net: dict, calibration: tuple[float, float], text_col: str = "text",

@@ -99,6 +99,49 @@ def test_toxicity_learns_stems(spark):
     assert sum(r.predicted == r.doc_id % 2 for r in rows) >= 57
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    rng = np.random.default_rng(0)
+    clean = ["the", "house", "of", "stone", "river", "and", "green", "walk", "along"]
+
+    def text(bad):
+        words = rng.choice(clean, 3000).tolist()
+        at = int(rng.integers(2900))
+        return " ".join(words[:at] + [f"zlurk{rng.integers(999)}"] * 3 * bool(bad) + words[at:])
+
+    rows = [(i, text(i % 3 == 0)) for i in range(200)] + [(3, "the house")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert min(len(t) for _, t in rows[:200]) > 6000
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)] + [(5000, 1)], "doc_id long, toxic int")
+    sample = toxicity.sample_rows(docs, labels, F.lit(True), positives=40, negatives=60).collect()
+    assert len(sample) == len({r.id for r in sample}) == 100 and sum(r.label for r in sample) == 40
+    net, calibration = toxicity.fit(docs, labels, F.lit(True))
+    held = toxicity.score(docs.where("doc_id >= 150"), net, calibration).collect()
+    assert sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 47
+
+
+def test_windows_sent_by_a_text():
+    words = toxicity.Words(pa.array(["a b", " ".join(map(str, range(1000))), "", " ".join(["w"] * 500)]))
+    looks = np.random.default_rng(1).random(len(words.window_row))
+    taken = toxicity._taken(words, looks, 12, 4)
+    assert np.bincount(words.window_row[taken]).tolist() == [1, 12, 1, 12]
+    mine = np.flatnonzero(words.window_row == 1)
+    assert set(mine[np.argsort(-looks[mine])[:8]]) <= set(taken)
+    assert words.texts(taken)[:2] == ["a b", " ".join(map(str, range(a := words.window_start[taken[1]] - 2, a + 32)))]
+    toxic, seen_clean = toxicity._gram_counts(words, np.array([1.0, 0, np.nan, 1]))
+    held = [set(toxicity.Words(pa.array([t])).gram) for t in ("a b", " ".join(map(str, range(1000))), " ".join(["w"] * 500))]
+    assert set(np.flatnonzero(toxic)) == held[0] | held[2] and set(np.flatnonzero(seen_clean)) == held[1]
+
+
+def test_toxicity_fit_edges(spark, clash_docs, no_docs):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] * 2 + [(None, 1), (3, None)], "doc_id long, toxic int")
+    net, calibration = toxicity.fit(clash_docs, labels, F.lit(True), rounds=1, steps=2)
+    assert toxicity.score(clash_docs, net, calibration).count() == clash_docs.count()
+    assert toxicity.fit(no_docs, labels, F.lit(True))[1] == (0.0, 0.0)
+    assert toxicity.fit(clash_docs, labels.limit(0), F.lit(True))[1] == (0.0, 0.0)
+    one_side = toxicity.fit(clash_docs, labels.where("toxic = 0"), F.lit(True), rounds=1, steps=2)
+    assert all(0 <= r.score <= 1 for r in toxicity.score(clash_docs, *one_side).select("score").collect())
+
+
 def test_toxicity_edges(spark, clash_docs, no_docs):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
