@@ -16,8 +16,12 @@ features in tasks.  Scoring covers all rows and whole texts.
 
 A null text counts as empty and has no content features; null metadata is a
 value of its own.  Without labels, or with one label only, the score tends to
-the labels' share (0.5 without any).  Repeated rows score alike; an empty table
-gives an empty result.
+the labels' share (0.5 without any).  Repeated rows score alike; an id with
+several rows is sampled once, by the row of least features, so one id cannot fill
+the sample.  Rows that a view is equally sure of are taken in id order.  Texts of any
+length are read whole, a very long one as a batch of its own.  Clashing column
+names are kept; ``quality_score`` and ``accepted`` are appended last.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -215,8 +219,9 @@ COLUMNS = ("text", "source", "lang", "n_chars")
 
 
 def fit(df: DataFrame, labels: DataFrame, trains: Column | None = None, id_col: str = "doc_id",
-        label_col: str = "quality", columns: tuple[str, str, str, str] = COLUMNS) -> Model:
-    """Fit on samples of ``df``.  ``labels`` has one or more rows per id (a
+        label_col: str = "quality", columns: tuple[str, str, str, str] = COLUMNS,
+        labelled: int = LABELLED, unlabelled: int = POOL) -> Model:
+    """Fit on samples of ``df``: at most ``labelled`` and ``unlabelled`` ids.  ``labels`` has one or more rows per id (a
     document with any label 0 counts as bad); ``trains`` tells from the column
     ``id`` which ids may be learned from; ``columns``: text, source, language
     and recorded length."""
@@ -225,9 +230,9 @@ def fit(df: DataFrame, labels: DataFrame, trains: Column | None = None, id_col:
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")) \
         .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & trains)
     known = known.groupBy("id").agg(F.min("label").alias("label")) \
-        .orderBy(F.xxhash64("id", F.lit("labelled")), "id").limit(LABELLED)
+        .orderBy(F.xxhash64("id", F.lit("labelled")), "id").limit(labelled)
     pool = df.select(df[id_col].alias("id")).where(F.col("id").isNotNull() & trains).distinct() \
-        .orderBy(F.xxhash64("id", F.lit("pool")), "id").limit(POOL)
+        .orderBy(F.xxhash64("id", F.lit("pool")), "id").limit(unlabelled)
     ids = known.unionByName(pool.withColumn("label", F.lit(None).cast("int"))) \
         .groupBy("id").agg(F.max("label").alias("label"))
     rows = df.select(df[id_col].alias("key"), *_views(df, *columns)) \
@@ -243,8 +248,8 @@ def fit(df: DataFrame, labels: DataFrame, trains: Column | None = None, id_col:
         release()
 
     kind = df.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(run, f"id {kind}, label int, content binary, meta binary") \
-        .orderBy("id", "content", "meta").limit(LABELLED + POOL).toArrow()
+    found = rows.mapInArrow(run, f"id {kind}, label int, content binary, meta binary").groupBy("id") \
+        .agg(F.min(F.struct("content", "meta", "label")).alias("of")).select("id", "of.*").orderBy("id").toArrow()
     labels_of = found.column("label").combine_chunks().fill_null(-1).to_numpy().astype(int)
     unpack = lambda c, n: np.frombuffer(b"".join(found.column(c).to_pylist()), np.float32).reshape(-1, n)
     return co_train(unpack("content", WORD_SLOTS + SHAPES), unpack("meta", sum(SLOTS)), labels_of)
