@@ -3,7 +3,8 @@
 Tokens are words (A-Z in lower case, between ASCII white space) and one end per
 text.  Words, and runs of up to ``DEPTH`` + 1 tokens, are known by 64-bit
 hashes.  Every training token is counted, and the base model is the add-one
-smoothed unigram over all of them.
+smoothed unigram over all of them.  Runs are shuffled in packed pieces by ranges
+of their hashes (``packing``).
 
 The tree grows with the corpus: every run that occurs at least ``FLOOR`` times
 is in it, whatever its share.  Runs are counted by shuffle, summed up in blocks
@@ -21,8 +22,8 @@ The score of a text is a sum over its words and runs: log p of a word, the
 ``rest`` of a run that is a retained context, and the ``gain`` of a run over its
 suffix in one.  Only what is common, words of at least ``MIN_SHARE`` and runs of
 at least ``GRAM_SHARE`` of all tokens, goes to the tasks whole (so its size is
-bounded); the others are looked up by a shuffle join with stored tables, with
-the same results.
+bounded); the others meet the stored tables by a shuffle into ranges of hashes,
+with the same results.
 
 A null text counts as empty: its only token is the end.  Without training rows
 all probabilities are 1.  Rows repeated whole are counted and scored each.  An
@@ -39,12 +40,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, text_buffer, word_spans
 from fundlens.llm.frames import small_batches, stored
+from fundlens.llm.packing import buckets, joined, keys_of, pieces, values
 from fundlens.session import remove_dir, shared_dir
 from fundlens.sources.files import materialize
 
@@ -57,8 +62,6 @@ DEPTH = 3
 STRENGTH = 5.0
 #: Tokens of a block in which runs are summed up.
 BLOCK = 1_000_000
-#: Rows handed on at once.
-SLICE = 100_000
 #: Distinct words that a task counts before it hands them on.
 HELD = 2_000_000
 #: Bits of a filter, as a power of two.
@@ -191,20 +194,31 @@ def _passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _sliced(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(columns[0]), SLICE):
-        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + SLICE]) for x in columns], names)
+def _packed(columns: list[np.ndarray], names: list[str], bits: int) -> pa.RecordBatch:
+    """The pieces of sorted runs and of the columns beside them."""
+    rows = list(pieces(columns[0], columns[1:], bits))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()),
+         *[pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(columns))]], ["bucket", *names])
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(run, n) of the runs of two tokens."""
-    for words, place in _blocks(batches):
-        for _, _, run, _, _ in _runs(words, place, 1):
-            yield from _sliced(np.unique(run, return_counts=True), ["run", "n"])
+def _counts(runs: np.ndarray) -> list[np.ndarray]:
+    names, n = np.unique(runs, return_counts=True)
+    return [names, n.astype(np.uint32)]
 
 
-def _count_longer(pairs: np.ndarray, depth: int):
-    """For ``mapInArrow``: (run, n) of longer runs all of whose pairs pass."""
+def _count_pairs(bits: int):
+    """For ``mapInArrow``: runs of two tokens and their counts, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, place in _blocks(batches):
+            for _, _, run, _, _ in _runs(words, place, 1):
+                yield _packed(_counts(run), ["runs", "n"], bits)
+    return run
+
+
+def _count_longer(pairs: np.ndarray, depth: int, bits: int):
+    """For ``mapInArrow``: longer runs all of whose pairs pass, and their
+    counts, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, place in _blocks(batches):
             passes = None
@@ -213,12 +227,13 @@ def _count_longer(pairs: np.ndarray, depth: int):
                     passes = _passes(runs, pairs)
                     continue
                 passes[1:] &= passes[:-1].copy()
-                yield from _sliced(np.unique(runs[at[passes[at]]], return_counts=True), ["run", "n"])
+                yield _packed(_counts(runs[at[passes[at]]]), ["runs", "n"], bits)
     return run
 
 
-def _count_runs(often: np.ndarray, depth: int):
-    """For ``mapInArrow``: the runs that pass, with contexts and suffixes."""
+def _count_runs(often: np.ndarray, depth: int, bits: int):
+    """For ``mapInArrow``: the runs that pass, with counts, lengths, contexts
+    and suffixes, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, place in _blocks(batches):
             before = None
@@ -232,11 +247,42 @@ def _count_runs(often: np.ndarray, depth: int):
                 at = at[passes[at]]
                 names, first, n = np.unique(runs[at], return_index=True, return_counts=True)
                 first = at[first]
-                yield from _sliced([np.full(len(n), length, np.int32), names, context[first], suffix[first], n],
-                                   ["length", "run", "context", "suffix", "n"])
+                yield _packed([names, n.astype(np.uint32), np.full(len(n), length, np.uint8), context[first],
+                               suffix[first]], ["runs", "n", "length", "context", "suffix"], bits)
     return run
 
 
+def _frequent(floor: int):
+    """For ``applyInArrow`` on a bucket: its runs of at least ``floor``
+    occurrences, with what stands beside them."""
+    types = {"length": np.uint8, "context": np.int64, "suffix": np.int64}
+
+    def run(table: pa.Table) -> pa.Table:
+        runs = joined(table, "runs")
+        order = np.argsort(runs)
+        runs = runs[order]
+        first = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
+        n = np.add.reduceat(joined(table, "n", np.uint32)[order].astype(np.int64), first)
+        kept = np.flatnonzero(n >= floor)
+        at = first[kept]
+        out = {"run": runs[at], "n": n[kept]}
+        for name in table.column_names[3:]:
+            out[name] = joined(table, name, types[name])[order[at]]
+        if "length" in out:
+            out["length"] = out["length"].astype(np.int32)
+        return pa.table(out)
+    return run
+
+
+def _frequent_runs(texts: DataFrame, count, floor: int, whole: bool = False) -> DataFrame:
+    """(run, n), with ``whole`` also (length, context, suffix), of the runs that
+    ``count`` packs and that occur ``floor`` times."""
+    more = ", length binary, context binary, suffix binary" if whole else ""
+    packed = texts.mapInArrow(count, "bucket int, runs binary, n binary" + more)
+    return packed.groupBy("bucket").applyInArrow(
+        _frequent(floor), "run long, n long" + more.replace("length binary", "length int").replace("binary", "long"))
+
+
 @dataclass
 class Tree:
     """What is common, for every task, and the stored table of the others."""
@@ -364,14 +410,12 @@ def fit(train: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE,
         root = np.log10(np.concatenate([[(ends + 1) / total, max(rare, 1 / total)], (counts + 1) / total]))
 
         def often(count) -> np.ndarray:
-            return _filter(texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-                           .where(F.col("n") >= floor).select("run"))
-
-        passes = often(_count_pairs)
-        passes |= often(_count_longer(passes, depth))
-        runs = texts.mapInArrow(_count_runs(passes, depth),
-                                "length int, run long, context long, suffix long, n long") \
-            .groupBy("length", "run", "context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
+            return _filter(_frequent_runs(texts, count, floor).select("run"))
+
+        bits = buckets(tokens)
+        passes = often(_count_pairs(bits))
+        passes |= often(_count_longer(passes, depth, bits))
+        runs = _frequent_runs(texts, _count_runs(passes, depth, bits), floor, whole=True)
         end = train.sparkSession.range(1).select(
             F.lit(END).cast("long").alias("word"), F.lit(ends).cast("long").alias("n"))
         nodes = stored(grow(words.unionByName(end), held(runs, "counts"), tokens, total, depth, strength, held),
@@ -396,11 +440,12 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
                      F.coalesce(df[text_col], F.lit("")).alias("text"))
     unit = math.log10(tree.tokens + tree.distinct + 1)
     vocabulary, root, trained = tree.vocabulary, tree.root, tree.tokens > 0
+    bits = buckets(tree.tokens)
     walk = Tree(vocabulary, root, tree.keys, tree.gain, tree.rest, None, tree.passes, tree.min_count,
                 tree.tokens, tree.distinct, tree.depth).walk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_number = TaskContext.get().partitionId() << 40
+        row_number, held, size = TaskContext.get().partitionId() << 40, [], 0
         known = root + unit  # log10(count + 1)
         symbol_of = Places(vocabulary)
         for part in chunks(batches, "text"):
@@ -413,49 +458,83 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
             often = symbols != RARE
             base = np.bincount(row[often], known[symbols[often]], m)
             n_often = np.bincount(row[often], minlength=m) if trained else np.zeros(m, np.int64)
-            # the rarer words, and the runs that are looked up, added up per row
+            # the rarer words, and the runs that are looked up
             far = np.flatnonzero(~often)
             single, names = found[0]
             found[0] = single[often[single]], names[often[single]]
-            h = np.concatenate([words[far], *[x for _, x in found]])
-            r = np.concatenate([row[far], *[row[at] for at, _ in found]])
-            pair = np.lexsort((h, r))
-            h, r = h[pair], r[pair]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(h)))
-            # a row with the sums of each text, then the lookups
-            heads = np.arange(m)
-            numbers = row_number + heads
-            outer = [pa.concat_arrays([x, pa.nulls(len(first), x.type)]) for x in [
-                *part.columns[:-1], *map(pa.array, (np.bincount(row, minlength=m), n_often, np.bincount(
-                    row[far], minlength=m), base, states))]]
-            whole = pa.RecordBatch.from_arrays(
-                [*outer, pa.array(np.concatenate([numbers, row_number + r[first]])),
-                 # these find nothing, and are dealt out evenly
-                 pa.array(np.concatenate([mix(numbers.astype(np.uint64)).view(np.int64), h[first]])),
-                 pa.array(np.concatenate([np.zeros(m, np.int64), n.astype(np.int64)]))],
-                [*part.schema.names[:-1], *sums, "row", "key", "times"])
-            for i in range(0, whole.num_rows, SLICE):
-                yield whole.slice(i, SLICE)
+            yield heads_of(part, row_number, [np.bincount(row, minlength=m), n_often, np.bincount(
+                row[far], minlength=m), base, states])
+            held.append((np.concatenate([words[far], *[x for _, x in found]]),
+                         row_number + np.concatenate([row[far], *[row[at] for at, _ in found]])))
+            size += len(held[-1][0])
             row_number += m
+            if size >= BLOCK:
+                yield from asked(held)
+                held, size = [], 0
+        yield from asked(held)
+
+    def heads_of(part: pa.RecordBatch, first: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+        """A row with the sums of each text, dealt out evenly."""
+        numbers = first + np.arange(part.num_rows)
+        bucket = (mix(numbers.astype(np.uint64)).view(np.int64) >> np.int64(64 - bits)).astype(np.int32)
+        none = pa.nulls(part.num_rows, pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [*part.columns[:-1], *map(pa.array, columns), pa.array(numbers), pa.array(bucket), none, none],
+            [*part.schema.names[:-1], *sums, "row", "bucket", "keys", "rows"])
+
+    def asked(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """The lookups of a block, packed; rows count from the block's first."""
+        if not sum(len(h) for h, _ in held):
+            return
+        keys, at = map(np.concatenate, zip(*held, strict=True))
+        order, base = np.argsort(keys), at.min()
+        rows = list(pieces(keys[order], [(at[order] - base).astype(np.uint32)], bits))
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.nulls(len(rows), t) for t in head_types], pa.array(np.full(len(rows), base)),
+             pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
+             pa.array([r[2] for r in rows], pa.binary())], [*head_names, "row", "bucket", "keys", "rows"])
+
+    def answered(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The heads of a bucket, and the sums of what each text finds in it."""
+        if not left.num_rows:
+            return answers.empty_table()
+        is_head = pc.is_null(left.column("keys"))
+        heads, asks = left.filter(is_head), left.filter(pc.invert(is_head))
+        out = [pa.table([*[heads.column(c) for c in (*head_names, "row")],
+                         *[pa.nulls(heads.num_rows, t) for t in answers.types[-3:]]], schema=answers)]
+        if right.num_rows and asks.num_rows:
+            names, place = np.unique(right.column("key").to_numpy(), return_inverse=True)
+            # a rarer word may be in both tables
+            n = np.bincount(place, pc.fill_null(right.column("n"), 0).to_numpy())
+            value = np.bincount(place, pc.fill_null(right.column("value"), 0.0).to_numpy())
+            logs = np.log10(n + 1)
+            for first, keys, at in zip(asks.column("row").to_pylist(), asks.column("keys").to_pylist(),
+                                       asks.column("rows").to_pylist(), strict=True):
+                keys, at = keys_of(keys), values(at, np.uint32)
+                spot = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+                hit = names[spot] == keys
+                spot, at = spot[hit], at[hit].astype(np.int64)
+                texts = np.flatnonzero(np.bincount(at))
+                found = [np.bincount(at, x[spot])[texts] for x in (logs, value, n > 0)]
+                out.append(pa.table([*[pa.nulls(len(texts), t) for t in head_types], pa.array(first + texts),
+                                     pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int64))],
+                                    schema=answers))
+        return pa.concat_tables(out)
 
     sums = {"n_tokens": "long", "n_often": "long", "n_rare": "long", "often_score": "double", "states": "double"}
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    parts = rows.mapInArrow(run, ", ".join([*kept, *(f"{c} {t}" for c, t in sums.items()),
-                                            "row long, key long, times long"]))
-    # a rarer word may be in both
-    values = words.where(F.col("n") < tree.min_count).select(
+    heads = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
+             *(f"{c} {t}" for c, t in sums.items()), "row long"]
+    reply = ", ".join([*heads, "rare_score double, run_score double, n_rare_known long"])
+    answers = to_arrow_schema(StructType.fromDDL(reply))
+    head_names, head_types = answers.names[:-4], answers.types[:-4]
+    asks = rows.mapInArrow(run, ", ".join([*heads, "bucket int, keys binary, rows binary"]))
+    known = words.where(F.col("n") < tree.min_count).select(
         F.col("word").alias("key"), "n", F.lit(None).cast("double").alias("value")).unionByName(
         tree.others.select(F.col("run").alias("key"), F.lit(None).cast("long").alias("n"), "value")) \
-        .groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
-    found = parts.join(values, "key", "left").groupBy("row").agg(
+        .withColumn("bucket", F.shiftright("key", 64 - bits).cast("int"))
+    found = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, reply).groupBy("row").agg(
         *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(keep))],
-        *[F.sum(c).alias(c) for c in sums],
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_score"),
-        F.sum(F.col("times") * F.col("value")).alias("run_score"),
-        F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("n_rare_known"))
+        *[F.sum(c).alias(c) for c in [*sums, "rare_score", "run_score", "n_rare_known"]])
     zero, none = F.lit(0).cast("long"), F.lit(0.0)
     rare_score = F.coalesce("rare_score", none)
     return found.select(
