@@ -118,6 +118,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """The inverse of ``mix``."""
+    h = h ^ (h >> np.uint64(31)) ^ (h >> np.uint64(62))
+    h = h * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    h = h ^ (h >> np.uint64(27)) ^ (h >> np.uint64(54))
+    h = h * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return h ^ (h >> np.uint64(30)) ^ (h >> np.uint64(60))
+
+
 def row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of ``values`` per row number below ``n``."""
     return np.bincount(rows, weights=values, minlength=n)

@@ -19,6 +19,8 @@ import pyarrow as pa
 #: Tokens of the corpus for each bucket.
 SHARE = 1_500_000
 LEAST = 16
+#: Keys that a task adds up before it hands them on.
+HELD = 1_500_000
 
 
 def buckets(tokens: int) -> int:
@@ -28,7 +30,7 @@ def buckets(tokens: int) -> int:
 
 def planes(values: np.ndarray) -> bytes:
     """The integers' first bytes, then their second bytes, and so on."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def values(blob: bytes, dtype) -> np.ndarray:
@@ -58,3 +60,42 @@ def joined(table: pa.Table, name: str, dtype=None) -> np.ndarray:
     """One column of all pieces of a table; keys if there is no type."""
     blobs = table.column(name).to_pylist()
     return np.concatenate([keys_of(b) if dtype is None else values(b, dtype) for b in blobs])
+
+
+class Gathered:
+    """Counted keys of a task, added up until there are too many, then handed
+    on as a batch of pieces.  The columns are keys, counts and what depends on
+    the key alone."""
+
+    def __init__(self, names: list[str], bits: int, limit: int = HELD):
+        self.names, self.bits, self.limit = names, bits, limit
+        self.held, self.size = [], 0
+
+    def add(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        self.held.append(columns)
+        self.size += len(columns[0])
+        if self.size > self.limit:
+            self.held = [added(*map(np.concatenate, zip(*self.held, strict=True)))]
+            self.size = len(self.held[0][0])
+            if self.size > self.limit // 2:
+                yield self._batch(self.held[0])
+                self.held, self.size = [], 0
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            yield self._batch(added(*map(np.concatenate, zip(*self.held, strict=True))))
+
+    def _batch(self, columns: list[np.ndarray]) -> pa.RecordBatch:
+        rows = list(pieces(columns[0], columns[1:], self.bits))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()),
+             *[pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(columns))]],
+            ["bucket", *self.names])
+
+
+def added(keys: np.ndarray, n: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """The distinct keys in order, their counts, and what stands beside them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return [keys[first], np.add.reduceat(n[order], first, dtype=n.dtype), *[x[order[first]] for x in others]]

@@ -47,9 +47,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, text_buffer, word_spans
+from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, release, text_buffer, unmix, word_spans
 from fundlens.llm.frames import small_batches, stored
-from fundlens.llm.packing import buckets, joined, keys_of, pieces, values
+from fundlens.llm.packing import Gathered, added, buckets, joined, keys_of, pieces, planes, values
 from fundlens.session import remove_dir, shared_dir
 from fundlens.sources.files import materialize
 
@@ -67,6 +67,11 @@ HELD = 2_000_000
 #: Bits of a filter, as a power of two.
 FILTER = 27
 
+#: Multiplier of a context's hash in a run's.
+STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Lookups and texts of a block of scores.
+ASKED, TEXTS = 250_000, 50_000
+
 #: Symbols; END is also the hash of the end.
 END, RARE = 0, 1
 
@@ -126,7 +131,7 @@ def _runs(words: np.ndarray, place: np.ndarray, depth: int):
         context[1:] = suffix[:-1]
         if length == 2:
             context[place == 0] = END
-        run = mix(context * np.uint64(0xD6E8FEB86659FD93) + last + np.uint64(length))
+        run = mix(context * STEP + last + np.uint64(length))
         at = np.flatnonzero(place >= length - 2)
         yield length, at, run.view(np.int64), context.view(np.int64), suffix.view(np.int64)
         suffix = run
@@ -177,11 +182,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a filter that stand for each hash."""
+    h, low = hashes.view(np.uint64), np.uint64((1 << FILTER) - 1)
+    return h & low, h >> np.uint64(FILTER) & low
+
+
 def _filter(hashes: DataFrame) -> np.ndarray:
     """Bits set for the hashes of a one-column table, as 64-bit integers."""
-    slot = F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << FILTER) - 1))
-    set_ = hashes.select(F.shiftright(slot, 6).alias("at"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit")) \
+    mask, name = F.lit((1 << FILTER) - 1), hashes.columns[0]
+    slots = hashes.select(F.explode(F.array(
+        F.col(name).bitwiseAND(mask), F.shiftright(name, FILTER).bitwiseAND(mask))).alias("slot"))
+    set_ = slots.select(F.shiftright("slot", 6).alias("at"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int")).alias("bit")) \
         .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER - 6), np.uint64)
     out[set_.column("at").to_numpy()] = set_.column("bits").to_numpy().view(np.uint64)
@@ -190,16 +203,15 @@ def _filter(hashes: DataFrame) -> np.ndarray:
 
 def _passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether the filter may hold each hash."""
-    slot = hashes.view(np.uint64) & np.uint64((1 << FILTER) - 1)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    first, second = _slots(hashes)
 
+    def on(slot: np.ndarray) -> np.ndarray:
+        return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-def _packed(columns: list[np.ndarray], names: list[str], bits: int) -> pa.RecordBatch:
-    """The pieces of sorted runs and of the columns beside them."""
-    rows = list(pieces(columns[0], columns[1:], bits))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()),
-         *[pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(columns))]], ["bucket", *names])
+    out = on(first)
+    open_ = np.flatnonzero(out)
+    out[open_] = on(second[open_])
+    return out
 
 
 def _counts(runs: np.ndarray) -> list[np.ndarray]:
@@ -210,9 +222,12 @@ def _counts(runs: np.ndarray) -> list[np.ndarray]:
 def _count_pairs(bits: int):
     """For ``mapInArrow``: runs of two tokens and their counts, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Gathered(["runs", "n"], bits)
         for words, place in _blocks(batches):
             for _, _, run, _, _ in _runs(words, place, 1):
-                yield _packed(_counts(run), ["runs", "n"], bits)
+                yield from found.add(_counts(run))
+        yield from found.rest()
+        release()
     return run
 
 
@@ -220,6 +235,7 @@ def _count_longer(pairs: np.ndarray, depth: int, bits: int):
     """For ``mapInArrow``: longer runs all of whose pairs pass, and their
     counts, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Gathered(["runs", "n"], bits)
         for words, place in _blocks(batches):
             passes = None
             for length, at, runs, _, _ in _runs(words, place, depth):
@@ -227,14 +243,18 @@ def _count_longer(pairs: np.ndarray, depth: int, bits: int):
                     passes = _passes(runs, pairs)
                     continue
                 passes[1:] &= passes[:-1].copy()
-                yield _packed(_counts(runs[at[passes[at]]]), ["runs", "n"], bits)
+                yield from found.add(_counts(runs[at[passes[at]]]))
+        yield from found.rest()
+        release()
     return run
 
 
 def _count_runs(often: np.ndarray, depth: int, bits: int):
     """For ``mapInArrow``: the runs that pass, with counts, lengths, contexts
-    and suffixes, packed."""
+    and suffixes, packed; a pair's suffix, which its hash and context tell, is
+    left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Gathered(["runs", "n", "length", "context", "suffix"], bits)
         for words, place in _blocks(batches):
             before = None
             for length, at, runs, context, suffix in _runs(words, place, depth):
@@ -247,28 +267,32 @@ def _count_runs(often: np.ndarray, depth: int, bits: int):
                 at = at[passes[at]]
                 names, first, n = np.unique(runs[at], return_index=True, return_counts=True)
                 first = at[first]
-                yield _packed([names, n.astype(np.uint32), np.full(len(n), length, np.uint8), context[first],
-                               suffix[first]], ["runs", "n", "length", "context", "suffix"], bits)
+                yield from found.add([names, n.astype(np.uint32), np.full(len(n), length, np.uint8), context[first],
+                                      suffix[first] if length > 2 else np.zeros(len(n), np.int64)])
+        yield from found.rest()
+        release()
     return run
 
 
+def _last(runs: np.ndarray, contexts: np.ndarray, length: int) -> np.ndarray:
+    """The hash of the last token of runs of one length."""
+    return (unmix(runs.view(np.uint64)) - np.uint64(length) - contexts.view(np.uint64) * STEP).view(np.int64)
+
+
 def _frequent(floor: int):
     """For ``applyInArrow`` on a bucket: its runs of at least ``floor``
     occurrences, with what stands beside them."""
     types = {"length": np.uint8, "context": np.int64, "suffix": np.int64}
 
     def run(table: pa.Table) -> pa.Table:
-        runs = joined(table, "runs")
-        order = np.argsort(runs)
-        runs = runs[order]
-        first = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
-        n = np.add.reduceat(joined(table, "n", np.uint32)[order].astype(np.int64), first)
+        names = table.column_names[3:]
+        runs, n, *others = added(joined(table, "runs"), joined(table, "n", np.uint32).astype(np.int64),
+                                 *[joined(table, c, types[c]) for c in names])
         kept = np.flatnonzero(n >= floor)
-        at = first[kept]
-        out = {"run": runs[at], "n": n[kept]}
-        for name in table.column_names[3:]:
-            out[name] = joined(table, name, types[name])[order[at]]
-        if "length" in out:
+        out = {"run": runs[kept], "n": n[kept], **{c: x[kept] for c, x in zip(names, others, strict=True)}}
+        if names:
+            pairs = out["length"] == 2
+            out["suffix"][pairs] = _last(out["run"][pairs], out["context"][pairs], 2)
             out["length"] = out["length"].astype(np.int32)
         return pa.table(out)
     return run
@@ -440,12 +464,13 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
                      F.coalesce(df[text_col], F.lit("")).alias("text"))
     unit = math.log10(tree.tokens + tree.distinct + 1)
     vocabulary, root, trained = tree.vocabulary, tree.root, tree.tokens > 0
-    bits = buckets(tree.tokens)
+    bits = buckets(tree.tokens // 4)  # fewer, for fewer answers a text
     walk = Tree(vocabulary, root, tree.keys, tree.gain, tree.rest, None, tree.passes, tree.min_count,
                 tree.tokens, tree.distinct, tree.depth).walk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_number, held, size = TaskContext.get().partitionId() << 40, [], 0
+        base = row_number
         known = root + unit  # log10(count + 1)
         symbol_of = Places(vocabulary)
         for part in chunks(batches, "text"):
@@ -456,85 +481,103 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
             each, found = walk(words, symbols, place)
             states = np.bincount(row, each, m)
             often = symbols != RARE
-            base = np.bincount(row[often], known[symbols[often]], m)
+            often_score = np.bincount(row[often], known[symbols[often]], m)
             n_often = np.bincount(row[often], minlength=m) if trained else np.zeros(m, np.int64)
             # the rarer words, and the runs that are looked up
             far = np.flatnonzero(~often)
             single, names = found[0]
             found[0] = single[often[single]], names[often[single]]
-            yield heads_of(part, row_number, [np.bincount(row, minlength=m), n_often, np.bincount(
-                row[far], minlength=m), base, states])
+            yield heads_of(part, base, row_number - base, [np.bincount(row, minlength=m), n_often, np.bincount(
+                row[far], minlength=m), often_score, states])
             held.append((np.concatenate([words[far], *[x for _, x in found]]),
-                         row_number + np.concatenate([row[far], *[row[at] for at, _ in found]])))
+                         row_number - base + np.concatenate([row[far], *[row[at] for at, _ in found]])))
             size += len(held[-1][0])
             row_number += m
-            if size >= BLOCK:
-                yield from asked(held)
-                held, size = [], 0
-        yield from asked(held)
+            if size >= ASKED or row_number - base >= TEXTS:
+                yield from asked(held, base)
+                held, size, base = [], 0, row_number
+        yield from asked(held, base)
+        release()
 
-    def heads_of(part: pa.RecordBatch, first: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+    def heads_of(part: pa.RecordBatch, block: int, first: int, columns: list[np.ndarray]) -> pa.RecordBatch:
         """A row with the sums of each text, dealt out evenly."""
-        numbers = first + np.arange(part.num_rows)
-        bucket = (mix(numbers.astype(np.uint64)).view(np.int64) >> np.int64(64 - bits)).astype(np.int32)
+        at = first + np.arange(part.num_rows)
+        bucket = (mix((block + at).astype(np.uint64)).view(np.int64) >> np.int64(64 - bits)).astype(np.int32)
         none = pa.nulls(part.num_rows, pa.binary())
         return pa.RecordBatch.from_arrays(
-            [*part.columns[:-1], *map(pa.array, columns), pa.array(numbers), pa.array(bucket), none, none],
-            [*part.schema.names[:-1], *sums, "row", "bucket", "keys", "rows"])
+            [*part.columns[:-1], *map(pa.array, columns), pa.array(at), pa.array(np.full(len(at), block)),
+             pa.array(bucket), none, none],
+            [*part.schema.names[:-1], *sums, "at", "block", "bucket", "keys", "texts"])
 
-    def asked(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        """The lookups of a block, packed; rows count from the block's first."""
+    def asked(held: list[tuple[np.ndarray, np.ndarray]], block: int) -> Iterator[pa.RecordBatch]:
+        """The lookups of a block, packed; texts count from the block's first."""
         if not sum(len(h) for h, _ in held):
             return
         keys, at = map(np.concatenate, zip(*held, strict=True))
-        order, base = np.argsort(keys), at.min()
-        rows = list(pieces(keys[order], [(at[order] - base).astype(np.uint32)], bits))
+        order = np.argsort(keys)
+        rows = list(pieces(keys[order], [at[order].astype(np.uint32)], bits))
         yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(len(rows), t) for t in head_types], pa.array(np.full(len(rows), base)),
-             pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
-             pa.array([r[2] for r in rows], pa.binary())], [*head_names, "row", "bucket", "keys", "rows"])
+            [*[pa.nulls(len(rows), t) for t in head_types], pa.array(np.full(len(rows), block)),
+             *[pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))]],
+            [*head_names, "block", "bucket", "keys", "texts"])
 
     def answered(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The heads of a bucket, and the sums of what each text finds in it."""
-        if not left.num_rows:
-            return answers.empty_table()
+        """The heads of a bucket; and for each of its pieces what its texts
+        find, added up and packed."""
         is_head = pc.is_null(left.column("keys"))
         heads, asks = left.filter(is_head), left.filter(pc.invert(is_head))
-        out = [pa.table([*[heads.column(c) for c in (*head_names, "row")],
-                         *[pa.nulls(heads.num_rows, t) for t in answers.types[-3:]]], schema=answers)]
+        blobs = []
         if right.num_rows and asks.num_rows:
             names, place = np.unique(right.column("key").to_numpy(), return_inverse=True)
             # a rarer word may be in both tables
             n = np.bincount(place, pc.fill_null(right.column("n"), 0).to_numpy())
             value = np.bincount(place, pc.fill_null(right.column("value"), 0.0).to_numpy())
             logs = np.log10(n + 1)
-            for first, keys, at in zip(asks.column("row").to_pylist(), asks.column("keys").to_pylist(),
-                                       asks.column("rows").to_pylist(), strict=True):
+            for block, keys, at in zip(*(asks.column(c).to_pylist() for c in ("block", "keys", "texts")), strict=True):
                 keys, at = keys_of(keys), values(at, np.uint32)
                 spot = np.minimum(np.searchsorted(names, keys), len(names) - 1)
-                hit = names[spot] == keys
+                hit = np.flatnonzero(names[spot] == keys)
                 spot, at = spot[hit], at[hit].astype(np.int64)
                 texts = np.flatnonzero(np.bincount(at))
                 found = [np.bincount(at, x[spot])[texts] for x in (logs, value, n > 0)]
-                out.append(pa.table([*[pa.nulls(len(texts), t) for t in head_types], pa.array(first + texts),
-                                     pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int64))],
-                                    schema=answers))
-        return pa.concat_tables(out)
+                if len(texts):
+                    blobs.append((block, planes(texts.astype(np.uint32)), planes(found[0]), planes(found[1]),
+                                  planes(found[2].astype(np.uint32))))
+        none = [pa.nulls(heads.num_rows, pa.binary())] * 4
+        return pa.concat_tables([
+            pa.table([*[heads.column(c) for c in (*head_names, "block")], *none], schema=answers),
+            pa.table([*[pa.nulls(len(blobs), t) for t in head_types],
+                      *[pa.array([b[i] for b in blobs], t) for i, t in enumerate(answers.types[-5:])]],
+                     schema=answers)])
+
+    def added_up(table: pa.Table) -> pa.Table:
+        """The texts of a block with all that they have found."""
+        is_head = pc.is_null(table.column("texts"))
+        heads, parts = table.filter(is_head), table.filter(pc.invert(is_head))
+        at = heads.column("at").to_numpy()
+        out = [np.zeros(int(at.max()) + 1) for _ in answer]
+        for texts, *found in zip(*(parts.column(c).to_pylist() for c in ("texts", *answer)), strict=True):
+            texts = values(texts, np.uint32)
+            for total, blob, dtype in zip(out, found, (float, float, np.uint32), strict=True):
+                total[texts] += values(blob, dtype)
+        return pa.table([*[heads.column(c) for c in head_names[:-1]], pa.array(out[0][at]), pa.array(out[1][at]),
+                         pa.array(out[2][at].astype(np.int64))], names=[*head_names[:-1], *answer])
 
     sums = {"n_tokens": "long", "n_often": "long", "n_rare": "long", "often_score": "double", "states": "double"}
-    heads = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
-             *(f"{c} {t}" for c, t in sums.items()), "row long"]
-    reply = ", ".join([*heads, "rare_score double, run_score double, n_rare_known long"])
+    answer = ["rare_score", "run_score", "n_rare_known"]
+    kept = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
+            *(f"{c} {t}" for c, t in sums.items())]
+    reply = ", ".join([*kept, "at long, block long, texts binary", *(f"{c} binary" for c in answer)])
     answers = to_arrow_schema(StructType.fromDDL(reply))
-    head_names, head_types = answers.names[:-4], answers.types[:-4]
-    asks = rows.mapInArrow(run, ", ".join([*heads, "bucket int, keys binary, rows binary"]))
+    head_names, head_types = answers.names[:-5], answers.types[:-5]
+    asks = rows.mapInArrow(run, ", ".join([*kept, "at long, block long, bucket int, keys binary, texts binary"]))
     known = words.where(F.col("n") < tree.min_count).select(
         F.col("word").alias("key"), "n", F.lit(None).cast("double").alias("value")).unionByName(
         tree.others.select(F.col("run").alias("key"), F.lit(None).cast("long").alias("n"), "value")) \
         .withColumn("bucket", F.shiftright("key", 64 - bits).cast("int"))
-    found = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, reply).groupBy("row").agg(
-        *[F.first(f"_{i}", ignorenulls=True).alias(f"_{i}") for i in range(len(keep))],
-        *[F.sum(c).alias(c) for c in [*sums, "rare_score", "run_score", "n_rare_known"]])
+    found = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, reply) \
+        .groupBy("block").applyInArrow(
+            added_up, ", ".join([*kept, "rare_score double, run_score double, n_rare_known long"]))
     zero, none = F.lit(0).cast("long"), F.lit(0.0)
     rare_score = F.coalesce("rare_score", none)
     return found.select(
