@@ -182,20 +182,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of a filter that stand for each hash."""
-    h, low = hashes.view(np.uint64), np.uint64((1 << FILTER) - 1)
-    return h & low, h >> np.uint64(FILTER) & low
+#: Shifts of the two bits of a hash within its word of a filter.
+WITHIN = (FILTER - 6, FILTER)
 
 
 def _filter(hashes: DataFrame) -> np.ndarray:
-    """Bits set for the hashes of a one-column table, as 64-bit integers."""
-    mask, name = F.lit((1 << FILTER) - 1), hashes.columns[0]
-    slots = hashes.select(F.explode(F.array(
-        F.col(name).bitwiseAND(mask), F.shiftright(name, FILTER).bitwiseAND(mask))).alias("slot"))
-    set_ = slots.select(F.shiftright("slot", 6).alias("at"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int")).alias("bit")) \
-        .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    """Two bits set for each hash of a one-column table, both in one 64-bit
+    integer of the filter."""
+    key = F.col(hashes.columns[0])
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(key, by).bitwiseAND(F.lit(63)).cast("int"))
+            for by in WITHIN]
+    set_ = hashes.select(key.bitwiseAND(F.lit((1 << (FILTER - 6)) - 1)).alias("at"), bits[0].bitwiseOR(bits[1]).alias("bits")) \
+        .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER - 6), np.uint64)
     out[set_.column("at").to_numpy()] = set_.column("bits").to_numpy().view(np.uint64)
     return out
@@ -203,15 +201,9 @@ def _filter(hashes: DataFrame) -> np.ndarray:
 
 def _passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether the filter may hold each hash."""
-    first, second = _slots(hashes)
-
-    def on(slot: np.ndarray) -> np.ndarray:
-        return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-    out = on(first)
-    open_ = np.flatnonzero(out)
-    out[open_] = on(second[open_])
-    return out
+    h, one, low = hashes.view(np.uint64), np.uint64(1), np.uint64(63)
+    word = bits[hashes & np.int64((1 << (FILTER - 6)) - 1)]
+    return (word >> (h >> np.uint64(WITHIN[0]) & low) & (word >> (h >> np.uint64(WITHIN[1]) & low)) & one).astype(bool)
 
 
 def _counts(runs: np.ndarray) -> list[np.ndarray]:
@@ -265,9 +257,10 @@ def _count_runs(often: np.ndarray, depth: int, bits: int):
                     passes[1:] &= before[:-1]
                 before = passes
                 at = at[passes[at]]
-                names, first, n = np.unique(runs[at], return_index=True, return_counts=True)
-                first = at[first]
-                yield from found.add([names, n.astype(np.uint32), np.full(len(n), length, np.uint8), context[first],
+                if not len(at):
+                    continue
+                names, n, first = added(runs[at], np.ones(len(at), np.uint32), at)
+                yield from found.add([names, n, np.full(len(n), length, np.uint8), context[first],
                                       suffix[first] if length > 2 else np.zeros(len(n), np.int64)])
         yield from found.rest()
         release()
