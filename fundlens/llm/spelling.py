@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,11 +231,22 @@ def _search_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     batches = [x for x in batches if x.num_rows]
     if not batches:
         return
-    rows = pa.Table.from_batches(batches).group_by("word").aggregate([("own", "max"), ("n", "max")])
+    dealt = pa.Table.from_batches(batches)
+    rows = dealt.group_by("word").aggregate([("own", "max"), ("n", "max")])
     words = Words(names := rows.column("word").to_pylist())
     own, n = rows.column("own_max").to_numpy(), rows.column("n_max").to_numpy()
     a, b = search(words, np.arange(len(names)), np.flatnonzero(own))
-    # a word that only asks is not asked itself: both directions from one
+    # a task has many subtrees: a word that only asks meets here those that it
+    # asks, not the others, whose words ask its own subtree in another task
+    subtrees = pc.unique(dealt.column("subtree"))
+    at = pc.index_in(dealt.column("word"), rows.column("word").combine_chunks()).to_numpy().astype(np.int64)
+    tree = pc.index_in(dealt.column("subtree"), subtrees).to_numpy().astype(np.int64)
+    home = np.zeros(len(names), np.int64)
+    mine = dealt.column("own").to_numpy()
+    home[at[mine]] = tree[mine]
+    meets = own[a] | np.isin(a * len(subtrees) + home[b], at * len(subtrees) + tree)
+    a, b = a[meets], b[meets]
+    # it is not asked itself: both directions from one
     guest = ~own[a]
     a, b = np.concatenate([a, b[guest]]), np.concatenate([b, a[guest]])
     rank = np.empty(len(names), np.int64)

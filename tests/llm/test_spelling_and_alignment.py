@@ -82,6 +82,20 @@ def test_variants_equal_brute_force(spark, options):
     assert any(r[2] for r in got) and any(r[3] != r[2] and r[2] for r in got)
 
 
+@pytest.mark.parametrize("options", [{}, {"subtree": 5}, {"subtree": 5, "top": 2}])
+def test_pairs_meet_once_if_tasks_hold_many_subtrees(spark, options):
+    rows = vocabulary_texts(2)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "3"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert variants(frame(spark, rows), **options) == brute_variants(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_large_leaves_are_matched_by_halves(monkeypatch):
     rng = random.Random(1)
     names = sorted({"".join(rng.sample("aabbccddee", k=rng.choice([7, 8, 8, 9]))) for _ in range(1500)})
