@@ -83,12 +83,15 @@ def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_name"])
     good = rows.select("c_custkey", "c_nationkey", F.col("c_acctbal").cast("double").alias("c_acctbal"),
                        F.concat("c_name", F.lit(' says "yes, no"\nand more')).alias("note"))
-    path = write_table(good, shared_dir(spark, "customers-csv"), "csv", mode="overwrite", header=True, escape='"')
+    path = write_table(good, shared_dir(spark, "customers-csv"), "csv", mode="overwrite", header=True, escape='"',
+                       ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     broken = rows.where("c_custkey % 50 = 0").select(F.col("c_custkey").cast("string").alias(",".join(good.columns)))
-    write_table(broken, path, "csv", mode="append", header=True, quote="\u0000")
+    # with another separator the header is no quoted field, and is right in whichever file is read first
+    write_table(broken, path, "csv", mode="append", header=True, sep="\t")
     back = read_csv_checked(spark, path)
     return back.select(F.col("c_custkey").cast("long").alias("c_custkey"),
-                       F.col("c_nationkey").cast("long").alias("c_nationkey"), "c_acctbal", "note",
+                       F.col("c_nationkey").cast("long").alias("c_nationkey"),
+                       F.col("c_acctbal").cast("double").alias("c_acctbal"), "note",
                        F.col("_bad").isNotNull().alias("broken"))
 
 

@@ -161,6 +161,19 @@ def test_bad_records(spark, tmp_path):
         (1, 'two\nlines, "q"', None), (2, "plain", "2,plain"), (3, "x", "3,x,1.5,more"), (4, None, None)]
 
 
+def test_broken_records_whichever_file_is_read_first(spark):
+    from fundlens.plans.io_queries import csv_inferred
+    rows = [(50, 1, 1.5, "  lead"), (50, 1, 1.5, "  lead"), (100, 2, None, ""), (101, None, 2e10, 'a"b\\'),
+            (102, 3, -0.5, None), (None, 4, 1.0, "x"), (3_000_000_000, 5, 7.25, "\ttab")]
+    sf = shared_dir(spark, "few-customers")
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_name string") \
+        .coalesce(1).write.parquet(os.path.join(sf, "customer.parquet"))
+    want = [(k, n, b, None if c is None else c + ' says "yes, no"\nand more', False) for k, n, b, c in rows]
+    want += [(k, None, None, None, True) for k, *_ in rows if k is not None and k % 50 == 0]
+    for _ in range(6):  # file names, and so their order, are random
+        assert sorted(map(tuple, csv_inferred(spark, sf).collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_a_replayed_batch_writes_nothing_twice(spark):
     base = shared_dir(spark, "consumer")
     topic, sink, offset = (os.path.join(base, p) for p in ("topic", "sink", "offset"))
