@@ -210,3 +210,22 @@ def test_settled_texts_are_cut_as_the_library_does():
     assert all(alignment._SETTLED.fullmatch(t) for t in texts)
     whole = side.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
     assert [x.tolist() for x in side.encode(texts)] == [x.ids for x in whole]
+
+
+def test_covering_tokens_are_found_without_a_join(monkeypatch):
+    rng = np.random.default_rng(0)
+    size = rng.integers(1, 40, 50)  # bytes of documents
+    docs, starts = [], []
+    for _ in range(2):
+        cut = [np.unique(np.append(0, rng.integers(0, n, 8))) for n in size]
+        docs.append(np.repeat(np.arange(len(size)), [len(c) for c in cut]))
+        starts.append(np.concatenate([c + b for c, b in zip(cut, np.cumsum(size) - size, strict=True)]))
+    monkeypatch.setattr(alignment.pd, "merge_asof", None)
+    got = alignment.covering(starts[0], starts[1], docs[0], docs[1])
+    assert got.tolist() == [max(j for j, s in enumerate(starts[1].tolist()) if s <= at and docs[1][j] == doc)
+                            for at, doc in zip(starts[0].tolist(), docs[0], strict=True)]
+    none = np.zeros(0, np.int64)
+    assert len(alignment.covering(none, none, none, none)) == 0
+    monkeypatch.undo()  # an empty token: the last one of its own document
+    assert alignment.covering(np.array([0, 3, 3]), np.array([0, 3]), np.array([0, 0, 1]), np.array([0, 1])) \
+        .tolist() == [0, 0, 1]
