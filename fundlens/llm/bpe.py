@@ -26,6 +26,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,12 @@ LEAF_CHARS = 65_536
 WINDOW = 64
 #: Equal tokens that count as agreement.
 RUN = 4
-#: Pieces kept by a worker before its cache starts anew.
-CACHE = 500_000
+#: Pieces kept by a worker before its cache starts anew; of them the first,
+#: among which are the frequent ones, up to a length, for its next task; and the
+#: longest of those made of others that are kept.
+CACHE = 600_000
+NEXT, LETTERS = 100_000, 32
+COMPOUND = 12
 
 #: The pre-tokenizer's pattern for lower-case ASCII pieces.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
@@ -78,6 +83,8 @@ class Encoder(dict):
         #: whether pieces may be cut by ASCII_PIECE
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and patterns == [
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
+        #: whether a piece of letters holds no special token's beginning
+        self.bare = self.plain and not any(s[:2].isalpha() for s in specials)
         self.letters = _byte_letters()
         size = self.tokenizer.get_vocab_size()
         self.code = "H" if size <= 1 << 16 else "I"
@@ -90,6 +97,10 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         if not piece:
             return b""
+        if self.bare and piece.isalpha() and piece.isascii():
+            if piece.islower():
+                return self._keep(piece, [t.id for t in self.tokenize(piece)])
+            return self._short(piece, self[piece.lower()])
         if not self.plain or self.marked(piece):
             return self._keep(piece, self.tokenizer.encode(piece, add_special_tokens=False).ids)
         # a capital or a mark at the end is settled without an entry of its
@@ -116,13 +127,17 @@ class Encoder(dict):
         return out
 
     def _short(self, piece: str, out: bytes) -> bytes:
-        if len(piece) <= 6:
+        if len(piece) <= COMPOUND:
+            if len(self) >= CACHE:
+                self.clear()
             self[piece] = out
         return out
 
     def rest(self) -> None:
-        """At the end of a task: keep the tokenizer only, not its caches."""
+        """At the end of a task: keep the tokenizer and the first pieces."""
+        kept = dict(islice(((p, ids) for p, ids in self.items() if len(p) <= LETTERS), NEXT))
         self.clear()
+        self.update(kept)
         self.spans.clear()
         release()
 
@@ -276,7 +291,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | N
     """Columns ``keep`` of ``df`` with the texts' ``ids`` and, after each,
     the ids ``tail``: an array, or ``packed`` into little-endian bytes.  With
     ``hold`` a worker keeps its pieces (at most ``CACHE``) for its next task,
-    which saves time; otherwise it gives their memory back."""
+    which saves time; otherwise only the first (``NEXT``)."""
     small_batches(df.sparkSession)
     keep = [] if keep is None else keep
     text = F.coalesce(df[text_col], F.lit(""))

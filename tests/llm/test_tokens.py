@@ -38,6 +38,23 @@ def test_encoder_equals_the_library(tokenizer):
         assert coder.decode(ids) == whole.decode(want.ids, skip_special_tokens=False)
 
 
+def test_encoder_keeps_its_first_pieces(tokenizer, monkeypatch):
+    coder, whole = bpe.Encoder(tokenizer), library(tokenizer)
+    text = "Wonderful, wonderful words. The others: Others, WORDS."
+    want = whole.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == want
+    assert {"Wonderful,", "wonderful", "words.", "Others,"} <= set(coder)  # also those made of others
+    monkeypatch.setattr(bpe, "NEXT", 3)
+    first = list(coder)[:3]
+    coder.rest()
+    assert list(coder) == first and np.frombuffer(coder.encode(text), coder.dtype).tolist() == want
+    monkeypatch.setattr(bpe, "CACHE", 5)
+    coder.clear()
+    for text in random_texts(300, 60):
+        assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(coder) <= 5
+
+
 def test_tree_concatenation_equals_the_library(tokenizer):
     coder, whole = bpe.Encoder(tokenizer), library(tokenizer)
     rng = random.Random(2)
