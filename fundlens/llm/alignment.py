@@ -7,11 +7,14 @@ of B's pieces U+2581 is a space and <0xHH> a byte.  Where the joined bytes of
 both sides equal the space and the text in UTF-8, each token covers a byte
 range.
 
-Each batch is aligned by ``pandas.merge_asof``, keyed by document: every token
-start finds the other side's token that covers it.  Two tokens overlap if and
-only if one's start lies in the other, so the union of both directions is all
-overlaps, the *links*.  Byte offsets where a token of each side ends cut a
-document into groups.
+A batch is aligned at once: every token start finds the other side's token that
+covers it, by binary search or, where tokens are empty, by ``pandas.merge_asof``.
+Two tokens overlap if and only if one's start lies in the other, so the union of
+both directions is all overlaps, the *links*.  Byte offsets where a token of each
+side ends cut a document into groups.  Tokens, links and groups end where a word
+does, so in texts of words with one space between them a task aligns each word
+once (up to ``WORDS`` are kept) and adds up a document's; other texts are aligned
+whole.
 
 The tokens are made once: each document's numbers and its links, as id pairs
 with their counts, are stored.  Pair counts over the corpus are a sum combined
@@ -34,6 +37,8 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -53,6 +58,9 @@ from fundlens.llm.frames import small_batches, stored
 HELD_SHARE = 5e-7
 #: Pieces whose ids side A keeps before it starts anew.
 CACHE = 300_000
+#: Words that a task keeps aligned, and their characters.
+WORDS = 400_000
+WORD_CHARS = 16_000_000
 #: Links that a task combines before it passes their counts on.
 COMBINE_LINKS = 4_000_000
 
@@ -96,6 +104,10 @@ class ByteSide(dict):
         self[piece] = out = array("i", ids).tobytes()
         return out
 
+    def whole(self, text: str) -> list[int]:
+        """The ids of a text as the library gives them."""
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def encode(self, texts: list[str]) -> list[np.ndarray | None]:
         """The texts' ids; None where their bytes are not the text's."""
         settled = [self.plain and _SETTLED.fullmatch(t) is not None for t in texts]
@@ -122,6 +134,8 @@ class PieceSide:
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                               else piece.replace("▁", " ").encode())
+        #: whether no piece reaches from a word to the next
+        self.by_word = not any(re.search(b"[^ ] ", x) for x in self.bytes)
 
     def encode(self, texts: list[str]) -> list[np.ndarray | None]:
         """As that of side A."""
@@ -172,48 +186,167 @@ class Written:
         side B's tokens in the groups before, and the other way round."""
         out = np.empty(len(a) + len(b), object)
         for ids, group, others, side, mine in ((a, group_a, group_b, "left", 0), (b, group_b, group_a, "right", 2)):
-            last = np.append(group[1:] != group[:-1], True)
+            last = np.append(group[1:] != group[:-1], True)[:len(ids)]
             place = np.arange(len(ids)) + np.searchsorted(others, group, side)
             out[place[~last]] = self.parts[mine][ids[~last]]
             out[place[last]] = self.parts[mine + 1][ids[last]]
         return out
 
 
+@dataclass
+class Table:
+    """Aligned texts: ``numbers`` (tokens of each side, groups, links), the
+    links as id pairs from ``first`` on, and the groups as written."""
+    numbers: np.ndarray
+    first: np.ndarray
+    pairs: np.ndarray
+    written: list[str]
+
+    def add(self, other: Table) -> None:
+        self.numbers = np.concatenate([self.numbers, other.numbers])
+        self.first = np.append(self.first, other.first[1:] + self.first[-1])
+        self.pairs = np.append(self.pairs, other.pairs)
+        self.written += other.written
+
+    def head(self, n: int) -> Table:
+        return Table(self.numbers[:n].copy(), self.first[:n + 1].copy(), self.pairs[:self.first[n]].copy(), self.written[:n])
+
+
+class Words(dict):
+    """Word -> its place among the words kept, in the order they come in; -1 if
+    it is to be aligned within its text only."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.known = 0
+
+    def __missing__(self, word: str) -> int:
+        if word[-1] in "\n\t\r" or not _SETTLED.fullmatch(word):
+            return -1
+        self[word] = place = self.known + len(self.new)
+        self.new.append(word)
+        return place
+
+
+class Aligner:
+    """Both sides over texts, with the words aligned so far."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteSide(path_a), PieceSide(path_b)
+        self.written = Written(len(self.a.bytes), len(self.b.bytes))
+        self.sizes = [np.array([len(x) for x in s.bytes]) for s in (self.a, self.b)]
+        self.opens = [np.array([x[:1] == b" " for x in s.bytes]) for s in (self.a, self.b)]
+        self.by_word = self.a.plain and self.b.by_word
+        self.words, self.table, self.chars = Words(), self.align([]), 0
+
+    def align(self, texts: list[str]) -> Table:
+        """A row per text, each after a space; without tokens where a side does
+        not give its bytes."""
+        none = np.zeros(0, np.int32)
+        coded = [(none, none) if x is None or y is None else (x, y)
+                 for x, y in zip(self.a.encode([" " + t for t in texts]), self.b.encode(texts), strict=True)]
+        return self._table(*(np.concatenate([none, *(x[k] for x in coded)]) for k in (0, 1)),
+                           *(np.array([len(x[k]) for x in coded], np.int64) for k in (0, 1)))
+
+    def align_words(self, words: list[str]) -> Table:
+        """The same of settled words, encoded at once: a token that opens with
+        a space opens a word."""
+        text = " ".join(words)
+        ids = [np.array(x, np.int32) for x in (self.a.whole(" " + text), self.b.model.encode(text))]
+        whole = (" " + text).encode()
+        heads = [np.flatnonzero(opens[x]) for opens, x in zip(self.opens, ids, strict=True)]
+        if any(len(h) != len(words) or b"".join(map(side.bytes.__getitem__, x.tolist())) != whole
+               for h, x, side in zip(heads, ids, (self.a, self.b), strict=True)):
+            return self.align(words)
+        return self._table(*ids, *(np.diff(np.append(h, len(x))) for h, x in zip(heads, ids, strict=True)))
+
+    def _table(self, a: np.ndarray, b: np.ndarray, count_a: np.ndarray, count_b: np.ndarray) -> Table:
+        n = len(count_a)
+        doc_a, doc_b = np.repeat(np.arange(n), count_a), np.repeat(np.arange(n), count_b)
+        links_a, links_b, group_a, group_b = align(self.sizes[0][a], self.sizes[1][b], doc_a, doc_b)
+        heads = np.flatnonzero(np.append(True, group_a[1:] != group_a[:-1]))[:len(a)]
+        parts = self.written(a, b, group_a, group_b).tolist()
+        ends = np.cumsum(count_a + count_b)
+        row = doc_a[links_a]
+        order = np.argsort(row, kind="stable")
+        count = np.column_stack([count_a, count_b, np.bincount(doc_a[heads], minlength=n), np.bincount(row, minlength=n)])
+        return Table(
+            count, np.append(0, np.cumsum(count[:, 3])), (a[links_a].astype(np.int64) << 32 | b[links_b])[order],
+            ["".join(parts[x:y]) for x, y in zip((ends - count_a - count_b).tolist(), ends.tolist(), strict=True)])
+
+    def _shrink(self) -> None:
+        # the first words are the frequent ones
+        left = 0 if self.chars > WORD_CHARS else WORDS // 4
+        kept = list(islice(self.words, left))
+        self.words = Words()
+        self.words.update(zip(kept, range(len(kept)), strict=True))
+        self.words.known, self.chars = len(kept), sum(map(len, kept))
+        self.table = self.table.head(len(kept))
+
+    def __call__(self, texts: list[str]) -> tuple[list[list[int]], Table]:
+        """For each text the rows of the table of what it is made of: its
+        words, or the whole."""
+        if len(self.words) > WORDS or self.chars > WORD_CHARS:
+            self._shrink()
+        place = self.words.__getitem__
+        out = [list(map(place, t.split(" "))) if self.by_word and _spaced(t) else [] for t in texts]
+        new = self.words.new
+        if new:
+            self.table.add(self.align_words(new))
+            self.words.known += len(new)
+            self.chars += sum(map(len, new))
+            self.words.new = []
+        bad = set(np.flatnonzero(self.table.numbers[:, 0] == 0).tolist())
+        whole = [i for i, rows in enumerate(out) if not rows or min(rows) < 0 or bad and not bad.isdisjoint(rows)]
+        if not whole:
+            return out, self.table
+        table = self.table.head(len(self.table.written))
+        for k, i in enumerate(whole):
+            out[i] = [len(table.written) + k]
+        table.add(self.align([texts[i] for i in whole]))
+        return out, table
+
+
+def _spaced(text: str) -> bool:
+    """Whether each space follows a word and has something after it.  Then no
+    token reaches over the start of a space: side A's pieces of settled text
+    end there, and no entry of side B has anything before a space."""
+    return text[0] != " " and text[-1] != " " and not any(x in text for x in ("  ", "\n ", "\t ", "\r "))
+
+
 def _align(path_a: str, path_b: str, name: str):
     """For ``mapInArrow`` over (id, text): a row of ``ALIGNED`` per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        side_a, side_b = ByteSide(path_a), PieceSide(path_b)
-        written = Written(len(side_a.bytes), len(side_b.bytes))
-        sizes_a, sizes_b = (np.array([len(x) for x in s.bytes]) for s in (side_a, side_b))
+        aligner = Aligner(path_a, path_b)
         for batch in chunks(batches, "text"):
             texts = batch.column("text").to_pylist()
             full = [i for i, t in enumerate(texts) if t]
-            coded_a = side_a.encode([" " + texts[i] for i in full])
-            coded_b = side_b.encode([texts[i] for i in full])
-            good = [(i, a, b) for i, a, b in zip(full, coded_a, coded_b, strict=True)
-                    if a is not None and b is not None]
-            yield _numbers(batch, good, sizes_a, sizes_b, written)
+            found, table = aligner([texts[i] for i in full])
+            yield _numbers(batch, list(zip(full, found, strict=True)), table)
 
-    def _numbers(batch, good, sizes_a, sizes_b, written) -> pa.RecordBatch:
+    def _numbers(batch, good, table) -> pa.RecordBatch:
         n = batch.num_rows
-        doc = np.array([i for i, _, _ in good], np.int64)
-        a = np.concatenate([np.zeros(0, np.int32), *(x for _, x, _ in good)])
-        b = np.concatenate([np.zeros(0, np.int32), *(x for _, _, x in good)])
-        count_a, count_b = (np.array([len(x[k]) for x in good], np.int64) for k in (1, 2))
-        doc_a, doc_b = np.repeat(doc, count_a), np.repeat(doc, count_b)
-        links_a, links_b, group_a, group_b = align(sizes_a[a], sizes_b[b], doc_a, doc_b)
-        heads = np.flatnonzero(np.append(True, group_a[1:] != group_a[:-1]))[:len(a)]
-        parts = written(a, b, group_a, group_b)
-        ends = np.cumsum(count_a + count_b)
+        doc = np.array([i for i, _ in good], np.int64)
+        ends = np.cumsum([0, *(len(x) for _, x in good)])
+        part = np.fromiter(chain.from_iterable(x for _, x in good), np.int64, int(ends[-1]))
+        sums = np.zeros((len(part) + 1, 4), np.int64)
+        np.cumsum(table.numbers[part], axis=0, out=sums[1:])
+        numbers = np.zeros((n, 4), np.int64)
+        numbers[doc] = np.diff(sums[ends], axis=0)
         digests = [""] * n
-        for i, start, end in zip(doc.tolist(), (ends - count_a - count_b).tolist(), ends.tolist(), strict=True):
-            digests[i] = hashlib.sha256("".join(parts[start:end].tolist())[:-1].encode()).hexdigest()
+        for i, places in good:
+            if numbers[i, 0]:
+                digests[i] = hashlib.sha256("".join(map(table.written.__getitem__, places))[:-1].encode()).hexdigest()
         # links as pairs of ids, each once per document with its number
-        key, row = a[links_a].astype(np.int64) << 32 | b[links_b], doc_a[links_a]
-        order = np.lexsort((key, row))
-        key, row = key[order], row[order]
+        times = table.numbers[part, 3]
+        key = table.pairs[np.repeat(table.first[part] - sums[:-1, 3], times) + np.arange(sums[-1, 3])]
+        cut = np.append(0, np.cumsum(numbers[:, 3]))
+        for start, end in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            key[start:end].sort()
+        row = np.repeat(np.arange(n), numbers[:, 3])
         new = np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)]
         first = np.flatnonzero(new)
         times = np.diff(np.append(first, len(key))).astype(np.uint32)
@@ -222,10 +355,8 @@ def _align(path_a: str, path_b: str, name: str):
         low, high = (key & 0xFFFFFFFF).astype(np.uint32), (key >> 32).astype(np.uint32)
         packed = [high[s:e].tobytes() + low[s:e].tobytes() + times[s:e].tobytes()
                   for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        per_doc = lambda rows: pa.array(np.bincount(rows, minlength=n))
         return pa.RecordBatch.from_arrays(
-            [batch.column("id"), per_doc(doc_a), per_doc(doc_b), per_doc(doc_a[heads]), per_doc(row),
-             pa.array(digests), pa.array(packed, pa.binary())],
+            [batch.column("id"), *map(pa.array, numbers.T.copy()), pa.array(digests), pa.array(packed, pa.binary())],
             [name, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
     return run
 

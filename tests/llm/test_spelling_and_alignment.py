@@ -229,3 +229,28 @@ def test_covering_tokens_are_found_without_a_join(monkeypatch):
     monkeypatch.undo()  # an empty token: the last one of its own document
     assert alignment.covering(np.array([0, 3, 3]), np.array([0, 3]), np.array([0, 0, 1]), np.array([0, 1])) \
         .tolist() == [0, 0, 1]
+
+
+def test_words_are_aligned_once(monkeypatch):
+    rng = random.Random(4)
+    words = ["don't", "naïve", "a\nb", "\nlead", "3.14", "<|endoftext|>", "</s>", "漢字", "x" * 50, "end\n", "the", "Straße,"]
+    texts = [" ".join(rng.choices(words[:7] + words[8:9] + words[10:], k=rng.randint(1, 12))) for _ in range(300)]
+    texts += [" ".join(rng.choices(words, k=8)) for _ in range(60)] + ["a  b", " a", "a ", " ", "a\n b", "漢"]
+    for kept, chars in ((4, 10**6), (10**6, 30), (10**6, 10**6)):
+        monkeypatch.setattr(alignment, "WORDS", kept)
+        monkeypatch.setattr(alignment, "WORD_CHARS", chars)
+        aligner = alignment.Aligner(A, B)
+        for at in range(0, len(texts), 20):
+            some = texts[at:at + 20]
+            parts, table = aligner(some)
+            whole = aligner.align(some)
+            for i, rows in enumerate(parts):
+                assert table.numbers[rows].sum(0).tolist() == whole.numbers[i].tolist(), some[i]
+                assert "".join(table.written[r] for r in rows) == whole.written[i]
+                assert sorted(x for r in rows for x in table.pairs[table.first[r]:table.first[r + 1]].tolist()) \
+                    == sorted(whole.pairs[whole.first[i]:whole.first[i + 1]].tolist())
+    # words that are known are not encoded again
+    calls = []
+    monkeypatch.setattr(aligner, "align_words", lambda words: calls.append(words))
+    parts, _ = aligner(texts[:300])
+    assert not calls and all(len(rows) == len(t.split(" ")) for rows, t in zip(parts, texts[:300], strict=True))
