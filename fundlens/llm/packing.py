@@ -3,15 +3,15 @@
 Hashes are 64 bits, so a range of their top bits (a bucket) is an even share of
 all distinct ones, whatever the data.  A task sorts what it has gathered and
 sends each bucket's slice as one row: differences of the sorted hashes and the
-columns beside them, byte plane by byte plane, which the shuffle's compression
-makes small.  The number of buckets is chosen from the number of tokens, so that
-a bucket fits a task at every size of input.  With very many buckets a piece
-holds few hashes, and costs up to about twice the bytes of plain rows.
+columns beside them, byte plane by byte plane, compressed.  The number of buckets
+is chosen from the number of tokens, so that a bucket fits a task at every size of
+input.  With very many buckets a piece holds few hashes, and costs up to about
+twice the bytes of plain rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,26 +29,38 @@ def buckets(tokens: int) -> int:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """The integers' first bytes, then their second bytes, and so on."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    """The integers' first bytes, then their second bytes, and so on, compressed
+    (a byte that takes few values to what it tells); before them their size."""
+    if not len(values):
+        return b""
+    whole = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, "zstd", asbytes=True)
 
 
 def values(blob: bytes, dtype) -> np.ndarray:
     """The integers of ``planes``."""
+    if not blob:
+        return np.zeros(0, dtype)
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    whole = pa.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), "zstd")
+    return np.ascontiguousarray(np.frombuffer(whole, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def pieces(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator[list]:
-    """[bucket, packed keys, packed columns...] of each bucket that has any of
-    the sorted ``keys``."""
+def ranges(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Each bucket that has any of the sorted ``keys``, and its slice of them."""
     half = 1 << (bits - 1)  # the top bits are signed
     bound = np.searchsorted(keys, np.arange(-half, half) << np.int64(64 - bits))
     bound = np.append(bound, len(keys))
     for bucket in np.flatnonzero(bound[1:] > bound[:-1]):
-        here = slice(bound[bucket], bound[bucket + 1])
+        yield int(bucket) - half, slice(bound[bucket], bound[bucket + 1])
+
+
+def pieces(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator[list]:
+    """[bucket, packed keys, packed columns...] of each bucket that has any of
+    the sorted ``keys``."""
+    for bucket, here in ranges(keys, bits):
         gaps = np.diff(keys[here].view(np.uint64), prepend=np.uint64(0))
-        yield [int(bucket) - half, planes(gaps), *[planes(c[here]) for c in columns]]
+        yield [bucket, planes(gaps), *[planes(c[here]) for c in columns]]
 
 
 def keys_of(blob: bytes) -> np.ndarray:
@@ -65,10 +77,11 @@ def joined(table: pa.Table, name: str, dtype=None) -> np.ndarray:
 class Gathered:
     """Counted keys of a task, added up until there are too many, then handed
     on as a batch of pieces.  The columns are keys, counts and what depends on
-    the key alone."""
+    the key alone; ``pack`` makes pieces with the columns ``names`` of them."""
 
-    def __init__(self, names: list[str], bits: int, limit: int = HELD):
-        self.names, self.bits, self.limit = names, bits, limit
+    def __init__(self, names: list[str], bits: int, limit: int = HELD,
+                 pack: Callable[[np.ndarray, list[np.ndarray], int], Iterator[list]] = pieces):
+        self.names, self.bits, self.limit, self.pack = names, bits, limit, pack
         self.held, self.size = [], 0
 
     def add(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -86,10 +99,10 @@ class Gathered:
             yield self._batch(added(*map(np.concatenate, zip(*self.held, strict=True))))
 
     def _batch(self, columns: list[np.ndarray]) -> pa.RecordBatch:
-        rows = list(pieces(columns[0], columns[1:], self.bits))
+        rows = list(self.pack(columns[0], columns[1:], self.bits))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()),
-             *[pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(columns))]],
+             *[pa.array([r[i + 1] for r in rows], pa.binary()) for i in range(len(self.names))]],
             ["bucket", *self.names])
 
 

@@ -47,9 +47,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, release, text_buffer, unmix, word_spans
+from fundlens.llm.batches import LOWER, SpanHash, chunks, mix, release, text_buffer, word_spans
 from fundlens.llm.frames import small_batches, stored
-from fundlens.llm.packing import Gathered, added, buckets, joined, keys_of, pieces, planes, values
+from fundlens.llm.packing import Gathered, added, buckets, joined, keys_of, pieces, planes, ranges, values
 from fundlens.session import remove_dir, shared_dir
 from fundlens.sources.files import materialize
 
@@ -241,63 +241,147 @@ def _count_longer(pairs: np.ndarray, depth: int, bits: int):
     return run
 
 
-def _count_runs(often: np.ndarray, depth: int, bits: int):
-    """For ``mapInArrow``: the runs that pass, with counts, lengths, contexts
-    and suffixes, packed; a pair's suffix, which its hash and context tell, is
-    left out."""
+def _window(codes: np.ndarray, at: np.ndarray, length: int, width: int) -> np.ndarray:
+    """The words of the runs of one length that end at some tokens, last first;
+    the token before the first is an end, as the last one is."""
+    out = np.zeros((len(at), width), np.uint32)
+    for j in range(length):
+        out[:, j] = codes[at - j]
+    return out
+
+
+def _word_pieces(size: int, rarer: dict[int, int]):
+    """Makes pieces of runs known by their words.  Codes below ``size`` are the
+    same in all tasks; ``rarer`` has a task's others, whose hashes go along."""
+    def pack(runs: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator[list]:
+        hashes = np.fromiter(rarer, np.int64, len(rarer))
+        for bucket, here in ranges(runs, bits):
+            n, length, codes = (x[here] for x in columns)
+            order = np.argsort(length.astype(np.int64) << 58 | codes[:, 0].astype(np.int64) << 29 | codes[:, 1])
+            n, length, codes = n[order], length[order], codes[order]
+            far = codes >= size
+            rest, place = np.unique(codes[far], return_inverse=True)
+            codes[far] = size + place
+            words = [np.diff(codes[:, 0], prepend=np.uint32(0))]
+            words += [codes[length > j, j] for j in range(1, codes.shape[1])]
+            yield [bucket, *map(planes, (n, length, np.concatenate(words), hashes[rest - size]))]
+    return pack
+
+
+def _count_runs(often: np.ndarray, depth: int, bits: int, common: np.ndarray):
+    """For ``mapInArrow``: the runs that pass, with counts, lengths and words,
+    packed.  A word goes as its place among the ``common`` ones, after which the
+    piece's others are numbered; run, context and suffix follow from the words."""
+    size = len(common)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Gathered(["runs", "n", "length", "context", "suffix"], bits)
+        by_hash = np.argsort(common[1:])
+        spots, code_of = Places(common[1:][by_hash]), np.append(by_hash + 1, END).astype(np.uint32)
+        rarer: dict[int, int] = {}
+        found = Gathered(["n", "length", "words", "rare"], bits, pack=_word_pieces(size, rarer))
         for words, place in _blocks(batches):
-            before = None
-            for length, at, runs, context, suffix in _runs(words, place, depth):
+            before = codes = None
+            counted = []
+            for length, at, runs, _, _ in _runs(words, place, depth):
                 passes = _passes(runs, often)
                 if length > 2:
                     # a frequent run's context and suffix are frequent
                     passes &= before
                     passes[1:] &= before[:-1]
+                else:
+                    spot = spots(words)
+                    codes = code_of[spot]
+                    far = passes.copy()
+                    far[:-1] |= passes[1:]
+                    far &= (spot < 0) & (words != END)
+                    names, which = np.unique(words[far], return_inverse=True)
+                    codes[far] = np.array([rarer.setdefault(w, size + len(rarer)) for w in names.tolist()],
+                                          np.uint32)[which]
                 before = passes
                 at = at[passes[at]]
-                if not len(at):
-                    continue
-                names, n, first = added(runs[at], np.ones(len(at), np.uint32), at)
-                yield from found.add([names, n, np.full(len(n), length, np.uint8), context[first],
-                                      suffix[first] if length > 2 else np.zeros(len(n), np.int64)])
+                if len(at):
+                    names, n, first = added(runs[at], np.ones(len(at), np.uint32), at)
+                    counted.append([names, n, np.full(len(n), length, np.uint8),
+                                    _window(codes, first, length, depth + 1)])
+            if counted:
+                yield from found.add(list(map(np.concatenate, zip(*counted, strict=True))))
+            if not found.size:
+                rarer.clear()
         yield from found.rest()
         release()
     return run
 
 
-def _last(runs: np.ndarray, contexts: np.ndarray, length: int) -> np.ndarray:
-    """The hash of the last token of runs of one length."""
-    return (unmix(runs.view(np.uint64)) - np.uint64(length) - contexts.view(np.uint64) * STEP).view(np.int64)
-
-
-def _frequent(floor: int):
+def _chained(words: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of runs, contexts and suffixes from the words' hashes, in order."""
+    level, before = [w.view(np.uint64) for w in words], []
+    last = level
+    for length in range(2, len(words) + 1):
+        before = level
+        level = [mix(x * STEP + w + np.uint64(length)) for x, w in zip(level, last[length - 1:], strict=False)]
+    return [x.view(np.int64) for x in (*level, *before)]
+
+
+def _spelled(table: pa.Table, common: np.ndarray) -> list[np.ndarray]:
+    """Runs, counts, lengths, contexts and suffixes of the pieces of a bucket."""
+    size, rarer, n_rarer, lengths, parts = len(common), [], 0, [], []
+    for length, words, rare in zip(*(table.column(c).to_pylist() for c in ("length", "words", "rare")), strict=True):
+        length, words, rare = values(length, np.uint8), values(words, np.uint32).copy(), values(rare, np.int64)
+        bound = np.cumsum([(length > j).sum() for j in range(length.max())])
+        words[:bound[0]] = np.cumsum(words[:bound[0]], dtype=np.uint32)
+        words[words >= size] += np.uint32(n_rarer)
+        lengths.append(length)
+        parts.append(np.split(words, bound[:-1]))
+        rarer.append(rare)
+        n_rarer += len(rare)
+    length = np.concatenate(lengths)
+    rarer, out = np.concatenate(rarer), [np.zeros(len(length), np.int64) for _ in range(3)]
+    names = []
+    for j in range(length.max()):
+        codes = np.concatenate([p[j] for p in parts if len(p) > j])
+        far = codes >= size
+        hashes = common[np.where(far, 0, codes)]
+        hashes[far] = rarer[codes[far] - size]
+        names.append(np.zeros(len(length), np.int64))
+        names[j][length > j] = hashes
+    for k in np.unique(length):
+        here = np.flatnonzero(length == k)
+        for to, x in zip(out, _chained([names[j][here] for j in reversed(range(k))]), strict=True):
+            to[here] = x
+    return [out[0], joined(table, "n", np.uint32).astype(np.int64), length.astype(np.int32), *out[1:]]
+
+
+def _frequent(floor: int, common: np.ndarray | None):
     """For ``applyInArrow`` on a bucket: its runs of at least ``floor``
-    occurrences, with what stands beside them."""
-    types = {"length": np.uint8, "context": np.int64, "suffix": np.int64}
-
+    occurrences; with ``common`` from their words, with what stands beside them."""
     def run(table: pa.Table) -> pa.Table:
-        names = table.column_names[3:]
-        runs, n, *others = added(joined(table, "runs"), joined(table, "n", np.uint32).astype(np.int64),
-                                 *[joined(table, c, types[c]) for c in names])
-        kept = np.flatnonzero(n >= floor)
-        out = {"run": runs[kept], "n": n[kept], **{c: x[kept] for c, x in zip(names, others, strict=True)}}
-        if names:
-            pairs = out["length"] == 2
-            out["suffix"][pairs] = _last(out["run"][pairs], out["context"][pairs], 2)
-            out["length"] = out["length"].astype(np.int32)
-        return pa.table(out)
+        columns = [joined(table, "runs"), joined(table, "n", np.uint32).astype(np.int64)] \
+            if common is None else _spelled(table, common)
+        out = added(*columns)
+        kept = np.flatnonzero(out[1] >= floor)
+        return pa.table([x[kept] for x in out], names=["run", "n", "length", "context", "suffix"][:len(out)])
     return run
 
 
-def _frequent_runs(texts: DataFrame, count, floor: int, whole: bool = False) -> DataFrame:
-    """(run, n), with ``whole`` also (length, context, suffix), of the runs that
+def _frequent_runs(texts: DataFrame, count, floor: int, common: np.ndarray | None = None) -> DataFrame:
+    """(run, n), with ``common`` also (length, context, suffix), of the runs that
     ``count`` packs and that occur ``floor`` times."""
-    more = ", length binary, context binary, suffix binary" if whole else ""
-    packed = texts.mapInArrow(count, "bucket int, runs binary, n binary" + more)
-    return packed.groupBy("bucket").applyInArrow(
-        _frequent(floor), "run long, n long" + more.replace("length binary", "length int").replace("binary", "long"))
+    packed, out = ("runs binary, n binary", "run long, n long") if common is None else (
+        "n binary, length binary, words binary, rare binary",
+        "run long, n long, length int, context long, suffix long")
+    return texts.mapInArrow(count, "bucket int, " + packed).groupBy("bucket").applyInArrow(
+        _frequent(floor, common), out)
+
+
+def _packed(name: str, bits: int):
+    """For ``mapInArrow``: distinct keys and what stands beside them, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Gathered(["keys", name], bits)
+        for part in batches:
+            yield from found.add([x.to_numpy(zero_copy_only=False) for x in part.columns])
+        yield from found.rest()
+        release()
+    return run
 
 
 @dataclass
@@ -432,19 +516,21 @@ def fit(train: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE,
         bits = buckets(tokens)
         passes = often(_count_pairs(bits))
         passes |= often(_count_longer(passes, depth, bits))
-        runs = _frequent_runs(texts, _count_runs(passes, depth, bits), floor, whole=True)
+        by_count = np.concatenate([[END], vocabulary[np.argsort(-counts)]])  # of most words the code is small
+        runs = _frequent_runs(texts, _count_runs(passes, depth, bits, by_count), floor, by_count)
         end = train.sparkSession.range(1).select(
             F.lit(END).cast("long").alias("word"), F.lit(ends).cast("long").alias("n"))
         nodes = stored(grow(words.unionByName(end), held(runs, "counts"), tokens, total, depth, strength, held),
                        "nodes")
-    # at most 1 / gram_share of each length reach the share
-    common = (F.col("n") >= gram_share * tokens) | (F.col("run") == END)
-    head = nodes.where(common).toArrow().sort_by("run")
+        # at most 1 / gram_share of each length reach the share
+        common = (F.col("n") >= gram_share * tokens) | (F.col("run") == END)
+        head = nodes.where(common).toArrow().sort_by("run")
+        passes = _filter(nodes.select("run"))
     gain, rest = (head.column(c).to_numpy().astype(float) for c in ("gain", "rest"))
     others = nodes.where(~common).select(
         "run", (F.coalesce("gain", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0))).alias("value"))
     return Tree(vocabulary, root, head.column("run").to_numpy(), gain, [rest], others,
-                _filter(nodes.select("run")), min_count, tokens, distinct, depth), words
+                passes, min_count, tokens, distinct, depth), words
 
 
 def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
@@ -521,10 +607,15 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
         heads, asks = left.filter(is_head), left.filter(pc.invert(is_head))
         blobs = []
         if right.num_rows and asks.num_rows:
-            names, place = np.unique(right.column("key").to_numpy(), return_inverse=True)
+            stored_keys, stored_n, stored_value = [], [], []
+            for keys, n, value in zip(*(right.column(c).to_pylist() for c in ("keys", "n", "value")), strict=True):
+                stored_keys.append(keys_of(keys))
+                none = np.zeros(len(stored_keys[-1]))
+                stored_n.append(none if n is None else values(n, np.int64))
+                stored_value.append(none if value is None else values(value, float))
+            names, place = np.unique(np.concatenate(stored_keys), return_inverse=True)
             # a rarer word may be in both tables
-            n = np.bincount(place, pc.fill_null(right.column("n"), 0).to_numpy())
-            value = np.bincount(place, pc.fill_null(right.column("value"), 0.0).to_numpy())
+            n, value = (np.bincount(place, np.concatenate(x)) for x in (stored_n, stored_value))
             logs = np.log10(n + 1)
             for block, keys, at in zip(*(asks.column(c).to_pylist() for c in ("block", "keys", "texts")), strict=True):
                 keys, at = keys_of(keys), values(at, np.uint32)
@@ -534,8 +625,9 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
                 texts = np.flatnonzero(np.bincount(at))
                 found = [np.bincount(at, x[spot])[texts] for x in (logs, value, n > 0)]
                 if len(texts):
-                    blobs.append((block, planes(texts.astype(np.uint32)), planes(found[0]), planes(found[1]),
-                                  planes(found[2].astype(np.uint32))))
+                    # few texts find a rarer word in a piece
+                    blobs.append((block, planes(np.diff(texts, prepend=0).astype(np.uint32)), planes(
+                        found[0][found[2] > 0]), planes(found[1]), planes(found[2].astype(np.uint32))))
         none = [pa.nulls(heads.num_rows, pa.binary())] * 4
         return pa.concat_tables([
             pa.table([*[heads.column(c) for c in (*head_names, "block")], *none], schema=answers),
@@ -550,9 +642,10 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
         at = heads.column("at").to_numpy()
         out = [np.zeros(int(at.max()) + 1) for _ in answer]
         for texts, *found in zip(*(parts.column(c).to_pylist() for c in ("texts", *answer)), strict=True):
-            texts = values(texts, np.uint32)
-            for total, blob, dtype in zip(out, found, (float, float, np.uint32), strict=True):
-                total[texts] += values(blob, dtype)
+            texts = np.cumsum(values(texts, np.uint32))
+            logs, value, n = (values(blob, dtype) for blob, dtype in zip(found, (float, float, np.uint32), strict=True))
+            for total, to, x in zip(out, (texts[n > 0], texts, texts), (logs, value, n), strict=True):
+                total[to] += x
         return pa.table([*[heads.column(c) for c in head_names[:-1]], pa.array(out[0][at]), pa.array(out[1][at]),
                          pa.array(out[2][at].astype(np.int64))], names=[*head_names[:-1], *answer])
 
@@ -564,10 +657,10 @@ def score(df: DataFrame, tree: Tree, words: DataFrame, id_col: str = "doc_id",
     answers = to_arrow_schema(StructType.fromDDL(reply))
     head_names, head_types = answers.names[:-5], answers.types[:-5]
     asks = rows.mapInArrow(run, ", ".join([*kept, "at long, block long, bucket int, keys binary, texts binary"]))
-    known = words.where(F.col("n") < tree.min_count).select(
-        F.col("word").alias("key"), "n", F.lit(None).cast("double").alias("value")).unionByName(
-        tree.others.select(F.col("run").alias("key"), F.lit(None).cast("long").alias("n"), "value")) \
-        .withColumn("bucket", F.shiftright("key", 64 - bits).cast("int"))
+    known = words.where(F.col("n") < tree.min_count).select("word", "n").mapInArrow(
+        _packed("n", bits), "bucket int, keys binary, n binary").unionByName(
+        tree.others.select("run", "value").mapInArrow(
+            _packed("value", bits), "bucket int, keys binary, value binary"), allowMissingColumns=True)
     found = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, reply) \
         .groupBy("block").applyInArrow(
             added_up, ", ".join([*kept, "rare_score double, run_score double, n_rare_known long"]))

@@ -61,3 +61,9 @@ def test_buckets_grow_with_the_corpus():
     sizes = [packing.buckets(n) for n in (0, 10**6, 10**9, 10**12)]
     assert sizes == sorted(sizes) and sizes[0] == 4
     assert 10**12 / 2 ** sizes[-1] <= packing.SHARE
+
+
+def test_bytes_of_few_values_take_little_room():
+    counts = np.random.default_rng(4).integers(1, 4, 10_000).astype(np.uint32)
+    assert len(packing.planes(counts)) < 5_000
+    assert (packing.values(packing.planes(counts), np.uint32) == counts).all()

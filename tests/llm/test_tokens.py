@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from fundlens.llm import bpe, frames, suffix_tree, wavelet
@@ -275,3 +277,34 @@ def test_runs_of_any_share_are_in_the_tree(spark):
     tree, words = suffix_tree.fit(docs, gram_share=1.0, floor=2)
     got = {r.doc_id: r.score for r in suffix_tree.score(docs, tree, words).collect()}
     assert all(math.isclose(got[i], x, rel_tol=1e-9, abs_tol=1e-9) for i, x in enumerate(more))
+
+
+@pytest.mark.parametrize("n_common", [0, 150, 300])
+@pytest.mark.parametrize("limit", [10, 1_500_000])
+def test_runs_are_shuffled_as_words(monkeypatch, n_common, limit):
+    """A run's context and suffix follow from its words, which take less room
+    than the three hashes; the words that are not common go as hashes."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(300 * rng.random() ** 3)}" for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    batches = [pa.record_batch({"text": texts[:700]}), pa.record_batch({"text": texts[700:]})]
+    often = Counter(w for t in texts for w in t.split())
+    common = suffix_tree.hashed_words(pa.array([" ".join(w for w, _ in often.most_common(n_common))]))[0]
+    common = np.concatenate([[suffix_tree.END], common])
+    want = {}
+    for words, place in suffix_tree._blocks(iter(batches)):
+        for length, at, *hashes in suffix_tree._runs(words, place, 3):
+            for run, context, suffix in zip(*(h[at].tolist() for h in hashes), strict=True):
+                want[run] = want.get(run, (0,))[0] + 1, length, context, suffix
+    monkeypatch.setattr(suffix_tree, "BLOCK", 5000)
+    monkeypatch.setattr(suffix_tree.Gathered.__init__, "__defaults__", (limit, suffix_tree.pieces))
+    every = np.full(1 << (suffix_tree.FILTER - 6), 2 ** 64 - 1, np.uint64)
+    packed = pa.Table.from_batches(suffix_tree._count_runs(every, 3, 3, common)(iter(batches)))
+    got = {}
+    for bucket in range(-4, 4):
+        here = packed.filter(pa.array([b == bucket for b in packed.column("bucket").to_pylist()]))
+        for row in suffix_tree._frequent(2, common)(here).to_pylist():
+            got[row["run"]] = row["n"], row["length"], row["context"], row["suffix"]
+    assert got == {run: x for run, x in want.items() if x[0] >= 2}
+    if n_common and limit > 10:
+        size = sum(len(b) for c in packed.column_names[1:] for b in packed.column(c).to_pylist())
+        assert size < 8 * len(want)
