@@ -107,6 +107,13 @@ class SpanHash:
         h = (self.sums[ends] - self.sums[starts]) * _TABLES["down"][starts]
         return mix(h + (ends - starts).astype(np.uint64))
 
+    def every(self, size: int) -> np.ndarray:
+        """The hashes of all spans of ``size`` bytes."""
+        h = self.sums[size:] - self.sums[:-size]
+        h *= _TABLES["down"][:len(h)]
+        h += np.uint64(size)
+        return mix(h)
+
 
 _TABLES: dict[str, np.ndarray] = {}
 

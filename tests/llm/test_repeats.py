@@ -3,11 +3,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 
-from fundlens.llm import repeats
+from fundlens.llm import packing, repeats
 
 
 def brute(rows, length):
@@ -99,3 +100,46 @@ def test_one_shuffle_of_the_texts(spark):
     finally:
         spark.conf.set(key, before)
     assert "ReusedExchange" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_ids_that_clash_and_rows_that_repeat(spark):
+    """Texts of one id in several blocks, null ids, and rows found many times."""
+    rows = passages(9, 40)
+    rows = [(None if i % 5 == 0 else i % 7, text) for i, text in rows]
+    got = check(frame(spark, rows * 3).repartition(6), 30, hot=3)
+    assert len(got) == 3 * len(rows)
+
+
+def test_buckets_are_even(spark):
+    """An anchor's hash is the least of many, and yet deals evenly."""
+    rng = random.Random(8)
+    data = np.frombuffer("".join(rng.choices("abcdefgh ", k=200_000)).encode(), np.uint8)
+    h = repeats._dealt(repeats.segments(data, np.array([0, len(data)]), 100)[4])
+    sizes = [i.stop - i.start for _, i in packing.ranges(np.sort(h), 4)]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * min(sizes)
+
+
+def test_shuffles_little_beside_the_texts(spark):
+    """What is shuffled beside the texts for copies of whole texts is small, and
+    nothing is stored (the range of each repeated segment was, in files)."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefghijklmnop qrstuvw", k=2000)) for _ in range(400)]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        left = repeats.remove_repeats(frame(spark, [(i, texts[i % 400]) for i in range(2400)]))
+        assert sum(r.n_removed for r in left.collect()) == 2000 * 2000
+        nodes, sizes = [left._jdf.queryExecution().executedPlan()], set()
+        assert "FileScan" not in nodes[0].toString()  # nothing is stored
+    finally:
+        spark.conf.set(key, before)
+    inner = {"AdaptiveSparkPlan": "executedPlan", "ResultQueryStage": "plan", "ShuffleQueryStage": "shuffle"}
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "Exchange":
+            sizes.add(node.metrics().apply("shuffleBytesWritten").value())
+        nodes += [getattr(node, inner[name])()] if name in inner else []
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert 0 < sum(sizes) < 1.5 * max(sizes)
